@@ -81,7 +81,9 @@ def clock_time(iso: Column) -> Column:
 def provider_name(provider: Column) -> Column:
     key = F.trim(F.lower(provider))
     table = F.create_map(*[F.lit(x) for pair in fv.PROVIDER_NAMES for x in pair])
-    titled = F.when(key == "", F.lit("Unknown")).otherwise(F.initcap(key))
+    words = F.regexp_extract_all(key, F.lit(r"\p{L}+|[^\p{L}]+"), F.lit(0))
+    title = F.array_join(F.transform(words, lambda w: F.initcap(w)), "")
+    titled = F.when(key == "", F.lit("Unknown")).otherwise(title)
     return F.coalesce(F.try_element_at(table, key), titled)
 
 
