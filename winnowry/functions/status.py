@@ -52,19 +52,24 @@ def estimated_total_seconds(elapsed: Column, progress_percent: Column) -> Column
     return F.when(progress_percent > 0, elapsed / (progress_percent / 100))
 
 
+def _fixed(value: Column, digits: int, unit: str) -> Column:
+    """Half-even decimal text without grouping."""
+    return F.concat(F.replace(F.format_number(value.cast("double"), digits), F.lit(","), F.lit("")), F.lit(unit))
+
+
 def humanize_eta(seconds: Column) -> Column:
     return (
-        F.when(seconds >= 3600, F.format_string("%.1fh", seconds / 3600))
-        .when(seconds >= 60, F.format_string("%.1fm", seconds / 60))
-        .otherwise(F.format_string("%.0fs", seconds.cast("double")))
+        F.when(seconds >= 3600, _fixed(seconds / 3600, 1, "h"))
+        .when(seconds >= 60, _fixed(seconds / 60, 1, "m"))
+        .otherwise(_fixed(seconds, 0, "s"))
     )
 
 
 def humanize_age(seconds: Column) -> Column:
     return (
-        F.when(seconds < 60, F.format_string("%.0fs", seconds.cast("double")))
-        .when(seconds < 3600, F.format_string("%.0fm", seconds / 60))
-        .otherwise(F.format_string("%.1fh", seconds / 3600))
+        F.when(seconds < 60, _fixed(seconds, 0, "s"))
+        .when(seconds < 3600, _fixed(seconds / 60, 0, "m"))
+        .otherwise(_fixed(seconds / 3600, 1, "h"))
     )
 
 

@@ -96,7 +96,7 @@ def last_event_ts(events: DataFrame, key: str = "run_id", pos: str = "pos", ts:
 
 def merge_reports(reports: DataFrame, key: str = "run_id", pos: str = "pos") -> tuple[DataFrame, DataFrame]:
     """(latest report per run, rejected reports without a run)."""
-    named = F.coalesce(F.col(key), F.lit("")) != ""
+    named = F.coalesce(F.col(key).cast("string"), F.lit("")) != ""
     accepted = top_n_per_group(reports.filter(named), [key], [F.col(pos).desc()], 1)
     return accepted, reports.filter(~named)
 
