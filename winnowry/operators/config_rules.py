@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from winnowry import fixed_values as fv
 
-RULE_SCHEMA = "key string, types array<string>, min double, max double, allowed array<string>, required boolean"
-
 
 def rule_table(spark: SparkSession, rules: tuple = fv.CONFIG_RULES, required: tuple = ()) -> DataFrame:
     rows = [(k, list(t), lo, hi, list(a) if a else None, k in required) for k, t, lo, hi, a in rules]
-    return spark.createDataFrame(rows, RULE_SCHEMA)
+    names = ("key", "types", "min", "max", "allowed", "required")
+    kinds = (pa.string(), pa.list_(pa.string()), pa.float64(), pa.float64(), pa.list_(pa.string()), pa.bool_())
+    columns = [pa.array(list(c), kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
+    return spark.createDataFrame(pa.table(columns, names=names))
 
 
 def violations(configs: DataFrame, rules: DataFrame, key: str = "run_id") -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from winnowry import fixed_values as fv
 
@@ -14,7 +16,10 @@ PRICE_SCHEMA = "model string, unit_tokens bigint, input_price double, output_pri
 def price_table(spark: SparkSession, prices: tuple = fv.PRICES_PER_MILLION) -> DataFrame:
     if len(prices) > MAX_PRICE_ROWS:
         raise ValueError(f"more than {MAX_PRICE_ROWS} prices: keep them in a table")
-    return spark.createDataFrame([tuple(p) for p in prices], PRICE_SCHEMA)
+    names = ("model", "unit_tokens", "input_price", "output_price")
+    columns = zip(*prices, strict=True)
+    return spark.createDataFrame(pa.table(dict(zip(names, map(list, columns), strict=True)))).to(
+        T.StructType.fromDDL(PRICE_SCHEMA))
 
 
 def override_prices(defaults: DataFrame, custom: DataFrame) -> DataFrame:

@@ -203,7 +203,7 @@ WITH s AS (SELECT event_id, k % 20 / 4.0 AS sec, CAST(k * 5 AS BIGINT) AS done,
 v AS (SELECT *, CASE WHEN sec > 0 THEN 1.0 / sec ELSE 0.0 END AS speed, done / 495.0 * 100 AS pct FROM s)
 SELECT event_id, round(speed, 6) AS speed,
        round(coalesce(CASE WHEN 495 - done > 0 AND speed > 0 THEN (495 - done) / speed END, -1.0), 6) AS eta_seconds,
-       round(coalesce(CASE WHEN pct > 0 THEN elapsed / (pct / 100) END, -1.0), 6) AS total_seconds FROM v""")
+       round(coalesce(CASE WHEN pct > 0 THEN elapsed / (pct / 100) END, -1.0), 9) AS total_seconds FROM v""")
 def speed_eta(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("bigint")
     speed, done, none = st.steps_per_second(k % 20 / 4), k * 5, F.lit(-1.0)
@@ -211,7 +211,7 @@ def speed_eta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.table(spark, sf_dir, "events").select(
         "event_id", r6(speed).alias("speed"),
         r6(F.coalesce(st.eta_seconds(done, F.lit(495), speed), none)).alias("eta_seconds"),
-        r6(F.coalesce(st.estimated_total_seconds(F.col("value"), pct), none)).alias("total_seconds"))
+        F.round(F.coalesce(st.estimated_total_seconds(F.col("value"), pct), none), 9).alias("total_seconds"))
 
 
 @query("p28_humanize", """
