@@ -69,29 +69,28 @@ def read_keyed_json(spark: SparkSession, path: str, schema: str, key_pattern: st
     return rows.select("*", F.regexp_extract("_metadata.file_path", key_pattern, 1).alias(key))
 
 
-def list_source_files(spark: SparkSession, root: str, rules: ScanRules = ScanRules()) -> DataFrame:
-    """(path, length, modificationTime) of wanted files below ``root``; no content is read."""
+def _wanted_files(spark: SparkSession, root: str, rules: ScanRules) -> DataFrame:
+    """Binary-file scan below ``root`` with ``path`` rewritten to start with ``root`` as given."""
+    base = root.rstrip("/") + "/"
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    path = F.regexp_replace("path", r"^file:/+", "/")
-    base = F.lit(root.rstrip("/") + "/")
-    listed = files.select(path.alias("path"), "length", "modificationTime")
-    return listed.filter(
+    below = F.regexp_replace("path", rf"^.*?\Q{base}\E", "")
+    named = files.withColumn("path", F.concat(F.lit(base), below))
+    return named.filter(
         languages.extension_in(F.col("path"), rules.extensions)
-        & languages.outside_ignored(F.col("path"), base, rules.ignored_directories)
+        & languages.outside_ignored(F.col("path"), F.lit(base), rules.ignored_directories)
     )
 
 
+def list_source_files(spark: SparkSession, root: str, rules: ScanRules = ScanRules()) -> DataFrame:
+    """(path, length, modificationTime) of wanted files below ``root``; no content is read."""
+    return _wanted_files(spark, root, rules).select("path", "length", "modificationTime")
+
+
 def read_source_files(spark: SparkSession, root: str, rules: ScanRules = ScanRules()) -> DataFrame:
     """(path, text) of wanted files; undecodable bytes are dropped, blank files left out."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    path = F.regexp_replace("path", r"^file:/+", "/").alias("path")
-    base = F.lit(root.rstrip("/") + "/")
-    wanted = files.select(path, "content").filter(
-        languages.extension_in(F.col("path"), rules.extensions)
-        & languages.outside_ignored(F.col("path"), base, rules.ignored_directories)
-    )
-    decoded = F.replace(F.make_valid_utf8(F.col("content").cast("string")), F.lit("�"), F.lit(""))
-    return wanted.select("path", decoded.alias("text")).filter(~text.is_blank(F.col("text")))
+    decoded = F.replace(F.make_valid_utf8(F.col("content").cast("string")), F.lit("\ufffd"), F.lit(""))
+    files = _wanted_files(spark, root, rules).select("path", decoded.alias("text"))
+    return files.filter(~text.is_blank(F.col("text")))
 
 
 def read_lines(spark: SparkSession, path: str, comments: bool = False) -> DataFrame:
