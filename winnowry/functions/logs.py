@@ -24,23 +24,32 @@ def grab(line: Column, pattern: str, group: int, kind: str) -> Column:
 
 
 def training_metrics(line: Column) -> dict[str, Column]:
-    """Wide metric columns of one training log line; null where the line has none."""
-    tqdm = F.contains(line, F.lit("%|")) & F.contains(line, F.lit("s/it"))
-    per_step = grab(line, r"([0-9]+\.?[0-9]*)s/it", 1, "double")
-    bar = r"\|\s*(\d+)/(\d+)\s*\["
-    is_tqdm = tqdm & line.rlike(bar) & per_step.isNotNull()
+    """Wide metric columns of one training log line; null where the line has none.
+
+    Plain substring tests come first, so most lines meet few regular expressions.
+    """
+    def has(word: str) -> Column:
+        return F.contains(line, F.lit(word))
+
+    bar = r"\|\s*(\d+)/(\d+)\s*\[.*?([0-9]+\.?[0-9]*)s/it"
+    is_bar = has("%|") & has("s/it")
+    is_params = F.contains(F.lower(line), F.lit("params"))
+
+    def given(gate: Column, pattern: str, group: int, kind: str) -> Column:
+        return F.when(gate, grab(line, pattern, group, kind))
+
     return {
-        "bar_step": F.when(is_tqdm, grab(line, bar, 1, "bigint")),
-        "bar_total": F.when(is_tqdm, grab(line, bar, 2, "bigint")),
-        "sec_per_it": F.when(is_tqdm, per_step),
-        "round": grab(line, r"Round (\d+)/(\d+)", 1, "bigint"),
-        "rounds": grab(line, r"Round (\d+)/(\d+)", 2, "bigint"),
-        "step": grab(line, r"Step (\d+)/(\d+)", 1, "bigint"),
-        "steps": grab(line, r"Step (\d+)/(\d+)", 2, "bigint"),
-        "loss": grab(line, r"'loss':\s*'([0-9.]+)'", 1, "double"),
-        "learning_rate": grab(line, r"'learning_rate':\s*'([0-9.e-]+)'", 1, "double"),
-        "trainable_params": grab(line, r"(?i)(trainable params|trainable_params)[:\s]+([\d,]+)", 2, "bigint"),
-        "total_params": grab(line, r"(?i)(total params|all params|total_params)[:\s]+([\d,]+)", 2, "bigint"),
+        "bar_step": given(is_bar, bar, 1, "bigint"),
+        "bar_total": given(is_bar, bar, 2, "bigint"),
+        "sec_per_it": given(is_bar, bar, 3, "double"),
+        "round": given(has("Round"), r"Round (\d+)/(\d+)", 1, "bigint"),
+        "rounds": given(has("Round"), r"Round (\d+)/(\d+)", 2, "bigint"),
+        "step": given(has("Step"), r"Step (\d+)/(\d+)", 1, "bigint"),
+        "steps": given(has("Step"), r"Step (\d+)/(\d+)", 2, "bigint"),
+        "loss": given(has("'loss':"), r"'loss':\s*'([0-9.]+)'", 1, "double"),
+        "learning_rate": given(has("'learning_rate':"), r"'learning_rate':\s*'([0-9.e-]+)'", 1, "double"),
+        "trainable_params": given(is_params, r"(?i)(trainable params|trainable_params)[:\s]+([\d,]+)", 2, "bigint"),
+        "total_params": given(is_params, r"(?i)(total params|all params|total_params)[:\s]+([\d,]+)", 2, "bigint"),
     }
 
 

@@ -70,8 +70,9 @@ def char_entropy(c: Column) -> Column:
 
 def contains_any(c: Column, words: tuple) -> Column:
     """Case-insensitive substring hit of any plain word."""
-    pattern = "|".join(rf"\Q{w.lower()}\E" for w in words)
-    return F.coalesce(F.lower(c).rlike(pattern), F.lit(False))
+    low = F.lower(c)
+    hit = reduce(lambda a, b: a | b, [F.contains(low, F.lit(w.lower())) for w in words], F.lit(False))
+    return F.coalesce(hit, F.lit(False))
 
 
 def is_toxic(c: Column, words: tuple = fv.TOXIC_WORDS) -> Column:

@@ -56,9 +56,11 @@ def replay_sequence(df: DataFrame, key: str = "run_id", pos: str = "pos", seq: s
     the last accepted number L to itself when seq <= L <= seq + gap, and to seq otherwise.
     A block is therefore known from its first number and the results for L = first + 0..gap
     (every other L acts like L = first).  Those tables compose, which lets blocks be folded
-    in parallel and scanned as a short list.
+    in parallel and scanned as a short list.  Runs of at most ``fold_rows`` rows are one block.
     """
-    rows = df.withColumn("_block", F.floor(F.col(pos) / fold_rows))
+    large = df.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > fold_rows).select(key, "_n")
+    block = F.when(F.col("_n").isNotNull(), F.floor(F.col(pos) / fold_rows)).otherwise(F.lit(0))
+    rows = df.select(key, pos, seq).join(large, key, "left").withColumn("_block", block)
 
     def step(last: Column, s: Column) -> Column:
         return F.when((s > last) | (s < last - gap), s).otherwise(last)

@@ -13,8 +13,27 @@ NAMED_MODELS = ("azure/gpt-4o-mini", "xAI/Grok-4-1-Fast-beta", "github-copilot/G
 FILE_SUFFIXES = (".py", ".CPP", ".h", ".rs", ".md")
 
 
+# Tables whose rows carry per-row text or log work, and the unique key that spreads them.
+SPREAD_KEYS = {
+    "documents": ("doc_id",), "conversations": ("conv_id", "turn"), "pages": ("page_id",), "events": ("event_id",),
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df, SPREAD_KEYS[name]) if name in SPREAD_KEYS else df
+
+
+def spread(df: DataFrame, key: tuple) -> DataFrame:
+    """Hash rows over the cores when a scan has too few partitions to keep them busy.
+
+    A few large row groups would otherwise leave costly text work to a few tasks.  A large
+    table has many partitions and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= 4 * cores:
+        return df
+    return df.repartition(2 * cores, *key)
 
 
 def pick(values: tuple, index: Column) -> Column:
