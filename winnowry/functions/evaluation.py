@@ -8,6 +8,7 @@ import warnings
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from winnowry.functions.text import SPACE, strip
 
@@ -34,7 +35,7 @@ def has_test_function(response: Column) -> Column:
     return F.contains(response, F.lit("def test_"))
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def python_parses(code: pd.Series) -> pd.Series:
     """Whether each text parses as Python.  Texts the parser gives up on do not."""
     def parses(text: str | None) -> bool:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from winnowry import fixed_values as fv
 from winnowry.config import ScanRules
@@ -182,12 +183,12 @@ def samples_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gen.samples_per_file(generated(spark, sf_dir))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _measure(prompt: pd.Series, code: pd.Series) -> pd.Series:
     return "prompt " + prompt.str.len().astype(str) + ", code " + code.str.len().astype(str)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _even_only(code: pd.Series) -> pd.Series:
     return code.where(code.str.len() % 2 == 0).str.len().map(lambda n: None if pd.isna(n) else f"primary {int(n)}")
 
