@@ -26,6 +26,8 @@ def top_n_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int,
     Few keys mean few tasks, so ranking runs twice: first per (key, slot), where a slot
     is a bundle of map tasks, then per key over at most ``slots * n`` survivors.  The top
     n of a union of top-n lists is the top n of the whole, however rows fell into slots.
+    Spark prunes inside map tasks up to ``spark.sql.optimizer.windowGroupLimitThreshold``
+    rows per key (1000 unless set); raise it along with ``n``.
     """
     slotted = df.withColumn(SLOT, F.pmod(F.spark_partition_id(), F.lit(slots)))
     per_slot = F.row_number().over(Window.partitionBy(*keys, SLOT).orderBy(*order))

@@ -103,10 +103,11 @@ def replay_sequence(df: DataFrame, key: str = "run_id", pos: str = "pos", seq: s
         return walked["seen"]
 
     tops = supers.groupBy(key).agg(
-        F.sort_array(F.collect_list(F.struct("_super", "first", "table", "_blocks"))).alias("_supers"))
+        F.sort_array(F.collect_list(F.struct("_super", "first", "table"))).alias("_supers"))
     entered = tops.withColumn("_in", incoming("_supers", nothing)).select(
-        key, F.inline(F.arrays_zip(F.col("_supers").alias("s"), F.col("_in").alias("start"))))
-    per_block = entered.select(key, "start", F.col("s._blocks").alias("_blocks")).withColumn(
+        key, F.inline(F.arrays_zip(F.col("_supers").alias("s"), F.col("_in").alias("start")))
+    ).select(key, F.col("s._super").alias("_super"), "start")
+    per_block = supers.select(key, "_super", "_blocks").join(entered, [key, "_super"]).withColumn(
         "_in", incoming("_blocks", F.col("start"))
     ).select(key, F.inline(F.arrays_zip(F.col("_blocks").alias("b"), F.col("_in").alias("start"))))
     carries = per_block.select(key, F.col("b._block").alias("_block"), "start")
