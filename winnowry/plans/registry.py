@@ -31,7 +31,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Build], Build]:
 
 
 def r6(c: Column | str) -> Column:
-    """Doubles are compared to six decimals."""
+    """Doubles are compared to six decimals (costs to nine: they end before that)."""
     return F.round(F.col(c) if isinstance(c, str) else c, 6)
 
 

@@ -99,7 +99,7 @@ WITH {o.EVENTS},
 u AS (SELECT run_id, sum(k) * 10.0 AS input_tokens, sum(k) * 1.0 AS output_tokens,
              arg_max(model, pos) FILTER (WHERE model IS NOT NULL) AS model FROM ev GROUP BY run_id)
 SELECT run_id, CAST(input_tokens AS DOUBLE) AS input_tokens, CAST(output_tokens AS DOUBLE) AS output_tokens, u.model,
-       round(coalesce(input_tokens / unit * pin + output_tokens / unit * pout, 0.0), 6) AS estimated_cost_usd
+       round(coalesce(input_tokens / unit * pin + output_tokens / unit * pout, 0.0), 9) AS estimated_cost_usd
 FROM u LEFT JOIN {_price_values(fv.PRICES_PER_MILLION)} ON p.model = u.model""")
 def usage_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     session, root = tail.stream_session(spark), scratch(spark, "t5u")
@@ -107,7 +107,7 @@ def usage_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     costed = folds.fold_usage(stream, pricing.price_table(session))
     finish(state.write_versions(costed, f"{root}/out"), f"{root}/checkpoint")
     return state.read_versions(spark, f"{root}/out", ["run_id"]).select(
-        "run_id", "input_tokens", "output_tokens", "model", r6("estimated_cost_usd").alias("estimated_cost_usd"))
+        "run_id", "input_tokens", "output_tokens", "model", F.round("estimated_cost_usd", 9).alias("estimated_cost_usd"))
 
 
 @query("t6_t8_s13_event_sink", f"""

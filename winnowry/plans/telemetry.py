@@ -292,11 +292,11 @@ def _used(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("p24_j2_spend_by_model", f"""
 WITH {o.calls()}, {_USED}
-SELECT provider, used.model, round(coalesce(pt / unit * pin + ct / unit * pout, 0.0), 6) AS cost_usd
+SELECT provider, used.model, round(coalesce(pt / unit * pin + ct / unit * pout, 0.0), 9) AS cost_usd
 FROM used LEFT JOIN {_price_values(fv.PRICES_PER_MILLION)} ON p.model = used.model""")
 def spend_by_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     priced = pricing.add_cost(_used(spark, sf_dir), pricing.price_table(spark), "pt", "ct")
-    return priced.select("provider", "model", r6("cost_usd").alias("cost_usd"))
+    return priced.select("provider", "model", F.round("cost_usd", 9).alias("cost_usd"))
 
 
 DEFAULT_PRICE = ("xai/grok-4-1-fast", 1_000, 0.20, 0.50)
@@ -304,12 +304,12 @@ DEFAULT_PRICE = ("xai/grok-4-1-fast", 1_000, 0.20, 0.50)
 
 @query("p24_j2_spend_with_default", f"""
 WITH {o.calls()}, {_USED}
-SELECT provider, used.model, round(pt / coalesce(unit, 1000) * coalesce(pin, 0.2) + ct / coalesce(unit, 1000) * coalesce(pout, 0.5), 6) AS cost_usd
+SELECT provider, used.model, round(pt / coalesce(unit, 1000) * coalesce(pin, 0.2) + ct / coalesce(unit, 1000) * coalesce(pout, 0.5), 9) AS cost_usd
 FROM used LEFT JOIN {_price_values(fv.PRICES_PER_THOUSAND)} ON p.model = used.model""")
 def spend_with_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     prices = pricing.price_table(spark, fv.PRICES_PER_THOUSAND)
     priced = pricing.add_cost(_used(spark, sf_dir), prices, "pt", "ct", default_price=DEFAULT_PRICE)
-    return priced.select("provider", "model", r6("cost_usd").alias("cost_usd"))
+    return priced.select("provider", "model", F.round("cost_usd", 9).alias("cost_usd"))
 
 
 CUSTOM_PRICES = (("gpt-4o", 1_000_000, 1.0, 2.0), ("unlisted-model", 1_000_000, 7.0, 9.0))
@@ -320,12 +320,12 @@ WITH {o.calls()}, {_USED},
 prices AS (
   SELECT * FROM {_price_values(fv.PRICES_PER_MILLION)} WHERE model NOT IN ('gpt-4o', 'unlisted-model')
   UNION ALL SELECT * FROM {_price_values(CUSTOM_PRICES)})
-SELECT provider, used.model, round(coalesce(pt / unit * pin + ct / unit * pout, 0.0), 6) AS cost_usd
+SELECT provider, used.model, round(coalesce(pt / unit * pin + ct / unit * pout, 0.0), 9) AS cost_usd
 FROM used LEFT JOIN prices ON prices.model = used.model""")
 def price_override(spark: SparkSession, sf_dir: str) -> DataFrame:
     prices = pricing.override_prices(pricing.price_table(spark), pricing.price_table(spark, CUSTOM_PRICES))
     priced = pricing.add_cost(_used(spark, sf_dir), prices, "pt", "ct")
-    return priced.select("provider", "model", r6("cost_usd").alias("cost_usd"))
+    return priced.select("provider", "model", F.round("cost_usd", 9).alias("cost_usd"))
 
 
 def _rule_cost(pt: str, ct: str) -> str:
@@ -399,12 +399,12 @@ u AS (SELECT run_id, count(*) * 1.0 AS requests_sent, sum(k) * 10.0 AS input_tok
              arg_max(model, pos) FILTER (WHERE model IS NOT NULL) AS model FROM ev GROUP BY run_id)
 SELECT run_id, CAST(requests_sent AS DOUBLE) AS requests_sent, CAST(input_tokens AS DOUBLE) AS input_tokens,
        CAST(output_tokens AS DOUBLE) AS output_tokens, u.model,
-       round(coalesce(input_tokens / unit * pin + output_tokens / unit * pout, 0.0), 6) AS estimated_cost_usd
+       round(coalesce(input_tokens / unit * pin + output_tokens / unit * pout, 0.0), 9) AS estimated_cost_usd
 FROM u LEFT JOIN {_price_values(fv.PRICES_PER_MILLION)} ON p.model = u.model""")
 def usage_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = folds.fold_usage(tables.events(spark, sf_dir), pricing.price_table(spark))
     return out.select("run_id", "requests_sent", "input_tokens", "output_tokens", "model",
-                      r6("estimated_cost_usd").alias("estimated_cost_usd"))
+                      F.round("estimated_cost_usd", 9).alias("estimated_cost_usd"))
 
 
 _UPSERT = """
