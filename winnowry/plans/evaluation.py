@@ -35,7 +35,7 @@ def expected_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
 def python_parses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No SQL: parsing Python is not expressible there.  Tested against the parser itself."""
     code = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("x = '''"), F.col("text"), F.lit("'''"))).otherwise(F.col("text"))
-    docs = tables.table(spark, sf_dir, "documents")
+    docs = tables.busy_table(spark, sf_dir, "documents")
     return docs.select("doc_id", ev.python_parses(code).alias("parses"))
 
 
@@ -66,7 +66,7 @@ SELECT c.doc_id, lines.n AS line_count, CAST(length(code) AS BIGINT) AS char_cou
        round(coalesce(share, 0.0), 6) AS indentation_consistency, round(coalesce(score, 0.0), 6) AS naming_convention_score
 FROM c JOIN lines USING (doc_id) LEFT JOIN shares USING (doc_id) LEFT JOIN snake USING (doc_id)""")
 def code_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = tables.table(spark, sf_dir, "documents").select("doc_id", _as_code(F.col("text")).alias("code"))
+    docs = tables.busy_table(spark, sf_dir, "documents").select("doc_id", _as_code(F.col("text")).alias("code"))
     metrics = ev.code_metrics(F.col("code"))
     rounded = [(r6(c) if n.endswith(("ratio", "consistency", "score")) else c).alias(n) for n, c in metrics.items()]
     return docs.select("doc_id", *rounded)

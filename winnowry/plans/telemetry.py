@@ -39,7 +39,7 @@ _DOCS = f"docs AS (SELECT doc_id, text || ' ' || ({_PLANTED})[doc_id % {len(PLAN
 
 def _planted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     secret = tables.pick(PLANTED, F.col("doc_id") % len(PLANTED))
-    docs = tables.table(spark, sf_dir, "documents")
+    docs = tables.busy_table(spark, sf_dir, "documents")
     return docs.select("doc_id", F.concat("text", F.lit(" "), secret, F.lit(" end")).alias("t"))
 
 
@@ -66,7 +66,7 @@ WITH c AS (SELECT doc_id, chr(27) || '[1;31m' || text || chr(27) || '[0m' || chr
 SELECT doc_id, md5(regexp_replace(t, {o.quote(fv.ANSI_PATTERN)}, '', 'g')) AS plain_md5 FROM c""")
 def strip_ansi(spark: SparkSession, sf_dir: str) -> DataFrame:
     colored = F.concat(F.lit("\x1b[1;31m"), F.col("text"), F.lit("\x1b[0m\x1bM"))
-    docs = tables.table(spark, sf_dir, "documents")
+    docs = tables.busy_table(spark, sf_dir, "documents")
     return docs.select("doc_id", F.md5(text.strip_ansi(colored)).alias("plain_md5"))
 
 
@@ -74,7 +74,7 @@ def strip_ansi(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT doc_id, md5({_truncated('text', 500)}) AS message_md5, {_truncated('text', 100)} AS path FROM documents""")
 def truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.col("text")
-    return tables.table(spark, sf_dir, "documents").select(
+    return tables.busy_table(spark, sf_dir, "documents").select(
         "doc_id", F.md5(text.truncate(body, fv.MAX_MESSAGE_LENGTH)).alias("message_md5"),
         text.truncate(body, fv.MAX_PATH_LENGTH).alias("path"))
 

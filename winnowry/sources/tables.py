@@ -13,15 +13,17 @@ NAMED_MODELS = ("azure/gpt-4o-mini", "xAI/Grok-4-1-Fast-beta", "github-copilot/G
 FILE_SUFFIXES = (".py", ".CPP", ".h", ".rs", ".md")
 
 
-# Tables whose rows carry per-row text or log work, and the unique key that spreads them.
-SPREAD_KEYS = {
-    "documents": ("doc_id",), "conversations": ("conv_id", "turn"), "pages": ("page_id",), "events": ("event_id",),
-}
+# Unique keys that spread the rows of tables carrying costly text or log work.
+SPREAD_KEYS = {"documents": ("doc_id",), "events": ("event_id",)}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df, SPREAD_KEYS[name]) if name in SPREAD_KEYS else df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def busy_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table for work that costs much per row, spread if its scan is too narrow."""
+    return spread(table(spark, sf_dir, name), SPREAD_KEYS[name])
 
 
 def spread(df: DataFrame, key: tuple) -> DataFrame:
@@ -42,7 +44,7 @@ def pick(values: tuple, index: Column) -> Column:
 
 
 def samples_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    docs = busy_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     return docs.join(labels, "doc_id", "left").select(
         F.col("doc_id").alias("pos"),
@@ -70,7 +72,7 @@ def files_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = F.when(doc % 7 == 0, F.lit("/tests")).otherwise(F.lit(""))
     path = F.concat(F.lit("data/ai-lab/repos/"), F.col("source"), folder, F.lit("/f"), doc.cast("string"),
                     pick(FILE_SUFFIXES, doc % 5))
-    return table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text")
+    return busy_table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text")
 
 
 def repos_from_part(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,7 +146,7 @@ def eval_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def eval_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document answers the task its id falls on (there are as many tasks as benchmark items)."""
-    return table(spark, sf_dir, "documents").select(
+    return busy_table(spark, sf_dir, "documents").select(
         (F.col("doc_id") % 40).alias("task_id"), F.col("doc_id").alias("pos"), F.col("text").alias("response"))
 
 
@@ -165,7 +167,7 @@ def training_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("warning: trainable params: 1,"), F.lpad(k.cast("string"), 3, "0"),
                             F.lit(",000 || all params: 7,"), F.lpad(k.cast("string"), 3, "0"), F.lit(",000")))
     )
-    return table(spark, sf_dir, "events").select(
+    return busy_table(spark, sf_dir, "events").select(
         F.col("user_id").alias("source"), pos.alias("pos"), line.alias("line"))
 
 
@@ -181,7 +183,7 @@ def generation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == "error", F.lit("Stage: generate"))
         .otherwise(F.concat(F.lit("prompt and completion, total tokens: 2,"), F.lpad(n, 3, "0")))
     )
-    return table(spark, sf_dir, "events").select(
+    return busy_table(spark, sf_dir, "events").select(
         F.col("user_id").alias("source"), F.col("event_id").alias("pos"), line.alias("line"))
 
 
@@ -198,5 +200,5 @@ def parallel_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == "error", F.lit("Searching with query: devops"))
         .otherwise(F.lit("Cloning https://example.org/a/b"))
     )
-    return table(spark, sf_dir, "events").select(
+    return busy_table(spark, sf_dir, "events").select(
         F.col("user_id").alias("source"), F.col("event_id").alias("pos"), line.alias("line"))
