@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,18 +19,18 @@ DELTA_SCHEMA = "run_id bigint, pos bigint, model string, counters_delta map<stri
 FILES_PER_BATCH = 8
 
 
-def drop_files(df: DataFrame, path: str, time: str = "ts", key: str = "run_id") -> str:
-    """Write rows as JSON files in three drops of rising time; a run's rows of a drop share a file."""
-    day = F.day(time)
-    for part in (day <= 10, (day > 10) & (day <= 20), day > 20):
-        df.filter(part).repartition(key).write.mode("append").json(path)
-    return path
-
-
 def finish(writer, checkpoint: str) -> None:
     tail.start(writer, checkpoint).awaitTermination()
 
 
+def in_drops(df: DataFrame, path: str, catch_up: Callable[[], None], time: str = "ts") -> None:
+    """Three drops of JSON files of rising time; after each the stream resumes and catches up."""
+    day = F.day(time)
+    for part in (day <= 10, (day > 10) & (day <= 20), day > 20):
+        df.filter(part).write.mode("append").json(path)
+        catch_up()
+
+
 @query("t1_event_tail", f"""
 WITH {o.EVENTS} SELECT pos, run_id, event_type, level, message FROM ev""")
 def event_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,9 +67,12 @@ WITH {o.UPDATES}, r AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER B
 SELECT run_id, seq, pos FROM r WHERE rn = 1""")
 def sequence_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     session, root = tail.stream_session(spark), scratch(spark, "t3")
-    drop_files(tables.sequence_updates(spark, sf_dir), f"{root}/in")
-    stream = tail.json_stream(session, f"{root}/in", _UPDATE_SCHEMA, FILES_PER_BATCH)
-    finish(state.write_versions(state.newest_by_sequence(stream, []), f"{root}/out"), f"{root}/checkpoint")
+
+    def catch_up() -> None:
+        stream = tail.json_stream(session, f"{root}/in", _UPDATE_SCHEMA)
+        finish(state.write_versions(state.newest_by_sequence(stream, []), f"{root}/out"), f"{root}/checkpoint")
+
+    in_drops(tables.sequence_updates(spark, sf_dir), f"{root}/in", catch_up)
     return state.read_versions(spark, f"{root}/out", ["run_id"]).select("run_id", "seq", "pos")
 
 
@@ -75,22 +80,29 @@ def sequence_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH RECURSIVE {o.REPLAYED} SELECT run_id, pos, seq, restarted, accepted FROM walk""")
 def restart_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     session, root = tail.stream_session(spark), scratch(spark, "t4")
-    drop_files(tables.sequence_updates(spark, sf_dir), f"{root}/in")
-    stream = tail.json_stream(session, f"{root}/in", _UPDATE_SCHEMA, FILES_PER_BATCH).select("run_id", "pos", "seq")
-    finish(tail.append_files(state.flag_sequence(stream, stale_seconds=None), f"{root}/out", "parquet"), f"{root}/checkpoint")
+
+    def catch_up() -> None:
+        stream = tail.json_stream(session, f"{root}/in", _UPDATE_SCHEMA).select("run_id", "pos", "seq")
+        flagged = state.flag_sequence(stream, stale_seconds=None)
+        finish(tail.append_files(flagged, f"{root}/out", "parquet"), f"{root}/checkpoint")
+
+    in_drops(tables.sequence_updates(spark, sf_dir), f"{root}/in", catch_up)
     return spark.read.parquet(f"{root}/out").select("run_id", "pos", "seq", "restarted", "accepted")
 
 
-def _delta_files(spark: SparkSession, sf_dir: str, root: str) -> str:
-    ev = tables.events(spark, sf_dir).select("run_id", "pos", "model", "counters_delta", "usage_delta", "ts")
-    return drop_files(ev, f"{root}/in")
+def _deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.events(spark, sf_dir).select("run_id", "pos", "model", "counters_delta", "usage_delta", "ts")
 
 
 @query("t5_counter_fold", f"WITH {_DELTAS} {_FOLDED}")
 def counter_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     session, root = tail.stream_session(spark), scratch(spark, "t5c")
-    stream = tail.json_stream(session, _delta_files(spark, sf_dir, root), DELTA_SCHEMA, FILES_PER_BATCH)
-    finish(state.write_versions(state.fold_counters(stream), f"{root}/out"), f"{root}/checkpoint")
+
+    def catch_up() -> None:
+        stream = tail.json_stream(session, f"{root}/in", DELTA_SCHEMA)
+        finish(state.write_versions(state.fold_counters(stream), f"{root}/out"), f"{root}/checkpoint")
+
+    in_drops(_deltas(spark, sf_dir), f"{root}/in", catch_up)
     return state.read_versions(spark, f"{root}/out", ["run_id", "counter"]).withColumn("value", r6("value"))
 
 
@@ -103,9 +115,13 @@ SELECT run_id, CAST(input_tokens AS DOUBLE) AS input_tokens, CAST(output_tokens
 FROM u LEFT JOIN {_price_values(fv.PRICES_PER_MILLION)} ON p.model = u.model""")
 def usage_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     session, root = tail.stream_session(spark), scratch(spark, "t5u")
-    stream = tail.json_stream(session, _delta_files(spark, sf_dir, root), DELTA_SCHEMA, FILES_PER_BATCH)
-    costed = folds.fold_usage(stream, pricing.price_table(session))
-    finish(state.write_versions(costed, f"{root}/out"), f"{root}/checkpoint")
+
+    def catch_up() -> None:
+        stream = tail.json_stream(session, f"{root}/in", DELTA_SCHEMA)
+        costed = folds.fold_usage(stream, pricing.price_table(session))
+        finish(state.write_versions(costed, f"{root}/out"), f"{root}/checkpoint")
+
+    in_drops(_deltas(spark, sf_dir), f"{root}/in", catch_up)
     return state.read_versions(spark, f"{root}/out", ["run_id"]).select(
         "run_id", "input_tokens", "output_tokens", "model", F.round("estimated_cost_usd", 9).alias("estimated_cost_usd"))
 

@@ -65,8 +65,9 @@ def flag_sequence(updates: DataFrame, gap: int = fv.RESTART_GAP,
 
     Silence is noticed by a processing-time timer, which keeps scheduling batches: run such a
     stream at an interval.  For a catch-up run over what is there, pass ``stale_seconds=None``.
-    State is one number per run.  A batch's rows of a run are read chunk by chunk and put in
-    order, so bound a batch with the source's ``maxFilesPerTrigger``.
+    State is one number per run.  A batch's rows of a run are put in order before they are
+    walked, so arrivals of different batches must not overlap in time; bound large batches with
+    the source's ``maxFilesPerTrigger``.
     """
     columns = ["run_id", "pos", "seq", "restarted", "accepted", "stale"]
 
