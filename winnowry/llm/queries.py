@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnowry.llm import chat, fingerprints, packing, sharding, urls
+from winnowry.llm import chat, fingerprints, languages, packing, sharding, urls
 from winnowry.sources.tables import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -75,6 +75,11 @@ FROM captures c LEFT JOIN found f ON c.host = f.host AND c.day = f.day
 """
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from the training folds."""
+    return languages.identify_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in eight shards of a hash tree, and in nine."""
     return sharding.shard_documents(
@@ -127,6 +132,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op5_url_filters": op5_url_filters,
+    "op6_language_id": op6_language_id,
     "op7_sharding": op7_sharding,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_best_fit_packing": op10_best_fit_packing,
