@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnowry.llm import chat, fingerprints, languages, packing, sharding, urls
+from winnowry.llm import chat, fingerprints, languages, packing, sharding, toxicity, urls
 from winnowry.sources.tables import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -24,6 +24,11 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned from the labels of the training folds."""
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def list_changes(pages: DataFrame) -> DataFrame:
     """A dated list derived from the pages: hosts come, go and return; some parent domains for a week."""
     hosts = pages.select("page_id", urls.host_of(F.col("url")).alias("host")).filter("host is not null").groupBy("host").agg(
@@ -131,6 +136,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
+    "op3_toxicity": op3_toxicity,
     "op5_url_filters": op5_url_filters,
     "op6_language_id": op6_language_id,
     "op7_sharding": op7_sharding,
