@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnowry.llm import chat, fingerprints, languages, packing, sharding, toxicity, urls
+from winnowry.llm import chat, decontamination, fingerprints, languages, packing, sharding, toxicity, urls
 from winnowry.sources.tables import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -29,6 +29,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark windows in every document."""
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def list_changes(pages: DataFrame) -> DataFrame:
     """A dated list derived from the pages: hosts come, go and return; some parent domains for a week."""
     hosts = pages.select("page_id", urls.host_of(F.col("url")).alias("host")).filter("host is not null").groupBy("host").agg(
@@ -137,6 +142,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op3_toxicity": op3_toxicity,
+    "op4_decontamination": op4_decontamination,
     "op5_url_filters": op5_url_filters,
     "op6_language_id": op6_language_id,
     "op7_sharding": op7_sharding,
