@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnowry.llm import chat, decontamination, fingerprints, languages, packing, sharding, toxicity, urls
+from winnowry.llm import chat, decontamination, fingerprints, languages, neardup, packing, sharding, toxicity, urls
 from winnowry.sources.tables import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -24,6 +24,11 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 3-word shingles agree to 85 hundredths."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), n=3, num=85, den=100)
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity of every document, learned from the labels of the training folds."""
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -141,6 +146,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_decontamination": op4_decontamination,
     "op5_url_filters": op5_url_filters,
