@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnowry.llm import chat, decontamination, fingerprints, languages, neardup, packing, sharding, toxicity, urls
+from winnowry.llm import chat, decontamination, fingerprints, languages, neardup, packing, sharding, substrings, toxicity, urls
 from winnowry.sources.tables import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -36,7 +36,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The benchmark windows in every document."""
-    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
 def list_changes(pages: DataFrame) -> DataFrame:
@@ -101,6 +101,11 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), sharding.tree(SHARD_TREE), sharding.tree(GROWN_TREE))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The passages of every document that an earlier one has."""
+    return substrings.repeated_passages(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one made of control strings, formatted and read back."""
     columns = ("conv_id", "turn", "role", "text")
@@ -152,6 +157,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_url_filters": op5_url_filters,
     "op6_language_id": op6_language_id,
     "op7_sharding": op7_sharding,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
