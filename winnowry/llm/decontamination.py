@@ -82,7 +82,7 @@ def anchors(made: DataFrame) -> DataFrame:
 
 
 def build_index(docs: DataFrame, wanted: DataFrame, size: int = WINDOW) -> DataFrame:
-    """row (own key), doc_id, n_words, postings (term, pos, around) of the wanted terms; stored.
+    """row (own key), doc_id, text_hash, n_words, postings (term, pos, around) of the wanted terms; stored.
 
     ``around`` has the 2 * size - 1 words about a posting of a rarest term, null beyond the text.
     """
@@ -96,8 +96,8 @@ def build_index(docs: DataFrame, wanted: DataFrame, size: int = WINDOW) -> DataF
             F.sequence(x["pos"] - reach, x["pos"] + reach), lambda p: F.get(ws, p))).alias("around")))
 
     made = let(words_of(F.col("text")), lambda ws: F.struct(F.size(ws).cast("bigint").alias("n_words"), postings(ws).alias("postings")))
-    return stored(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), made.alias("m")).select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", "m.n_words", "m.postings"), "leak-index")
+    return stored(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), made.alias("m")).select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", "text_hash", "m.n_words", "m.postings"), "leak-index")
 
 
 def aligned(index: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -150,7 +150,7 @@ def prepare(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame, Da
 
 
 def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for every document row.
+    """doc_id, text_hash, n_words, n_hit, n_items, items_sha256, contaminated for every document row.
 
     A word is hit inside any occurrence of an item's window.  Null and empty texts have no words;
     without items nothing is hit; repeated rows each have their result.
@@ -162,6 +162,14 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("bigint").alias("n_hit"),
         F.collect_set(F.col("item_id").cast("string")).alias("items"))
     ids = F.coalesce("items", F.array().cast("array<string>"))
-    return index.select("row", "doc_id", "n_words").join(found, "row", "left").select(
-        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"), F.size(ids).cast("bigint").alias("n_items"),
+    return index.select("row", "doc_id", "text_hash", "n_words").join(found, "row", "left").select(
+        "doc_id", "text_hash", "n_words", F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"), F.size(ids).cast("bigint").alias("n_items"),
         F.sha2(F.array_join(F.array_sort(ids), ","), 256).alias("items_sha256"), (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"))
+
+
+def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that hold no window of a test item, with all their columns."""
+    leaks = find_leaks(docs, items).filter("contaminated").select(
+        F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash")).distinct()
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_doc_id")) & (F.xxhash64("text") == F.col("_text_hash"))
+    return docs.join(leaks, same, "left_anti")

@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -146,6 +147,24 @@ def identify(docs: DataFrame, filters: Filters) -> DataFrame:
         run, "doc_id string, lang_pred string, score double").withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
+def identified(docs: DataFrame, filters: Filters, least_score: float = 0.25) -> DataFrame:
+    """The rows of ``docs`` whose text is in a learned language: not unknown, and of that score at least.
+
+    Rows are filtered where they are read, with all their columns; nothing is joined.
+    """
+    model = docs.sparkSession.sparkContext.broadcast(filters)
+
+    def good(text: str | None) -> bool:
+        name, share = model.value.predict(text)
+        return name != UNKNOWN and share >= least_score
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([good(t.as_py()) for t in batch["text"]], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def identify_documents(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score: trained on the training folds, applied to every row."""
     return identify(docs, train(docs)).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")

@@ -184,3 +184,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     own = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
     return joined.select("doc_id", "n_shingles", own.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def without_near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The rows of ``docs`` that stay: of each component the document with the smallest id, with all columns."""
+    gone = near_duplicates(docs, n, num, den).filter("not kept").select(F.col("doc_id").alias("_doc_id")).distinct()
+    return docs.join(gone, F.col("doc_id").cast("bigint") == F.col("_doc_id"), "left_anti")
