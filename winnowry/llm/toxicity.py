@@ -101,7 +101,8 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_DOCS) -> Machin
     counts = sparse.select("toxic", F.explode("slots").alias("slot")).groupBy("slot").agg(
         F.count("*").alias("n"), F.sum("toxic").alias("n1"))
     share = F.col("n") / float(n0 + n1)
-    z = (F.col("n1") / n1 - (F.col("n") - F.col("n1")) / n0) / F.sqrt(share * (1 - share) * (1 / n0 + 1 / n1))
+    spread = F.sqrt(share * (1 - share) * (1 / n0 + 1 / n1))  # 0 where all documents have the slot: then it tells nothing
+    z = F.try_divide(F.col("n1") / n1 - (F.col("n") - F.col("n1")) / n0, spread)
     best = counts.filter(F.col("n") >= MIN_DOCS).withColumn("z", F.abs(z)).filter(F.col("z") >= MIN_Z).orderBy(
         F.col("z").desc(), "slot").limit(FEATURES).select("slot").toPandas()["slot"]
     slots = np.sort(best.to_numpy(np.int64))
