@@ -32,7 +32,7 @@ def replayed(spark, rows, **blocks):
 def expected(rows):
     want = {}
     for run in {r[0] for r in rows}:
-        mine = sorted(r for r in rows if r[0] == run)
+        mine = sorted((r for r in rows if r[0] == run), key=lambda r: r[1])
         want.update({(run, p): v for (_, p, _), v in zip(mine, replay([r[2] for r in mine]), strict=True)})
     return want
 
@@ -49,31 +49,33 @@ def test_replay_named_cases(spark):
 def test_replay_in_small_blocks(spark, seed):
     rng = random.Random(seed)
     positions = rng.sample(range(400), 150)
-    rows = [(rng.choice("aaaab"), p, rng.randrange(rng.choice([15, 40]))) for p in positions]
-    assert replayed(spark, rows, fold_rows=4, fold_blocks=3) == expected(rows)
+    rows = [(rng.choice(["a", "a", "a", "b", None]), p * 10**9, rng.randrange(rng.choice([15, 40]))) for p in positions]
+    assert replayed(spark, rows, fold_bits=2, super_bits=1) == expected(rows)
 
 
 @pytest.mark.parametrize("largest", [True, False])
 def test_running_extreme_in_small_blocks(spark, largest):
     rng = random.Random(7)
-    rows = [(rng.choice("aab"), p, rng.randrange(50)) for p in rng.sample(range(300), 120)]
+    rows = [(rng.choice(["a", "a", "b", None]), p * 10**6, rng.randrange(50)) for p in rng.sample(range(300), 120)]
     df = spark.createDataFrame(rows, "k string, pos bigint, v bigint")
     got = {(r.k, r.pos): r.m for r in sequence.running_extreme(
-        df, ["k"], "pos", F.col("v"), "m", largest, block_rows=16).collect()}
+        df, ["k"], "pos", F.col("v"), "m", largest, block_bits=4).collect()}
     for k, p, _ in rows:
         before = [v for k2, p2, v in rows if k2 == k and p2 < p]
         assert got[(k, p)] == ((max if largest else min)(before) if before else None)
 
 
 def test_sequence_guard_and_stale(spark):
-    rows = [("r", 0, 5, "2024-01-01 00:00:00"), ("r", 1, 5, "2024-01-01 00:00:30"), ("r", 2, 5, "2024-01-01 00:00:31"),
-            ("r", 3, 6, "2024-01-01 00:01:00"), ("r", 4, 1, "2024-01-01 00:01:10")]
+    rows = [("r", 0, 5, "2024-01-01 00:00:00"), ("r", 1, 5, "2024-01-01 00:00:30"), ("r", 2, 5, "2024-01-01 00:00:30.5"),
+            ("r", 3, 5, "2024-01-01 00:00:31"), ("r", 4, 6, "2024-01-01 00:01:00"), ("r", 5, 1, "2024-01-01 00:01:10"),
+            (None, 0, 3, "2024-01-01 00:00:00"), (None, 1, 3, "2024-01-01 01:00:00")]
     df = spark.createDataFrame(rows, "run_id string, pos bigint, seq bigint, ts string").withColumn(
         "ts", F.to_timestamp_ntz("ts"))
-    guarded = {r.pos: r.accepted for r in sequence.guard_sequence(df, ["run_id"]).collect()}
-    assert guarded == {0: True, 1: False, 2: False, 3: True, 4: False}
-    stale = {r.pos: r.stale for r in sequence.stale_flags(sequence.replay_sequence(df)).collect()}
-    assert stale == {0: False, 1: False, 2: True, 3: False, 4: False}
+    guarded = {(r.run_id, r.pos): r.accepted for r in sequence.guard_sequence(df, ["run_id"]).collect()}
+    assert guarded == {("r", 0): True, ("r", 1): False, ("r", 2): False, ("r", 3): False, ("r", 4): True, ("r", 5): False,
+                       (None, 0): True, (None, 1): False}
+    stale = {(r.run_id, r.pos) for r in sequence.stale_flags(sequence.replay_sequence(df, ts="ts")).collect() if r.stale}
+    assert stale == {("r", 2), ("r", 3), (None, 1)}
 
 
 def test_top_n_with_a_hot_key(spark):

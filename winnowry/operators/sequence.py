@@ -1,9 +1,10 @@
-"""Ordered rules per run: sequence guard, restarts, running extremes.
+"""Ordered rules per run: sequence guard, restarts, staleness, running extremes.
 
-A run may own a third of all rows, so nothing here windows or collects a whole run.
-Rows are cut into blocks of consecutive positions; blocks are summarized, the short
-list of summaries is scanned, and every block then finishes on its own.
-``pos`` must be a non-negative integer, unique within a run.
+A run may own a third of all rows, so nothing here windows or collects a whole run.  Rows are once
+range-partitioned and sorted by key and position, numbered in that order and written; a block is a
+fixed count of consecutive numbers, whatever the positions are.  Blocks are summarized, the short list
+of summaries is scanned, and every block then finishes on its own with all its columns.  Null keys are
+a key like any other, and rows without a position come first.
 """
 
 from __future__ import annotations
@@ -14,30 +15,52 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from winnowry import fixed_values as fv
+from winnowry.session import stored
 
-BLOCK_ROWS = 65_536
-FOLD_ROWS = 1_024
-FOLD_BLOCKS = 4_096
+PART_BITS = 33  # of the numbers that monotonically_increasing_id gives within a partition
+BLOCK_BITS = 16
+FOLD_BITS = 10
+SUPER_BITS = 12
+
+
+def placed(df: DataFrame, keys: list[str], pos: str) -> DataFrame:
+    """The rows in order of key and position, with that order as ``_at``."""
+    ranged = df.repartitionByRange(*keys, pos).sortWithinPartitions(*keys, pos)
+    return stored(ranged.withColumn("_at", F.monotonically_increasing_id()), "sequence")
+
+
+def same(rows: DataFrame, other: DataFrame, names: dict[str, str]) -> Column:
+    """Null-safe equality of the named columns, as join condition."""
+    out = F.lit(True)
+    for left, right in names.items():
+        out = out & rows[left].eqNullSafe(other[right])
+    return out
 
 
 def running_extreme(df: DataFrame, keys: list[str], pos: str, value: Column, out: str,
-                    greatest: bool = True, block_rows: int = BLOCK_ROWS) -> DataFrame:
+                    greatest: bool = True, block_bits: int = BLOCK_BITS) -> DataFrame:
     """Extreme of ``value`` over all earlier rows of the key (the row itself excluded).
 
-    ``value`` may be a struct.  Within a block a window runs over at most ``block_rows``
-    rows; across blocks only one pre-aggregated row per block is scanned.
+    ``value`` may be a struct.  A window runs over at most 2 ** block_bits rows of a block, over the
+    block totals of one partition, or over one total per partition.
     """
     agg: Callable[[Column], Column] = F.max if greatest else F.min
     pick = F.greatest if greatest else F.least
-    block = [*keys, "_block"]
-    rows = df.withColumn("_block", F.floor(F.col(pos) / block_rows)).withColumn("_value", value)
-    totals = rows.groupBy(*block).agg(agg("_value").alias("_total"))
-    before = Window.partitionBy(*keys) if keys else Window.partitionBy()
-    before = before.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carries = totals.select(*block, agg("_total").over(before).alias("_carry"))
-    inside = Window.partitionBy(*block).orderBy(pos).rowsBetween(Window.unboundedPreceding, -1)
-    joined = rows.join(carries, block).withColumn("_local", agg("_value").over(inside))
-    return joined.withColumn(out, pick("_carry", "_local")).drop("_block", "_value", "_carry", "_local")
+    rows = placed(df.withColumn("_value", value), keys, pos).withColumn("_block", F.shiftright("_at", block_bits))
+    blocks = rows.groupBy(*keys, "_block").agg(agg("_value").alias("_total")).withColumn(
+        "_part", F.shiftright("_block", PART_BITS - block_bits))
+    parts = blocks.groupBy(*keys, "_part").agg(agg("_total").alias("_total"))
+    before = Window.unboundedPreceding, -1
+    over_keys = Window.partitionBy(*keys) if keys else Window.partitionBy()
+    upper = parts.select(*[F.col(k).alias(f"_u_{k}") for k in keys], F.col("_part").alias("_u_part"),
+                         agg("_total").over(over_keys.orderBy("_part").rowsBetween(*before)).alias("_upper"))
+    lower = blocks.withColumn("_lower", agg("_total").over(Window.partitionBy(*keys, "_part").orderBy("_block").rowsBetween(*before)))
+    both = lower.join(upper, same(lower, upper, {k: f"_u_{k}" for k in keys} | {"_part": "_u_part"}))
+    carries = both.select(*[F.col(k).alias(f"_c_{k}") for k in keys], F.col("_block").alias("_c_block"),
+                          pick("_upper", "_lower").alias("_carry"))
+    inside = Window.partitionBy(*keys, "_block").orderBy("_at").rowsBetween(*before)
+    joined = rows.join(carries, same(rows, carries, {k: f"_c_{k}" for k in keys} | {"_block": "_c_block"}))
+    return joined.withColumn("_local", agg("_value").over(inside)).select(*df.columns, pick("_carry", "_local").alias(out))
 
 
 def guard_sequence(df: DataFrame, keys: list[str], pos: str = "pos", seq: str = "seq") -> DataFrame:
@@ -46,98 +69,92 @@ def guard_sequence(df: DataFrame, keys: list[str], pos: str = "pos", seq: str =
     return seen.withColumn("accepted", F.coalesce(F.col(seq) > F.col("_seen"), F.lit(True))).drop("_seen")
 
 
-def replay_sequence(df: DataFrame, key: str = "run_id", pos: str = "pos", seq: str = "seq",
-                    gap: int = fv.RESTART_GAP, fold_rows: int = FOLD_ROWS,
-                    fold_blocks: int = FOLD_BLOCKS) -> DataFrame:
+def replay_sequence(df: DataFrame, key: str = "run_id", pos: str = "pos", seq: str = "seq", ts: str | None = None,
+                    gap: int = fv.RESTART_GAP, fold_bits: int = FOLD_BITS, super_bits: int = SUPER_BITS) -> DataFrame:
     """Add ``last_before``, ``restarted`` and ``accepted`` of the guarded update rule.
 
-    A sequence number below the last accepted one by more than ``gap`` restarts the run
-    and is accepted; otherwise it is accepted only above the last one.  So one row maps
-    the last accepted number L to itself when seq <= L <= seq + gap, and to seq otherwise.
-    A block is therefore known from its first number and the results for L = first + 0..gap
-    (every other L acts like L = first).  Those tables compose, which lets blocks be folded
-    in parallel and scanned as a short list.  Runs of at most ``fold_rows`` rows are one block.
+    With ``ts`` also ``last_ts_before``, the time of the last accepted update.  A number below the last
+    accepted one L by more than ``gap`` restarts the run and is accepted; otherwise it is accepted only
+    above L.  Unless L lies between a block's first number and ``gap`` above it, that first number is
+    accepted.  So the outcomes for these starts and one for all others describe a block; such tables
+    compose, which lets blocks be folded in parallel and scanned as short lists.
     """
-    large = df.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > fold_rows).select(key, "_n")
-    block = F.when(F.col("_n").isNotNull(), F.floor(F.col(pos) / fold_rows)).otherwise(F.lit(0))
-    rows = df.select(key, pos, seq).join(large, key, "left").withColumn("_block", block)
-
-    def step(last: Column, s: Column) -> Column:
-        return F.when((s > last) | (s < last - gap), s).otherwise(last)
-
-    def enter(block: Column, last: Column) -> Column:
-        offset = last - block["first"]
-        known = offset.between(0, gap)
-        slot = F.when(F.coalesce(known, F.lit(False)), offset).otherwise(F.lit(0)).cast("int")
-        return F.get(block["table"], slot)
-
-    starts = F.sequence(F.lit(0), F.lit(gap))
-
-    # rows -> blocks: at most fold_rows entries are collected per block
-    blocks = rows.groupBy(key, "_block").agg(
-        F.sort_array(F.collect_list(F.struct(F.col(pos).alias("pos"), F.col(seq).alias("seq")))).alias("_rows")
-    ).withColumn("first", F.get("_rows", F.lit(0))["seq"])
-    blocks = blocks.withColumn("table", F.transform(starts, lambda d: F.aggregate(
-        "_rows", F.col("first") + d, lambda last, r: step(last, r["seq"]))))
-
-    # blocks -> superblocks: at most fold_blocks entries each
-    supers = blocks.withColumn("_super", F.floor(F.col("_block") / fold_blocks)).groupBy(key, "_super").agg(
-        F.sort_array(F.collect_list(F.struct("_block", "first", "table"))).alias("_blocks")
-    ).withColumn("first", F.get("_blocks", F.lit(0))["first"])
-    supers = supers.withColumn("table", F.transform(starts, lambda d: F.aggregate(
-        "_blocks", F.col("first") + d, lambda last, b: enter(b, last))))
-
-    # superblocks of one run: one entry per fold_rows * fold_blocks positions
-    nothing = F.lit(None).cast("bigint")
-
-    def incoming(entries: str, start: Column) -> Column:
-        """Value of L on entry to each listed block."""
-        walked = F.aggregate(
-            entries,
-            F.struct(start.alias("last"), F.array().cast("array<bigint>").alias("seen")),
-            lambda acc, b: F.struct(
-                enter(b, acc["last"]).alias("last"),
-                F.concat(acc["seen"], F.array(acc["last"])).alias("seen"),
-            ),
-        )
-        return walked["seen"]
-
-    tops = supers.groupBy(key).agg(
-        F.sort_array(F.collect_list(F.struct("_super", "first", "table"))).alias("_supers"))
-    entered = tops.withColumn("_in", incoming("_supers", nothing)).select(
-        key, F.inline(F.arrays_zip(F.col("_supers").alias("s"), F.col("_in").alias("start")))
-    ).select(key, F.col("s._super").alias("_super"), "start")
-    per_block = supers.select(key, "_super", "_blocks").join(entered, [key, "_super"]).withColumn(
-        "_in", incoming("_blocks", F.col("start"))
-    ).select(key, F.inline(F.arrays_zip(F.col("_blocks").alias("b"), F.col("_in").alias("start"))))
-    carries = per_block.select(key, F.col("b._block").alias("_block"), "start")
-
-    # every block replays its own rows
-    replayed = blocks.join(carries, [key, "_block"]).withColumn("_walk", F.aggregate(
-        "_rows",
-        F.struct(F.col("start").alias("last"), F.array().cast("array<bigint>").alias("seen")),
-        lambda acc, r: F.struct(
-            F.coalesce(step(acc["last"], r["seq"]), r["seq"]).alias("last"),
-            F.concat(acc["seen"], F.array(acc["last"])).alias("seen"),
-        ),
-    )["seen"])
-    result = replayed.select(key, F.inline(F.arrays_zip(F.col("_rows").alias("r"), F.col("_walk").alias("last_before"))))
-    result = result.select(key, F.col("r.pos").alias(pos), "last_before")
+    time = F.col(ts) if ts else F.lit(None).cast("timestamp")
+    rows = placed(df, [key], pos).withColumn("_block", F.shiftright("_at", fold_bits))
+    by_at = lambda a, b: F.when(a["at"] < b["at"], F.lit(-1)).when(a["at"] > b["at"], F.lit(1)).otherwise(F.lit(0))
+
+    def state(v: Column, t: Column, changed: Column) -> Column:
+        return F.struct(v.cast("bigint").alias("v"), t.cast("timestamp").alias("t"), changed.alias("changed"))
+
+    def taken(last: Column, s: Column) -> Column:
+        return F.coalesce(last.isNull() | (s > last) | (s < last - gap), F.lit(False))
+
+    def step(acc: Column, s: Column, t: Column) -> Column:
+        return F.when(taken(acc["v"], s), state(s, t, F.lit(True))).otherwise(acc)
+
+    def enter(entry: Column, acc: Column) -> Column:
+        """The state behind an entry of a list, for the state before it."""
+        offset = acc["v"] - entry["first"]
+        slot = F.when(F.coalesce(offset.between(0, gap), F.lit(False)), offset).otherwise(F.lit(gap + 1)).cast("int")
+        met = F.get(entry["table"], slot)
+        return F.when(met["changed"], met).otherwise(acc)
+
+    def tabled(entries: Column, fold: Callable[[Column, Column], Column]) -> Column:
+        """Outcomes for the first number plus 0 .. gap, and for every other start."""
+        unknown = state(F.lit(None), F.lit(None), F.lit(False))
+        near = F.transform(F.sequence(F.lit(0), F.lit(gap)), lambda d: F.aggregate(
+            entries, state(F.col("first") + d, F.lit(None), F.lit(False)), fold))
+        return F.concat(near, F.array(F.aggregate(entries, unknown, fold)))
+
+    def walked(entries: Column, start: Column, fold: Callable[[Column, Column], Column]) -> Column:
+        """The state before each entry."""
+        seen = F.struct(start.alias("s"), F.array().cast("array<struct<v:bigint,t:timestamp,changed:boolean>>").alias("seen"))
+        return F.aggregate(entries, seen, lambda acc, x: F.struct(
+            fold(acc["s"], x).alias("s"), F.array_append(acc["seen"], acc["s"]).alias("seen")))["seen"]
+
+    def by_row(acc: Column, r: Column) -> Column:
+        return step(acc, r["seq"], r["t"])
+
+    def by_entry(acc: Column, e: Column) -> Column:
+        return enter(e, acc)
+
+    # rows -> blocks -> superblocks -> one list per key; at most 2 ** fold_bits, 2 ** super_bits entries are collected
+    blocks = rows.groupBy(key, "_block").agg(F.array_sort(F.collect_list(
+        F.struct(F.col("_at").alias("at"), F.col(seq).alias("seq"), time.alias("t"))), by_at).alias("rs"))
+    blocks = blocks.withColumn("first", F.get("rs", F.lit(0))["seq"]).select(
+        key, "_block", F.shiftright("_block", super_bits).alias("_super"), F.get("rs", F.lit(0))["at"].alias("at"), "first",
+        tabled(F.col("rs"), by_row).alias("table"))
+    entry = F.struct("at", "first", "table")
+    supers = blocks.groupBy(key, "_super").agg(F.array_sort(F.collect_list(entry), by_at).alias("bs"))
+    supers = supers.withColumn("first", F.get("bs", F.lit(0))["first"]).withColumn("at", F.get("bs", F.lit(0))["at"]).withColumn(
+        "table", tabled(F.col("bs"), by_entry))
+    tops = supers.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("at", "first", "table", "bs")), by_at).alias("ss"))
+    nothing = state(F.lit(None), F.lit(None), F.lit(False))
+    started = tops.select(F.explode(F.arrays_zip(F.col("ss").alias("s"), walked(F.col("ss"), nothing, by_entry).alias("start"))).alias("z"))
+    carried = started.select("z.s.bs", "z.start").select(F.explode(F.arrays_zip(
+        F.col("bs").alias("b"), walked(F.col("bs"), F.col("start"), by_entry).alias("start"))).alias("z")).select(
+        F.col("z.b.at").alias("_first"), F.col("z.start").alias("start"))
+
+    # every block replays its own rows, which carry all their columns; its first number is unique
+    names = df.columns
+    own = rows.groupBy(key, "_block").agg(
+        F.array_sort(F.collect_list(F.struct(F.col("_at").alias("at"), F.col(seq).alias("seq"), time.alias("t"),
+                                             F.struct(*names).alias("row"))), by_at).alias("rs"), F.min("_at").alias("_first"))
+    replayed = own.join(carried, "_first").select(F.explode(F.arrays_zip(
+        F.col("rs").alias("r"), walked(F.col("rs"), F.col("start"), by_row).alias("before"))).alias("z")).select(
+        "z.r.row.*", F.col("z.before.v").alias("last_before"), F.col("z.before.t").alias("last_ts_before"))
     s, last = F.col(seq), F.col("last_before")
-    return df.join(result, [key, pos]).withColumns({
-        "restarted": F.coalesce(s < last - gap, F.lit(False)),
-        "accepted": last.isNull() | (s > last) | (s < last - gap),
-    })
-
-
-def stale_flags(replayed: DataFrame, key: str = "run_id", pos: str = "pos", ts: str = "ts",
-                seconds: int = fv.STALE_SECONDS) -> DataFrame:
-    """Add ``stale``: not accepted, and the last accepted update is older than ``seconds``."""
-    accepted_at = F.when(F.col("accepted"), F.struct(F.col(pos), F.col(ts)))
-    seen = running_extreme(replayed, [key], pos, accepted_at, "_last")
-    age = F.timestamp_diff("SECOND", F.col("_last")[ts], F.col(ts))
-    late = ~F.col("accepted") & (age > seconds)
-    return seen.withColumn("stale", F.coalesce(late, F.lit(False))).drop("_last")
+    out = replayed.withColumns({"restarted": F.coalesce(s < last - gap, F.lit(False)), "accepted": taken(last, s)})
+    return out if ts else out.drop("last_ts_before")
+
+
+def stale_flags(replayed: DataFrame, ts: str = "ts", seconds: int = fv.STALE_SECONDS) -> DataFrame:
+    """Add ``stale``: not accepted, and the last accepted update is more than ``seconds`` of real time older.
+
+    ``replayed`` comes from ``replay_sequence`` with ``ts``.
+    """
+    late = ~F.col("accepted") & (F.col(ts) > F.col("last_ts_before") + F.expr(f"INTERVAL {seconds} SECONDS"))
+    return replayed.withColumn("stale", F.coalesce(late, F.lit(False)))
 
 
 def best_so_far(runs: DataFrame, pos: str, loss: str, keys: list[str] | None = None) -> DataFrame:

@@ -545,10 +545,10 @@ def restart_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("t4_stale_flags", f"""
 WITH RECURSIVE {o.REPLAYED}
-SELECT run_id, pos, restarted, coalesce(NOT accepted AND date_diff('microsecond', last_ts_before, ts) >= {(fv.STALE_SECONDS + 1)} * 1000000, false) AS stale
+SELECT run_id, pos, restarted, coalesce(NOT accepted AND ts > last_ts_before + INTERVAL {fv.STALE_SECONDS} SECONDS, false) AS stale
 FROM walk""")
 def stale_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    replayed = sequence.replay_sequence(tables.sequence_updates(spark, sf_dir))
+    replayed = sequence.replay_sequence(tables.sequence_updates(spark, sf_dir), ts="ts")
     return sequence.stale_flags(replayed).select("run_id", "pos", "restarted", "stale")
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SHARED_DIR_KEY = "spark.checkpoint.dir"
 
@@ -29,16 +30,28 @@ def build_session(master: str | None = None, app: str = "winnowry", **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by the cluster.
 
-    Only a local session may fall back to a temporary folder of this machine.
+    Only a local session without the setting uses one temporary folder of this machine, as small trials do.
     """
     configured = spark.conf.get(SHARED_DIR_KEY, None) or spark.sparkContext.getConf().get(SHARED_DIR_KEY)
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {SHARED_DIR_KEY} to a folder all executors can reach")
+    return local_dir()
+
+
+@functools.cache
+def local_dir() -> str:
     return tempfile.mkdtemp(prefix="winnowry-")
 
 
 def scratch(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_dir(spark)}/winnowry/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows written to the shared folder and read back: lineage ends there, lost executors cost nothing."""
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
