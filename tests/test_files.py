@@ -120,3 +120,20 @@ def test_event_stream_skips_broken_lines(spark, tmp_path, broken):
     assert tail.start(tail.append_files(stream, out), str(tmp_path / "cp")).awaitTermination(60)
     rows = spark.read.json(out).select("run_id", "message", F.col("event_version")).collect()
     assert [tuple(r) for r in rows] == [("a", "m", "1.0")]
+
+
+def test_jsonl_keeps_every_decodable_object(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from winnowry.functions import text
+    from winnowry.sources import readers
+
+    lines = ['{"instruction":"i","response":"r","quality_score":"0.9"}', '{"instruction":"i","response":"r","quality_score":true}',
+             '{"instruction":["x"],"response":"r","quality_score":0.5}', '{"instruction":5,"response":"r","quality_score":[1]}',
+             '{"instruction":null,"response":"r"}', '{"broken', "", "[1]", "7"]
+    (tmp_path / "a.jsonl").write_text("\n".join(lines) + "\n")
+    rows = readers.read_jsonl(spark, str(tmp_path)).orderBy("pos")
+    got = [(r.instruction, r.response, r.quality_score) for r in rows.collect()]
+    assert got == [("i", "r", 0.9), ("i", "r", 1.0), (None, "r", 0.5), (None, "r", None), (None, "r", None)]
+    valid = [r.v for r in rows.select(text.valid_format(F.col("instruction"), F.col("response")).alias("v")).collect()]
+    assert not any(valid[2:])

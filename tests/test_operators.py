@@ -236,3 +236,20 @@ def test_parallel_log(spark):
              "INFO Generated 90 samples from 10 files", "x samples=12"]
     df = spark.createDataFrame([("l", i, x) for i, x in enumerate(lines)], "source string, pos bigint, line string")
     assert tuple(loglines.parallel_progress(df).first()) == ("l", "done", 10, 10, 90)
+
+
+def test_second_progress_form(spark):
+    from winnowry.operators import loglines
+
+    rows = [(" 12%|##  | 30/250 | loss", 30, 250), ("Step 4/9", 4, 9), ("Step 4/9 5%| 7/8 |", 7, 8), ("| 1/2 | no sign", None, None)]
+    df = spark.createDataFrame([(r[0],) for r in rows], "line string")
+    assert [(r.step, r.steps) for r in loglines.with_training_metrics(df).collect()] == [r[1:] for r in rows]
+
+
+def test_every_task_is_answered(spark):
+    from winnowry.sources import tables
+
+    sf_dir = "/root/testdata/sf0.1"
+    tasks = tables.eval_tasks(spark, sf_dir)
+    answered = tables.eval_responses(spark, sf_dir).select("task_id").distinct()
+    assert tasks.count() == 200 and tasks.join(answered, "task_id", "left_anti").count() == 0

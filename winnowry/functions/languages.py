@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from winnowry import fixed_values as fv
+from winnowry.functions.text import strip
 
 
 def detect_language(c: Column, patterns: tuple = fv.LANGUAGE_PATTERNS) -> Column:
@@ -61,5 +62,5 @@ def extensions_of_languages(languages: Column) -> Column:
 
 
 def split_list(c: Column) -> Column:
-    """Comma list, trimmed, blanks dropped."""
-    return F.filter(F.transform(F.split(c, ","), lambda x: F.trim(x)), lambda x: x != "")
+    """Comma list, stripped of all white space, blanks dropped."""
+    return F.filter(F.transform(F.split(c, ","), strip), lambda x: x != "")

@@ -33,6 +33,8 @@ def training_metrics(line: Column) -> dict[str, Column]:
 
     bar = r"\|\s*(\d+)/(\d+)\s*\[.*?([0-9]+\.?[0-9]*)s/it"
     is_bar = has("%|") & has("s/it")
+    is_ratio = has("|") & has("/") & has("%")
+    ratio = r"\|\s*([0-9]+)/([0-9]+)\s*\|"
     is_params = F.contains(F.lower(line), F.lit("params"))
 
     def given(gate: Column, pattern: str, group: int, kind: str) -> Column:
@@ -44,8 +46,8 @@ def training_metrics(line: Column) -> dict[str, Column]:
         "sec_per_it": given(is_bar, bar, 3, "double"),
         "round": given(has("Round"), r"Round (\d+)/(\d+)", 1, "bigint"),
         "rounds": given(has("Round"), r"Round (\d+)/(\d+)", 2, "bigint"),
-        "step": given(has("Step"), r"Step (\d+)/(\d+)", 1, "bigint"),
-        "steps": given(has("Step"), r"Step (\d+)/(\d+)", 2, "bigint"),
+        "step": F.coalesce(given(is_ratio, ratio, 1, "bigint"), given(has("Step"), r"Step (\d+)/(\d+)", 1, "bigint")),
+        "steps": F.coalesce(given(is_ratio, ratio, 2, "bigint"), given(has("Step"), r"Step (\d+)/(\d+)", 2, "bigint")),
         "loss": given(has("'loss':"), r"'loss':\s*'([0-9.]+)'", 1, "double"),
         "learning_rate": given(has("'learning_rate':"), r"'learning_rate':\s*'([0-9.e-]+)'", 1, "double"),
         "trainable_params": given(is_params, r"(?i)(trainable params|trainable_params)[:\s]+([\d,]+)", 2, "bigint"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from winnowry import fixed_values as fv
+from winnowry.functions.text import strip
 
 
 def resolve_status(stop_requested: Column, status: Column, last_error: Column, health: Column,
@@ -84,7 +85,7 @@ def clock_time(iso: Column) -> Column:
 
 
 def provider_name(provider: Column) -> Column:
-    key = F.trim(F.lower(provider))
+    key = strip(F.lower(provider))
     table = F.create_map(*[F.lit(x) for pair in fv.PROVIDER_NAMES for x in pair])
     words = F.regexp_extract_all(key, F.lit(r"\p{L}+|[^\p{L}]+"), F.lit(0))
     title = F.array_join(F.transform(words, lambda w: F.initcap(w)), "")

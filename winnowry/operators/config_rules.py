@@ -39,9 +39,9 @@ def violations(configs: DataFrame, rules: DataFrame, key: str = "run_id") -> Dat
 
 def missing_required(configs: DataFrame, rules: DataFrame, key: str = "run_id") -> DataFrame:
     """Required keys a run does not set."""
-    needed = rules.filter("required").agg(F.collect_set("key").alias("_needed")).first()["_needed"]
-    wanted = F.array(*[F.lit(k) for k in sorted(needed)]) if needed else F.array().cast("array<string>")
-    have = configs.filter(F.col("key").isin(*needed)) if needed else configs.filter(F.lit(False))
+    needed = rules.filter("required").select("key")
+    wanted = needed.agg(F.collect_set("key")).scalar()
+    have = configs.join(needed, "key", "left_semi")
     runs = configs.select(key).distinct().join(
         have.groupBy(key).agg(F.collect_set("key").alias("_have")), key, "left")
     nothing = F.array().cast("array<string>")

@@ -20,6 +20,21 @@ def check_code(responses: DataFrame, tasks: DataFrame) -> DataFrame:
     })
 
 
+def check_counts(answers: DataFrame) -> DataFrame:
+    """Totals and passed checks per round and category of responses that carry their task's fields.
+
+    Code passes by its expected pattern, an instruction by its keywords and its length.
+    """
+    res, told = F.col("response"), F.col("category") == "instruction"
+    keyword = ev.keyword_match(res, F.col("keywords"))
+    length = ev.length_ok(res, F.col("expected_length")["min"], F.col("expected_length")["max"])
+    passed = F.when(told, keyword & length).otherwise(ev.pattern_hit(res, F.col("expected")))
+    return answers.groupBy("round", "category").agg(
+        F.count("*").alias("total"), F.count_if(passed).alias("passed"),
+        F.count_if(~told & ev.has_test_function(res)).alias("has_test"),
+        F.count_if(told & keyword).alias("keyword_match"), F.count_if(told & length).alias("length_appropriate"))
+
+
 def check_instructions(responses: DataFrame, tasks: DataFrame) -> DataFrame:
     """Keyword and length checks of instruction responses, one row per response."""
     joined = responses.join(tasks, "task_id")

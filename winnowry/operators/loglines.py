@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from winnowry.functions import logs
+from winnowry.functions import logs, text
 from winnowry.operators.ranking import top_n_per_group
 
 
@@ -67,7 +67,7 @@ def latest_values(df: DataFrame, names: list[str], key: str = "source", pos: str
 
 def parallel_progress(recent: DataFrame, key: str = "source", pos: str = "pos") -> DataFrame:
     """Stage and counts after reading each (bounded) tail of a parallel generation log."""
-    m = recent.withColumns(logs.parallel_metrics(F.trim("line")))
+    m = recent.withColumns(logs.parallel_metrics(text.strip(F.col("line"))))
     last = {n: F.max_by(n, F.when(F.col(n).isNotNull(), F.col(pos))) for n in ("stage", "processed_files", "total_files")}
     done = F.max(F.when(F.col("finished_samples").isNotNull(), F.struct(F.col(pos).alias("p"), F.col("finished_samples").alias("n"))))
     running = F.collect_list(F.when(F.col("running_samples").isNotNull(),

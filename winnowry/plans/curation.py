@@ -16,7 +16,14 @@ TIGHT = CleanRules(max_per_language=100)
 
 
 def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.normalize_samples(tables.samples_from_documents(spark, sf_dir))
+    """Normalized samples before any label: a pure projection of the documents."""
+    return cleaning.normalize_samples(tables.samples_from_documents(spark, sf_dir, scored=False))
+
+
+def labelled(samples: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels joined once texts are cut and duplicates gone."""
+    labels = tables.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("pos"), F.col("quality").cast("double").alias("label"))
+    return samples.join(labels, "pos", "left").withColumn("quality_score", F.coalesce("label", F.lit(0.0))).drop("label")
 
 
 def deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,7 +31,7 @@ def deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def judged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.judge(deduplicated(spark, sf_dir))
+    return cleaning.judge(labelled(deduplicated(spark, sf_dir), spark, sf_dir))
 
 
 def cleaned(spark: SparkSession, sf_dir: str, rules: CleanRules = CleanRules()) -> DataFrame:
@@ -67,7 +74,7 @@ def detect_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("p5_toxic_hits", f"""
 WITH {o.SAMPLES} SELECT pos, {o.TOXIC} AS toxic FROM samples""")
 def toxic_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    samples = tables.samples_from_documents(spark, sf_dir)
+    samples = tables.samples_from_documents(spark, sf_dir, scored=False)
     return samples.select("pos", text.is_toxic(F.col("response")).alias("toxic"))
 
 
@@ -82,7 +89,7 @@ def format_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {o.NORMALIZED}, {o.entropy_of("norm")}, {o.languages_of("norm")}, {o.quality_of("norm")}
 SELECT pos, round(quality, 6) AS quality FROM qualities""")
 def quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = normalized(spark, sf_dir)
+    n = labelled(normalized(spark, sf_dir), spark, sf_dir)
     res = F.col("response")
     score = scoring.quality_score(
         F.col("quality_score"), F.col("instruction"), F.col("context"), res,

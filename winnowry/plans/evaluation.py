@@ -9,6 +9,7 @@ from winnowry.functions import evaluation as ev
 from winnowry.operators import evaluating
 from winnowry.plans import oracle as o
 from winnowry.plans.registry import query, r6
+from winnowry.session import scratch
 from winnowry.sources import tables
 
 _MATCH = ("len(list_filter(keywords, lambda k: contains(lower(response), lower(k)))) >= len(keywords) // 2")
@@ -31,21 +32,6 @@ def expected_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
         ev.has_test_function(F.col("response")).alias("has_test"))
 
 
-@query("p39_python_parses")
-def python_parses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """No SQL: parsing Python is not expressible there.  Tested against the parser itself."""
-    code = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("x = '''"), F.col("text"), F.lit("'''"))).otherwise(F.col("text"))
-    docs = tables.busy_table(spark, sf_dir, "documents")
-    return docs.select("doc_id", ev.python_parses(code).alias("parses"))
-
-
-@query("p39_code_checks")
-def code_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """No SQL: includes the syntax check."""
-    out = evaluating.check_code(tables.eval_responses(spark, sf_dir), tables.eval_tasks(spark, sf_dir))
-    return out.select("pos", "passed", "syntax_valid", "runnable")
-
-
 def _as_code(text: Column) -> Column:
     """Prose bent into lines that carry indents, comments and function names."""
     return F.replace(F.replace(text, F.lit(", "), F.lit("\n    def ")), F.lit(". "), F.lit("\n  # "))
@@ -66,7 +52,7 @@ SELECT c.doc_id, lines.n AS line_count, CAST(length(code) AS BIGINT) AS char_cou
        round(coalesce(share, 0.0), 6) AS indentation_consistency, round(coalesce(score, 0.0), 6) AS naming_convention_score
 FROM c JOIN lines USING (doc_id) LEFT JOIN shares USING (doc_id) LEFT JOIN snake USING (doc_id)""")
 def code_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = tables.busy_table(spark, sf_dir, "documents").select("doc_id", _as_code(F.col("text")).alias("code"))
+    docs = tables.table(spark, sf_dir, "documents").select("doc_id", _as_code(F.col("text")).alias("code"))
     metrics = ev.code_metrics(F.col("code"))
     rounded = [(r6(c) if n.endswith(("ratio", "consistency", "score")) else c).alias(n) for n, c in metrics.items()]
     return docs.select("doc_id", *rounded)
@@ -147,3 +133,24 @@ SELECT round, metric, value FROM d UNPIVOT (value FOR metric IN (python_total, p
 def metric_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = _results(spark, sf_dir).drop("python_pass_rate", "cpp_pass_rate", "instruction_pass_rate")
     return evaluating.unpivot_metrics(wide, ["round"]).withColumn("value", r6("value"))
+
+
+@query("a9_checks_by_category", f"""
+WITH {o.TASKS}, c AS (
+  SELECT pos % 5 AS round, CASE pos % 3 WHEN 0 THEN 'python' WHEN 1 THEN 'cpp' ELSE 'instruction' END AS category,
+    contains(response, expected) AS hit, contains(response, 'def test_') AS has_test,
+    {_MATCH} AS keyword_match, length(response) BETWEEN 20 AND 2000 AS length_ok FROM answers)
+SELECT round, category, count(*) AS total,
+  count(*) FILTER (CASE WHEN category = 'instruction' THEN keyword_match AND length_ok ELSE hit END) AS passed,
+  count(*) FILTER (category <> 'instruction' AND has_test) AS has_test,
+  count(*) FILTER (category = 'instruction' AND keyword_match) AS keyword_match,
+  count(*) FILTER (category = 'instruction' AND length_ok) AS length_appropriate
+FROM c GROUP BY 1, 2""")
+def checks_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses joined to their tasks, checked by category, counted per round, written by round and read back."""
+    joined = tables.eval_responses(spark, sf_dir).join(tables.eval_tasks(spark, sf_dir), "task_id")
+    category = tables.pick(evaluating.CATEGORIES, F.col("pos") % 3)
+    counts = evaluating.check_counts(joined.withColumns({"round": F.col("pos") % 5, "category": category}))
+    path = scratch(spark, "checks")
+    counts.write.partitionBy("round").parquet(path)
+    return spark.read.parquet(path).withColumn("round", F.col("round").cast("bigint")).select(counts.columns)

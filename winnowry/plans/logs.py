@@ -30,9 +30,9 @@ _SEVERITY = ("CASE WHEN contains(upper(line), 'ERROR') THEN 'ERROR' WHEN contain
              "WHEN contains(upper(line), 'INFO') THEN 'INFO' WHEN contains(upper(line), 'DEBUG') THEN 'DEBUG' ELSE 'OTHER' END")
 
 
-def _tail(n: int) -> str:
+def _tail(n: int, table: str = "lines") -> str:
     return f"""
-ranked AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY pos DESC) AS rn FROM lines),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY pos DESC) AS rn FROM {table}),
 recent AS (SELECT * FROM ranked WHERE rn <= {n})"""
 
 
@@ -68,13 +68,15 @@ def log_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("f7_training_lines", f"""
-WITH {_LINES}, {_tail(3)},
+WITH {_LINES}, planted AS (SELECT * FROM lines WHERE source % 7 <> 0 OR event_type NOT IN ('click', 'view', 'purchase')), {_tail(25, "planted")},
 h AS (SELECT *, event_type IN ('click', 'view', 'purchase') AS hit FROM recent),
 a AS (SELECT *, max(CAST(hit AS INTEGER)) OVER (PARTITION BY source) AS any_hit FROM h)
 SELECT source, pos, line FROM a WHERE hit OR any_hit = 0""")
 def training_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    recent = loglines.tail(tables.training_log(spark, sf_dir), 3, ["source"])
-    return loglines.training_lines(recent)
+    """The last 25 lines of each source; every seventh source has no training line and keeps them all."""
+    lines = tables.training_log(spark, sf_dir)
+    planted = lines.filter((F.col("source") % 7 != 0) | F.col("line").startswith("ERROR") | F.col("line").startswith("warning"))
+    return loglines.training_lines(loglines.tail(planted, 25, ["source"]))
 
 
 @query("k3_tail_lines", f"WITH {_LINES} SELECT source, pos, line FROM lines ORDER BY pos DESC LIMIT 300")

@@ -216,7 +216,7 @@ checks AS (
   SELECT CAST(day(ts) AS BIGINT) AS round,
          CASE event_type WHEN 'click' THEN 'python' WHEN 'view' THEN 'cpp' ELSE 'instruction' END AS category,
          value >= 50 AS passed
-  FROM events WHERE event_type IN ('click', 'view', 'purchase')
+  FROM events
 )"""
 
 _WORDS = "list_filter(string_split_regex(text, '[ \\n]+'), lambda w: w <> '')"
@@ -227,5 +227,5 @@ tasks AS (
 ),
 answers AS (
   SELECT d.doc_id AS pos, d.text AS response, t.expected, t.keywords
-  FROM documents d JOIN tasks t ON t.task_id = d.doc_id % 40
+  FROM documents d JOIN tasks t ON t.task_id = d.doc_id % (SELECT count(*) FROM benchmark)
 )"""

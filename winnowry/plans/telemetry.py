@@ -39,8 +39,8 @@ _DOCS = f"docs AS (SELECT doc_id, text || ' ' || ({_PLANTED})[doc_id % {len(PLAN
 
 def _planted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     secret = tables.pick(PLANTED, F.col("doc_id") % len(PLANTED))
-    docs = tables.busy_table(spark, sf_dir, "documents")
-    return docs.select("doc_id", F.concat("text", F.lit(" "), secret, F.lit(" end")).alias("t"))
+    docs = tables.table(spark, sf_dir, "documents")
+    return docs.select("doc_id", "source", F.concat("text", F.lit(" "), secret, F.lit(" end")).alias("t"))
 
 
 @query("p17_redact_secrets", f"WITH {_DOCS} SELECT doc_id, md5({_redacted('t')}) AS redacted_md5 FROM docs")
@@ -66,7 +66,7 @@ WITH c AS (SELECT doc_id, chr(27) || '[1;31m' || text || chr(27) || '[0m' || chr
 SELECT doc_id, md5(regexp_replace(t, {o.quote(fv.ANSI_PATTERN)}, '', 'g')) AS plain_md5 FROM c""")
 def strip_ansi(spark: SparkSession, sf_dir: str) -> DataFrame:
     colored = F.concat(F.lit("\x1b[1;31m"), F.col("text"), F.lit("\x1b[0m\x1bM"))
-    docs = tables.busy_table(spark, sf_dir, "documents")
+    docs = tables.table(spark, sf_dir, "documents")
     return docs.select("doc_id", F.md5(text.strip_ansi(colored)).alias("plain_md5"))
 
 
@@ -74,21 +74,20 @@ def strip_ansi(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT doc_id, md5({_truncated('text', 500)}) AS message_md5, {_truncated('text', 100)} AS path FROM documents""")
 def truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.col("text")
-    return tables.busy_table(spark, sf_dir, "documents").select(
+    return tables.table(spark, sf_dir, "documents").select(
         "doc_id", F.md5(text.truncate(body, fv.MAX_MESSAGE_LENGTH)).alias("message_md5"),
         text.truncate(body, fv.MAX_PATH_LENGTH).alias("path"))
 
 
 @query("p20_sanitize_values", f"""
-WITH {_DOCS}, clean AS (SELECT doc_id, {_redacted('right(t, 160)')} AS t, source FROM docs JOIN documents USING (doc_id))
+WITH {_DOCS}, clean AS (SELECT doc_id, {_redacted('t')} AS t, source FROM docs JOIN documents USING (doc_id))
 SELECT doc_id, 'note' AS key, {_truncated('t', 100)} AS value FROM clean
 UNION ALL SELECT doc_id, 'source', source FROM clean
 UNION ALL SELECT doc_id, 'list', {_truncated('t', 500)} FROM clean""")
 def sanitize_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _planted_documents(spark, sf_dir).join(tables.table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id")
-    tail = F.expr("right(t, 160)")
-    values = text.sanitize_map(F.create_map(F.lit("note"), tail, F.lit("source"), F.col("source")))
-    items = text.sanitize_array(F.array(tail))
+    docs = _planted_documents(spark, sf_dir)
+    values = text.sanitize_map(F.create_map(F.lit("note"), F.col("t"), F.lit("source"), F.col("source")))
+    items = text.sanitize_array(F.array("t"))
     return docs.select("doc_id", F.explode(
         F.map_concat(values, F.create_map(F.lit("list"), F.get(items, F.lit(0))))).alias("key", "value"))
 
@@ -299,19 +298,31 @@ def spend_by_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return priced.select("provider", "model", F.round("cost_usd", 9).alias("cost_usd"))
 
 
-DEFAULT_PRICE = ("xai/grok-4-1-fast", 1_000, 0.20, 0.50)
+def _default_cost(pin: float, pout: float) -> str:
+    return f"""
+WITH {o.calls()}, {_USED}
+SELECT provider, used.model, round(pt / coalesce(unit, 1000) * coalesce(pin, {pin}) + ct / coalesce(unit, 1000) * coalesce(pout, {pout}), 9) AS cost_usd
+FROM used LEFT JOIN {_price_values(fv.PRICES_PER_THOUSAND)} ON p.model = used.model"""
 
 
-@query("p24_j2_spend_with_default", f"""
-WITH {o.calls()}, {_USED}
-SELECT provider, used.model, round(pt / coalesce(unit, 1000) * coalesce(pin, 0.2) + ct / coalesce(unit, 1000) * coalesce(pout, 0.5), 9) AS cost_usd
-FROM used LEFT JOIN {_price_values(fv.PRICES_PER_THOUSAND)} ON p.model = used.model""")
-def spend_with_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _spend_with_default(spark: SparkSession, sf_dir: str, model: str) -> DataFrame:
+    """Models without a price cost what ``model`` does."""
+    price = next(p for p in fv.PRICES_PER_THOUSAND if p[0] == model)
     prices = pricing.price_table(spark, fv.PRICES_PER_THOUSAND)
-    priced = pricing.add_cost(_used(spark, sf_dir), prices, "pt", "ct", default_price=DEFAULT_PRICE)
+    priced = pricing.add_cost(_used(spark, sf_dir), prices, "pt", "ct", default_price=price)
     return priced.select("provider", "model", F.round("cost_usd", 9).alias("cost_usd"))
 
 
+@query("p24_j2_spend_with_default", _default_cost(0.0, 0.0))
+def spend_with_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _spend_with_default(spark, sf_dir, fv.DEFAULT_PRICE_MODEL)
+
+
+@query("p24_j2_spend_with_priced_default", _default_cost(0.2, 0.5))
+def spend_with_priced_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _spend_with_default(spark, sf_dir, "xai/grok-4-1-fast")
+
+
 CUSTOM_PRICES = (("gpt-4o", 1_000_000, 1.0, 2.0), ("unlisted-model", 1_000_000, 7.0, 9.0))
 
 

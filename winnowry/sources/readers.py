@@ -32,11 +32,20 @@ def line_position() -> list[Column]:
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str = SAMPLE_SCHEMA) -> DataFrame:
-    """JSON Lines with blank and broken lines skipped, plus (file_path, pos)."""
-    full = T.StructType.fromDDL(f"{schema}, {CORRUPT} string")
-    rows = spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
-    kept = rows.select("*", *line_position()).filter(F.col(CORRUPT).isNull())
-    return kept.drop(CORRUPT)
+    """JSON Lines with blank and broken lines and lines that are no object skipped, plus (file_path, pos).
+
+    Every decodable object stays.  A text field that holds no string is null, so that the format rule
+    rejects the row; other fields are cast, or null where that fails.
+    """
+    def field(f: T.StructField) -> Column:
+        value = F.try_variant_get("_v", f"$.{f.name}", f.dataType.simpleString())
+        if isinstance(f.dataType, T.StringType):
+            value = F.when(F.schema_of_variant(F.try_variant_get("_v", f"$.{f.name}", "variant")) == "STRING", value)
+        return value.alias(f.name)
+
+    rows = spark.read.text(path).select(F.try_parse_json("value").alias("_v"), *line_position())
+    objects = rows.filter(F.schema_of_variant("_v").startswith("OBJECT"))
+    return objects.select(*[field(f) for f in T.StructType.fromDDL(schema)], "file_path", "pos")
 
 
 def json_array_counts(spark: SparkSession, path: str) -> DataFrame:

@@ -13,40 +13,23 @@ NAMED_MODELS = ("azure/gpt-4o-mini", "xAI/Grok-4-1-Fast-beta", "github-copilot/G
 FILE_SUFFIXES = (".py", ".CPP", ".h", ".rs", ".md")
 
 
-# Unique keys that spread the rows of tables carrying costly text or log work.
-SPREAD_KEYS = {"documents": ("doc_id",), "events": ("event_id",)}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def busy_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The table for work that costs much per row, spread if its scan is too narrow."""
-    return spread(table(spark, sf_dir, name), SPREAD_KEYS[name])
-
-
-def spread(df: DataFrame, key: tuple) -> DataFrame:
-    """Hash rows over the cores when a scan has too few partitions to keep them busy.
-
-    A few large row groups would otherwise leave costly text work to a few tasks.  A large
-    table has many partitions and is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= 4 * cores:
-        return df
-    return df.repartition(2 * cores, *key)
-
-
 def pick(values: tuple, index: Column) -> Column:
     """values[index] of a fixed list."""
     return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
 
 
-def samples_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = busy_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    return docs.join(labels, "doc_id", "left").select(
+def samples_from_documents(spark: SparkSession, sf_dir: str, scored: bool = True) -> DataFrame:
+    """Documents as samples; without ``scored`` no label is joined and the base score is 0."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    if not scored:
+        docs = docs.withColumn("quality", F.lit(None).cast("int"))
+    else:
+        docs = docs.join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
+    return docs.select(
         F.col("doc_id").alias("pos"),
         F.substring("text", 1, 200).alias("instruction"),
         F.col("source").alias("context"),
@@ -72,7 +55,7 @@ def files_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = F.when(doc % 7 == 0, F.lit("/tests")).otherwise(F.lit(""))
     path = F.concat(F.lit("data/ai-lab/repos/"), F.col("source"), folder, F.lit("/f"), doc.cast("string"),
                     pick(FILE_SUFFIXES, doc % 5))
-    return busy_table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text")
+    return table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text")
 
 
 def repos_from_part(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,14 +109,12 @@ def sequence_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def eval_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as evaluation outcomes: the day is the round."""
-    category = (
-        F.when(F.col("event_type") == "click", F.lit("python")).when(F.col("event_type") == "view", F.lit("cpp"))
-        .when(F.col("event_type") == "purchase", F.lit("instruction"))
-    )
+    """All events as evaluation outcomes: the day is the round."""
+    category = F.when(F.col("event_type") == "click", F.lit("python")).when(
+        F.col("event_type") == "view", F.lit("cpp")).otherwise(F.lit("instruction"))
     return table(spark, sf_dir, "events").select(
         F.day("ts").cast("bigint").alias("round"), category.alias("category"),
-        (F.col("value") >= 50).alias("passed")).filter(F.col("category").isNotNull())
+        (F.col("value") >= 50).alias("passed"))
 
 
 def eval_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,9 +126,10 @@ def eval_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def eval_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document answers the task its id falls on (there are as many tasks as benchmark items)."""
-    return busy_table(spark, sf_dir, "documents").select(
-        (F.col("doc_id") % 40).alias("task_id"), F.col("doc_id").alias("pos"), F.col("text").alias("response"))
+    """Every document answers the task its id falls on, going round all benchmark items."""
+    tasks = table(spark, sf_dir, "benchmark").agg(F.count("*")).scalar()
+    return table(spark, sf_dir, "documents").select(
+        (F.col("doc_id") % tasks).alias("task_id"), F.col("doc_id").alias("pos"), F.col("text").alias("response"))
 
 
 def training_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,7 +149,7 @@ def training_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("warning: trainable params: 1,"), F.lpad(k.cast("string"), 3, "0"),
                             F.lit(",000 || all params: 7,"), F.lpad(k.cast("string"), 3, "0"), F.lit(",000")))
     )
-    return busy_table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events").select(
         F.col("user_id").alias("source"), pos.alias("pos"), line.alias("line"))
 
 
@@ -183,7 +165,7 @@ def generation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == "error", F.lit("Stage: generate"))
         .otherwise(F.concat(F.lit("prompt and completion, total tokens: 2,"), F.lpad(n, 3, "0")))
     )
-    return busy_table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events").select(
         F.col("user_id").alias("source"), F.col("event_id").alias("pos"), line.alias("line"))
 
 
@@ -194,11 +176,11 @@ def parallel_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = (
         F.when(kind == "click", F.concat(F.lit("Generating:  10%|# | "), n, F.lit("/100 [00:10<01:00, samples="),
                                          (k * 9).cast("string"), F.lit(" file=a.py]")))
-        .when(kind == "view", F.concat(F.lit("Processing "), n, F.lit(" files with 2 workers...")))
+        .when(kind == "view", F.concat(F.lit("\tProcessing "), n, F.lit(" files with 2 workers...\x0b")))
         .when(kind == "purchase", F.concat(F.lit("INFO Generated "), (k * 3).cast("string"), F.lit(" samples from "),
                                            n, F.lit(" files")))
         .when(kind == "error", F.lit("Searching with query: devops"))
         .otherwise(F.lit("Cloning https://example.org/a/b"))
     )
-    return busy_table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events").select(
         F.col("user_id").alias("source"), F.col("event_id").alias("pos"), line.alias("line"))

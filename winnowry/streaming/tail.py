@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from winnowry.functions import text
 from winnowry.operators import runs
 from winnowry.sources.readers import CORRUPT, EVENT_SCHEMA
 
@@ -41,7 +42,7 @@ def line_stream(spark: SparkSession, path: str, files_per_batch: int | None = No
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     lines = reader.text(path).select(
-        F.trim("value").alias("line"), F.col("_metadata.file_modification_time").alias("file_time"),
+        text.strip(F.col("value")).alias("line"), F.col("_metadata.file_modification_time").alias("file_time"),
         F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("start"))
     return lines.filter(F.col("line") != "")
 
