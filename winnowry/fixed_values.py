@@ -137,19 +137,6 @@ EOS_TOKEN = "</s>"
 RESPONSE_MARKER = "### Response:"
 VALIDATION_FRACTION = 0.05
 
-# --- evaluation tasks -------------------------------------------------------
-CODE_TASKS = (
-    ("python", "python_fibonacci", "def fibonacci(n):"),
-    ("python", "python_reverse", "def reverse_string"),
-    ("python", "python_binary_search", "def binary_search"),
-    ("cpp", "cpp_hello", "#include"),
-    ("cpp", "cpp_sort", "void sort"),
-)
-INSTRUCTION_TASKS = (
-    ("explain_code", ("recursive", "factorial", "multiplication", "base case"), 20, 200),
-    ("debug_code", ("bug", "fix", "error", "syntax"), 15, 150),
-)
-
 # --- telemetry --------------------------------------------------------------
 EVENT_VERSION = "1.0"
 EVENT_FIELDS = (
@@ -161,11 +148,6 @@ STATUS_FIELDS = (
     "counters", "usage", "gpu_summary", "resource_stats", "last_event_ts", "health",
     "updated_at", "sequence_number",
 )
-COUNTER_NAMES = (
-    "teacher_generated", "teacher_failed", "raw_written", "validated_ok", "rejected_schema",
-    "rejected_secret", "rejected_dedupe", "test_pass", "test_fail", "train_step", "train_loss",
-    "eval_json_parse_rate", "eval_format_rate",
-)
 USAGE_NAMES = (
     "requests_sent", "input_tokens", "output_tokens", "rate_limits_hit", "retries",
     "estimated_cost_usd",

@@ -76,6 +76,22 @@ def source_tree_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.groupBy(F.regexp_extract("path", r"source=([^/]+)", 1).alias("repo")).agg(F.sum("length").alias("bytes"))
 
 
+@query("s4_source_text", """
+SELECT source AS repo, CAST(sum(length(text) + 1) AS BIGINT) AS chars,
+  CAST(sum(length(text) - length(replace(text, chr(10), '')) + 1) AS BIGINT) AS lines
+FROM documents WHERE doc_id % 7 <> 0 GROUP BY source""")
+def source_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text of the wanted files of such a tree, measured by repository."""
+    folder = F.when(F.col("doc_id") % 7 == 0, F.lit("tests")).otherwise(F.lit("src"))
+    root = scratch(spark, "tree")
+    tables.table(spark, sf_dir, "documents").select("source", folder.alias("folder"), "text").write.partitionBy("source", "folder").text(root)
+    rules = ScanRules(extensions=(".TXT",), ignored_directories=("folder=tests",))
+    files = readers.read_source_files(spark, root, rules)
+    newlines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
+    return files.groupBy(F.regexp_extract("path", r"source=([^/]+)", 1).alias("repo")).agg(
+        F.sum(F.length("text")).cast("bigint").alias("chars"), F.sum(newlines).cast("bigint").alias("lines"))
+
+
 @query("s5_line_list_scan", "SELECT url AS value FROM pages")
 def line_list_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = tables.table(spark, sf_dir, "pages")

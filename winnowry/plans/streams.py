@@ -165,10 +165,8 @@ def report_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     reports.repartition(4).write.json(f"{root}/in")
     schema = "run_id bigint, pos bigint, status string"
     stream = tail.json_stream(session, f"{root}/in", schema, 2)
-    finish(state.write_versions(state.newest_reports(stream, ["status"]), f"{root}/out"), f"{root}/checkpoint")
-    again = tail.json_stream(session, f"{root}/in", schema, 2)
-    finish(tail.append_files(state.rejected_reports(again), f"{root}/rejected", "parquet"), f"{root}/checkpoint-rejected")
-    accepted = state.read_versions(spark, f"{root}/out", ["run_id"])
+    finish(state.write_reports(stream, f"{root}/out", f"{root}/rejected", ["status"]), f"{root}/checkpoint")
+    accepted = state.newest_reports(spark.read.schema(schema).parquet(f"{root}/out"), ["status"])
     rejected = spark.read.schema(schema).parquet(f"{root}/rejected")
     return accepted.select(F.lit("accepted").alias("outcome"), "run_id", "pos", "status").unionByName(
         rejected.select(F.lit("rejected").alias("outcome"), F.lit(-1).cast("bigint").alias("run_id"), "pos", "status"))

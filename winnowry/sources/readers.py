@@ -79,9 +79,15 @@ def read_keyed_json(spark: SparkSession, path: str, schema: str, key_pattern: st
 
 
 def _wanted_files(spark: SparkSession, root: str, rules: ScanRules) -> DataFrame:
-    """Binary-file scan below ``root`` with ``path`` rewritten to start with ``root`` as given."""
+    """Binary-file scan below ``root`` with ``path`` rewritten to start with ``root`` as given.
+
+    Files of other suffixes are left out when files are listed, so their content is never read.
+    """
     base = root.rstrip("/") + "/"
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    either = lambda c: f"[{c.lower()}{c.upper()}]" if c.isascii() and c.isalpha() else c
+    suffixes = ",".join("".join(map(either, e)) for e in rules.extensions)
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    files = reader.option("pathGlobFilter", f"*{{{suffixes}}}").load(root)
     below = F.regexp_replace("path", rf"^.*?\Q{base}\E", "")
     named = files.withColumn("path", F.concat(F.lit(base), below))
     return named.filter(

@@ -48,6 +48,17 @@ def write_versions(stream: DataFrame, path: str) -> DataStreamWriter:
     return stream.writeStream.outputMode("update").foreachBatch(write)
 
 
+def write_reports(stream: DataFrame, path: str, rejected_path: str, fields: list[str]) -> DataStreamWriter:
+    """Both outcomes of every batch in one pass: its newest report per run, and its reports without a run."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        newest_reports(batch, fields).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        rejected_reports(batch).write.mode("overwrite").parquet(f"{rejected_path}/batch={batch_id}")
+        batch.unpersist()
+
+    return stream.writeStream.foreachBatch(write)
+
+
 def read_versions(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """Current row per key: the one of its newest batch."""
     versions = spark.read.parquet(path)
