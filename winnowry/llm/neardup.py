@@ -6,8 +6,9 @@ their rarest few, so each text enters only the lists of those.  The sketch of th
 estimates their similarity and drops most chance meetings; the full sets decide the rest exactly.
 
 Texts with equal sets are one node from the start.  A list is first compared with a few hubs, which
-joins the members of a dense group in linear time; afterwards only members of a list that are still in
-different components are compared, so no pair of different texts that shares a list stays untested.
+joins the members of a dense group in linear time.  Afterwards members of a list that are still in
+different components are compared, unless their sizes and the shingles they share with anyone rule a
+link out, so no link between different texts is lost.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,8 +27,7 @@ from winnowry.llm.common import stored
 from winnowry.llm.components import components
 
 SKETCH = 48
-HUBS = 2
-HUB_ROUNDS = 2
+CROSS_ROWS, CROSS_COLUMNS = 256, 1024  # texts of a block pair compared in one task
 SLACK = 5.2  # standard errors of the overlap of two sketches that may be lacking: fewer than 1 link in a million
 
 
@@ -89,7 +90,7 @@ def least_overlap(n: Column, k: int, share: float) -> Column:
 
 
 def inverted_lists(nodes: DataFrame, k: int, share: float) -> DataFrame:
-    """value, key: each node in the lists of its rarest values; values of one node only make no list.
+    """value, key, shared (how many of its values others have): each node in the lists of its rarest values; values of one node only make no list.
 
     Rarer values come first in one order over all nodes; sketches that agree in ``need`` values agree
     in one of the first (size - need + 1).  Values held by one node lead that order and are skipped by count.
@@ -98,8 +99,8 @@ def inverted_lists(nodes: DataFrame, k: int, share: float) -> DataFrame:
     held = nodes.select(F.explode("sketch").alias("value")).groupBy("value").agg(F.count("*").alias("df")).filter("df > 1")
     shared = postings.join(held, "value").groupBy("key", "need").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("vs"))
     lists = shared.filter(F.size("vs") >= F.col("need")).select(
-        "key", F.explode(F.slice("vs", F.lit(1), F.size("vs") - F.col("need") + 1)).alias("v"))
-    return stored(lists.select(F.col("v.value").alias("value"), "key"), "near-lists")
+        "key", F.size("vs").alias("shared"), F.explode(F.slice("vs", F.lit(1), F.size("vs") - F.col("need") + 1)).alias("v"))
+    return stored(lists.select(F.col("v.value").alias("value"), "key", "shared"), "near-lists")
 
 
 def ordered(pairs: DataFrame) -> DataFrame:
@@ -107,12 +108,14 @@ def ordered(pairs: DataFrame) -> DataFrame:
     return pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def hub_pairs(lists: DataFrame, seed: int) -> DataFrame:
-    """Every member of a list with a few members chosen by hash; linear in the size of the list."""
-    hubs = lists.groupBy("value").agg(*[
-        F.min(F.struct(F.xxhash64("key", F.lit(seed * HUBS + i)).alias("h"), "key")).alias(f"h{i}") for i in range(HUBS)])
-    hubs = hubs.select("value", F.array_distinct(F.array(*[F.col(f"h{i}.key") for i in range(HUBS)])).alias("hubs"))
-    return ordered(lists.join(hubs, "value").select(F.col("key").alias("a"), F.explode("hubs").alias("b")))
+def hub_pairs(lists: DataFrame, rank: Column, seed: int) -> DataFrame:
+    """Every member of a list with its hub, the member of the highest rank; linear in the size of the list.
+
+    Among equals each list draws its own.
+    """
+    draw = F.xxhash64("key", "value", F.lit(seed))
+    hubs = lists.groupBy("value").agg(F.max(F.struct(rank.alias("rank"), draw.alias("draw"), "key")).alias("hub"))
+    return ordered(lists.join(hubs, "value").select(F.col("key").alias("a"), F.col("hub.key").alias("b")))
 
 
 def open_lists(lists: DataFrame, roots: DataFrame) -> DataFrame:
@@ -124,11 +127,65 @@ def open_lists(lists: DataFrame, roots: DataFrame) -> DataFrame:
     return stored(named.join(main, "value").withColumn("minor", F.col("root") != F.col("main")).drop("main"), "near-open")
 
 
-def cross_pairs(opened: DataFrame) -> DataFrame:
-    """All pairs of a list that lie in different components; one of each pair is outside the largest."""
-    minor = opened.filter("minor").select("value", F.col("key").alias("a"), F.col("root").alias("ra"))
-    other = opened.select("value", F.col("key").alias("b"), F.col("root").alias("rb"), F.col("minor").alias("mb"))
-    return ordered(minor.join(other, "value").filter("ra <> rb and (not mb or a < b)").select("a", "b"))
+def partner_bounds(opened: DataFrame, nodes: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """key, n, most: a set links with none larger than ``most``, by how many of its shingles any other has.
+
+    Every intersection lies within the shingles that a set shares with anyone; they are counted over the
+    members of open lists, among which all links still to be found are.
+    """
+    keys = opened.select("key").distinct()
+    each = sets.join(keys, "key").select("key", F.explode("hashes").alias("hash"))
+    held = each.groupBy("hash").agg(F.count("*").alias("df")).filter("df > 1").select("hash")
+    shared = each.join(held, "hash").groupBy("key").agg(F.count("*").alias("s"))
+    s = F.coalesce("s", F.lit(0))
+    return nodes.join(keys, "key", "left_semi").select("key", "n").join(shared, "key", "left").select(
+        "key", "n", F.floor((s * den - (F.col("n") - s) * num) / num).alias("most"))
+
+
+def cross_links(opened: DataFrame, hubs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """All links (a, b) between different components that share an open list, by the full sets.
+
+    ``hubs`` are pairs that tie the members of every open list together; what they tie is a cluster, and
+    one of each pair is outside the cluster's largest component.  Blocks of such members meet blocks of
+    all members in tasks of bounded size, which return the links alone.  Sets that can link with none,
+    by their size and the shingles they share with anyone, stay out.
+    """
+    each = opened.select("key", "root", "n", "most").distinct().filter(F.col("most") * den >= F.col("n") * num)
+    tied = components(hubs).select(F.col("node").alias("key"), F.col("root").alias("cluster"))
+    each = stored(each.join(tied, "key"), "near-clustered")
+    parts = each.groupBy("cluster", "root").agg(F.count("*").alias("m"))
+    sizes = parts.groupBy("cluster").agg(F.max(F.struct("m", "root")).alias("main"), F.sum("m").alias("all"), F.count("*").alias("parts"))
+    sizes = sizes.filter("parts > 1").select("cluster", F.col("main.root").alias("main"), (F.col("all") - F.col("main.m")).alias("others"), "all")
+    named = each.join(sizes, "cluster").withColumns({
+        "outside": F.col("root") != F.col("main"), "rows": F.ceil(F.col("others") / CROSS_ROWS), "columns": F.ceil(F.col("all") / CROSS_COLUMNS)})
+    block = lambda n, salt: F.pmod(F.xxhash64("key", F.lit(salt)), F.col(n))
+    span = lambda n: F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)
+    kept = ("key", "root", "cluster")
+    left = named.filter("outside").select(*kept, F.lit(True).alias("outside"), block("rows", 1).alias("i"), F.explode(span("columns")).alias("j"))
+    right = named.select(*kept, F.lit(False).alias("outside"), F.explode(span("rows")).alias("i"), block("columns", 2).alias("j"))
+    met = left.unionByName(right).join(sets, "key")
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        us, vs = group[group["outside"]], group[~group["outside"]]
+        out = []
+        if len(us) and len(vs):
+            flat = np.concatenate(vs["hashes"].to_numpy())
+            lengths = vs["hashes"].map(len).to_numpy()
+            starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+            keys, roots = vs["key"].to_numpy(), vs["root"].to_numpy()
+            known, codes = np.unique(flat, return_inverse=True)
+            for key, root, hashes in zip(us["key"], us["root"], us["hashes"]):
+                at = np.searchsorted(known, hashes)
+                at = at[(at < len(known)) & (known[np.minimum(at, len(known) - 1)] == hashes)]
+                mark = np.zeros(len(known), dtype=np.int64)
+                mark[at] = 1
+                both = np.add.reduceat(mark[codes], starts)
+                good = (both * den >= (len(hashes) + lengths - both) * num) & (roots != root)
+                out += [(key, other) for other in keys[good]]
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return met.select("key", "root", "outside", "hashes", "cluster", "i", "j").groupBy("cluster", "i", "j").applyInPandas(
+        compare, "a bigint, b bigint")
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, k: int, num: int, den: int) -> DataFrame:
@@ -162,20 +219,17 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     lists = inverted_lists(nodes, k, num / den)
     wanted = nodes.join(lists.select("key").distinct(), "key", "left_semi").select("key", "doc_id", "digest")
     sets = full_sets(docs, wanted, n)
-    opened = lists.select("value", "key")
-    links, tested, roots = None, None, None
-    for step in range(HUB_ROUNDS + 1):
-        pairs = hub_pairs(opened, step) if step < HUB_ROUNDS else cross_pairs(opened)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, f"near-pairs{step}")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        found = verified(pairs, nodes, sets, k, num, den)
-        known = found if roots is None else found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        roots = stored(components(known), f"near-roots{step}")
-        opened = open_lists(lists, roots)
-        if opened.isEmpty():
-            break
+    # First hubs share most of their sketch, second ones have the fewest shingles of their own; then all the rest.
+    pairs = stored(hub_pairs(lists, F.col("shared"), 0), "near-pairs")
+    roots = stored(components(verified(pairs, nodes, sets, k, num, den)), "near-roots")
+    rooted = lambda found: stored(components(found.unionByName(
+        roots.select(F.col("node").alias("a"), F.col("root").alias("b")))), "near-roots")
+    opened = open_lists(lists, roots)
+    if not opened.isEmpty():
+        bounds = stored(partner_bounds(opened, nodes, sets, num, den), "near-bounds")
+        hubs = stored(hub_pairs(opened.join(bounds, "key"), F.col("most") / F.col("n"), 1), "near-hubs")
+        roots = rooted(verified(hubs, nodes, sets, k, num, den))
+        roots = rooted(cross_links(open_lists(lists, roots).join(bounds, "key"), hubs, sets, num, den))
     named = nodes.select("digest", "doc_id", "key").join(roots, F.col("key") == F.col("node"), "left").select(
         "digest", "doc_id", F.coalesce("root", "key").alias("root"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
