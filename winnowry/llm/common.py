@@ -4,22 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from winnowry.session import scratch
+from winnowry.session import stored  # noqa: F401  the operators take it from here
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 HELD_OUT_FOLDS = 5
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """The rows written to the shared folder and read back: lineage ends there, lost executors cost nothing."""
-    path = scratch(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value) with value computed once per row."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
