@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from winnowry.plans import registry
@@ -23,7 +24,7 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", app="bench", **{
         "spark__ui__enabled": "false", "spark__ui__showConsoleProgress": "false", "spark__driver__memory": "8g",
         "spark__sql__shuffle__partitions": str(2 * int(cpus) if cpus.isdigit() else 16),
-        "spark__sql__files__maxPartitionBytes": "4m",
+        "spark__sql__files__maxPartitionBytes": "4m", "spark__checkpoint__dir": tempfile.mkdtemp(prefix="bench-"),
     })
     spark.sparkContext.setLogLevel("ERROR")
     queries = registry.load()
