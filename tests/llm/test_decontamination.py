@@ -74,7 +74,7 @@ def test_proximity_in_any_order(spark):
     docs = spark.createDataFrame([(1, "gamma x beta x x alpha"), (2, "alpha " + "of the " * 30 + "beta gamma"), (3, "beta gamma")],
                                  "doc_id bigint, text string")
     docs = docs.unionByName(spark.createDataFrame([(i, "of the of the") for i in range(10, 20)], docs.schema))
-    index, made, wanted = dc.prepare(docs, items)
+    index, made, wanted = dc.prepare(docs, items, factor=None)
     near = dc.proximity_matches(index, made, wanted, span=8).join(index.select("row", "doc_id"), "row").collect()
     assert {r["doc_id"] for r in near} == {1}
     assert dc.phrase_matches(index, made, wanted).count() == 0

@@ -19,6 +19,7 @@ from winnowry.llm.common import let, lower_ascii, stored, words
 SEPARATORS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]"
 WINDOW = 10
 RARE = 3
+LIST_FACTOR = 4  # lists longer than so many times a window's rarest are not fetched: the words around a posting settle them
 FILTER_BITS = 1 << 20
 
 
@@ -61,15 +62,23 @@ def term_counts(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return vocabulary.join(seen, "term", "left").select("term", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def windows(items: DataFrame, counts: DataFrame, size: int = WINDOW, rare: int = RARE) -> DataFrame:
-    """Adds ``windows``: start and rarest positions (rarest first) of each; a shorter item is one window."""
+def windows(items: DataFrame, counts: DataFrame, size: int = WINDOW, rare: int = RARE, factor: int | None = LIST_FACTOR) -> DataFrame:
+    """Adds ``windows``: start and rarest positions (rarest first) of each; a shorter item is one window.
+
+    Positions whose list is more than ``factor`` times as long as the rarest are left out; None keeps them.
+    """
     ranked = items.select("item", F.posexplode("words").alias("ipos", "term")).join(counts, "term").groupBy("item").agg(
         F.array_sort(F.collect_list(F.struct("ipos", "n"))).alias("ns"))
     n = F.size("words")
     length = F.least(n, F.lit(size))
-    picked = F.transform(F.sequence(F.lit(0), n - length), lambda s: F.struct(s.alias("start"), F.transform(F.slice(F.array_sort(
-        F.transform(F.slice("ns", s + 1, length), lambda x: F.struct(x["n"].alias("n"), x["ipos"].alias("ipos")))),
-        F.lit(1), F.lit(rare)), lambda x: x["ipos"]).alias("rare")))
+    def rarest(s: Column) -> Column:
+        least = F.slice(F.array_sort(F.transform(F.slice("ns", s + 1, length), lambda x: F.struct(
+            x["n"].alias("n"), x["ipos"].alias("ipos")))), F.lit(1), F.lit(rare))
+        if factor is not None:
+            least = let(least, lambda xs: F.filter(xs, lambda x: x["n"] <= F.get(xs, F.lit(0))["n"] * factor))
+        return F.transform(least, lambda x: x["ipos"])
+
+    picked = F.transform(F.sequence(F.lit(0), n - length), lambda s: F.struct(s.alias("start"), rarest(s).alias("rare")))
     return items.join(ranked, "item").withColumn("windows", picked).drop("ns")
 
 
@@ -127,7 +136,7 @@ def phrase_matches(index: DataFrame, made: DataFrame, wanted: DataFrame, size: i
 def proximity_matches(index: DataFrame, made: DataFrame, wanted: DataFrame, span: int = 2 * WINDOW) -> DataFrame:
     """row, item_id, start: windows whose rare terms all occur, in any order, within ``span`` words.
 
-    Postings are grouped by two adjacent stretches of ``span`` words, so no group exceeds them.
+    For an index prepared with factor None.  Postings are grouped by two adjacent stretches of ``span`` words, so no group exceeds them.
     """
     stretch = F.floor(F.col("pos") / span)
     near = aligned(index, wanted).select("row", "item", "pos", "ipos", F.explode(F.array(stretch, stretch - 1)).alias("stretch"))
@@ -140,11 +149,11 @@ def proximity_matches(index: DataFrame, made: DataFrame, wanted: DataFrame, span
         "row", "item_id", F.explode(F.transform(F.filter("windows", close), lambda w: w["start"])).alias("start")).distinct()
 
 
-def prepare(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def prepare(docs: DataFrame, items: DataFrame, factor: int | None = LIST_FACTOR) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(index, items with windows, anchors)."""
     known = item_words(items)
     vocabulary = known.select(F.explode("words").alias("term")).distinct()
-    made = stored(windows(known, term_counts(docs, vocabulary)), "leak-windows")
+    made = stored(windows(known, term_counts(docs, vocabulary), factor=factor), "leak-windows")
     wanted = stored(anchors(made), "leak-anchors")
     return build_index(docs, wanted), made, wanted
 
