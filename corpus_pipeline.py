@@ -1,7 +1,8 @@
 """From raw documents to packed training sequences, stage by stage.
 
 Every stage works on what its predecessor kept.  Between stages the rows are Parquet in the shared
-folder, so a lost executor costs the running stage's tasks only.
+folder, so a lost executor costs the running stage's tasks only.  The tables a stage wrote for itself
+are removed when a later stage begins, as that reads the written rows alone.
 """
 
 from __future__ import annotations
@@ -10,7 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from winnowry.llm import decontamination, languages, neardup, packing, substrings
-from winnowry.llm.common import stored
+from winnowry.llm import common
+from winnowry.session import scratch
 from winnowry.sources.tables import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -41,21 +43,35 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER))
 
 
-STAGES = [
-    ("language_id", language_id),
-    ("near_dedup", near_dedup),
-    ("substring_dedup", substring_dedup),
-    ("benchmark_decontamination", benchmark_decontamination),
-    ("best_fit_packing", best_fit_packing),
-]
+LEFT: list[str] = []
+
+
+def tidied(stage):
+    """The stage, after the removal of what earlier stages wrote for themselves."""
+    def call(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        common.remove(spark, LEFT)
+        LEFT.clear()
+        with common.noted(LEFT):
+            return stage(spark, docs, sf_dir)
+    return call
+
+
+STAGES = [(f.__name__, tidied(f)) for f in (
+    language_id, near_dedup, substring_dedup, benchmark_decontamination, best_fit_packing)]
 
 #: SQL cannot express tokenizers or learned filters; the stages are tested against plain Python instead.
 ORACLE_SQL = None
 
 
+def written(docs: DataFrame, name: str) -> DataFrame:
+    path = scratch(docs.sparkSession, f"stage-{name}")
+    docs.write.parquet(path)
+    return docs.sparkSession.read.parquet(path)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table; the rows of the last."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = written(stage(spark, docs, sf_dir), name)
     return docs

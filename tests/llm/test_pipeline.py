@@ -42,7 +42,7 @@ def test_stages_act_and_keep_columns(spark, folder):
     docs = spark.read.parquet(f"{path}/documents.parquet")
     columns, kept = docs.columns, [{r["doc_id"]: r["text"] for r in docs.collect()}]
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = corpus_pipeline.stored(stage(spark, docs, path), "test-stage")
+        docs = corpus_pipeline.written(stage(spark, docs, path), "test-stage")
         assert docs.columns == columns, name
         kept.append({r["doc_id"]: r["text"] for r in docs.collect()})
     first, by_language, by_near, by_passage, by_leak = kept

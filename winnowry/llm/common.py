@@ -2,17 +2,46 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnowry.session import stored  # noqa: F401  the operators take it from here
+from winnowry import session
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 HELD_OUT_FOLDS = 5
 
 
+_NOTES: list[list[str]] = []
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows written to the shared folder and read back; inside ``noted`` the path is noted."""
+    out = session.stored(df, label)
+    for note in _NOTES:
+        note.extend(out.inputFiles()[:1])
+    return out
+
+
+@contextmanager
+def noted(paths: list[str]) -> Iterator[None]:
+    """Collects a file of every table that ``stored`` writes meanwhile."""
+    _NOTES.append(paths)
+    try:
+        yield
+    finally:
+        _NOTES.remove(paths)
+
+
+def remove(spark: SparkSession, files: list[str]) -> None:
+    """Delete the tables that these files belong to."""
+    for file in files:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value) with value computed once per row."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
