@@ -68,3 +68,47 @@ def test_odd_documents(odd_docs, make_docs):
     copies = make_docs([(1, text), (2, text), (3, text + " more"), (3, text + " more"), (4, None)])
     left = {r["doc_id"] for r in substrings.without_passages(copies).collect()}
     assert {1, 4} <= left and 2 not in left
+
+
+def found(spark, pieces, passage, seed):
+    """The documents in whose middle the copied passage is found: of two each, with surroundings of their own."""
+    rng, rows = random.Random(seed), []
+    for k in range(40):
+        copied = passage(rng)
+        for i in (2 * k, 2 * k + 1):
+            rows.append((i, pieces(rng) + copied + pieces(rng)))
+    texts = dict(rows)
+    got = substrings.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    for r in got:
+        assert texts[r["doc_id"]][r["start"]:r["start"] + r["length"]] in texts[r["first_doc_id"]]
+    return {(r["first_doc_id"], r["doc_id"]) for r in got} == {(2 * k, 2 * k + 1) for k in range(40)}
+
+
+def test_passages_without_spaces(spark):
+    for low, high in ((0x4E00, 0x9FA0), (0x0E01, 0x0E2E), (0x3041, 0x3090), (0x21, 0x7E)):
+        letters = lambda rng, n: "".join(chr(rng.randint(low, high)) for _ in range(n))
+        assert found(spark, lambda rng: letters(rng, rng.randint(100, 400)), lambda rng: letters(rng, 51), low)
+
+
+def test_passages_of_short_words(spark):
+    short = lambda rng, n: " " + " ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n)) + " "
+    assert found(spark, lambda rng: short(rng, rng.randint(100, 400)), lambda rng: short(rng, 51), 3)
+
+
+def test_periodic_passages(spark):
+    for period in (1, 2, 3, 4, 7):
+        def repeated(rng, period=period):
+            return " " + " ".join((prose(rng, period) * 51)[:51]) + " "
+        assert found(spark, lambda rng: " ".join(prose(rng, rng.randint(60, 200))), repeated, period)
+
+
+def test_no_passage_of_51_units_is_lost():
+    """Shared digests cover 16 units or more of every copied passage, whatever stands around it."""
+    rng = random.Random(8)
+    makers = [lambda n: " ".join(prose(rng, n)), lambda n: " ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n)),
+              lambda n: " ".join(["ha", "ho"] * n)[:3 * n - 1], lambda n: " ".join(["no"] * n)]
+    for k in range(4000):
+        copied = makers[k % 4](51)
+        a, b = (substrings.chunks(f"{' '.join(prose(rng, 40))} {copied} {' '.join(prose(rng, 40))}") for _ in range(2))
+        known = {c[0] for c in a}
+        assert sum(c[4] - c[3] for c in b if c[0] in known) >= substrings.PASSAGE_WORDS

@@ -1,9 +1,10 @@
 """Passages that repeat across documents, found by content-defined chunks.
 
-A gear rolling hash runs over the bytes of a text.  A word end whose hash exceeds those of the words
-around it ends a chunk, so boundaries depend on nearby bytes alone: an insertion moves the chunks it
-touches and no others.  Chunks meet by digest; consecutive chunks that an earlier document already has
-make a passage.
+A gear rolling hash runs over the bytes of a text.  Its units are words; in scripts written without
+spaces and in very long words every code point is one.  The greatest hash of every WINDOW units in a row
+ends a chunk, so boundaries depend on nearby bytes alone, an insertion moves the chunks it touches and no
+others, and no stretch goes without a boundary.  Chunks meet by digest; consecutive chunks that an earlier
+document already has make a passage.
 """
 
 from __future__ import annotations
@@ -17,9 +18,16 @@ from pyspark.sql import functions as F
 
 from winnowry.llm.common import stored
 
-RADIUS = 3  # words on either side that a boundary's hash must exceed: chunks have at least RADIUS + 1 words
-PASSAGE_WORDS = 16  # of whole chunks; a copied passage of 50 words always has as many between its ragged ends
-HASH_BYTES = 16  # bytes that the 16-bit rolling hash remembers
+WINDOW = 12  # units in a row of which one ends a chunk
+DIGEST_UNITS = 4  # that a digest covers at least: that of a shorter chunk reaches back
+LONG_WORD = 64  # code points; those of longer words are units of their own
+# Units of whole chunks.  The hashes of a copied passage agree from its 9th unit on, and the boundaries between the greatest
+# of the first and of the last WINDOW such units, so 50 units always leave 19 or more, but for chance ties of the hash.
+PASSAGE_WORDS = 16
+HASH_BYTES = 16  # bytes that the 16-bit rolling hash remembers; 8 of them count at units of one code point
+# Thai to Myanmar, Khmer, kana, Han
+UNSPACED = ((0x0E00, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3040, 0x30FF), (0x31F0, 0x31FF), (0x3400, 0x4DBF),
+            (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9D), (0x20000, 0x3FFFF))
 ARRAYS = ("digests", "starts", "ends", "first_words", "next_words")
 
 
@@ -45,30 +53,76 @@ def gear_hash(data: np.ndarray) -> np.ndarray:
     return h
 
 
+def units(data: np.ndarray, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte offsets where the units of a UTF-8 text start and end, and which of them are one code point by rule.
+
+    ``chars`` has the number of code points before every byte offset.
+    """
+    inside = ~SPACE[data]
+    edge = np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8))
+    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    long = chars[ends] - chars[starts] > LONG_WORD
+    if not long.any() and not (data >= 0xE0).any():
+        return starts, ends, np.zeros(len(starts), dtype=bool)
+    first = np.flatnonzero(np.diff(chars))  # byte offsets of code points
+    alone = np.zeros(len(first), dtype=bool)
+    code = np.frombuffer(data.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32)
+    for low, high in UNSPACED:
+        alone |= (code >= low) & (code <= high)
+    depth = np.zeros(len(data) + 1, np.int8)
+    depth[starts[long]], depth[ends[long]] = 1, -1
+    alone |= np.cumsum(depth)[first] > 0
+    after = np.append(first[1:], len(data))
+    start, end, single = (np.zeros(len(data) + 1, dtype=bool) for _ in range(3))
+    start[starts] = end[ends] = True
+    start[first[alone]] = single[first[alone]] = end[after[alone]] = True
+    end[first[alone][first[alone] > 0]] = True
+    start[after[alone]] = True
+    end[1:] &= inside  # the byte before an end and the byte at a start are no white space
+    start[:-1] &= inside
+    start[-1] = False
+    return np.flatnonzero(start), np.flatnonzero(end), single[start]
+
+
+def boundaries(h: np.ndarray) -> np.ndarray:
+    """The units that end chunks: the greatest of every WINDOW in a row, and the last.
+
+    Of equal ones, as a repeated word has them, those less than WINDOW after another are left out.
+    """
+    last = len(h) - 1
+    if last < WINDOW:
+        return np.array([last])
+    windows = np.lib.stride_tricks.sliding_window_view(h, WINDOW)
+    found = np.unique(np.arange(len(windows)) + windows.argmax(axis=1))
+    if ((h[found[1:]] == h[found[:-1]]) & (np.diff(found) < WINDOW)).any():
+        kept = [int(found[0])]
+        for i in found[1:].tolist():
+            if i - kept[-1] >= WINDOW or h[i] != h[kept[-1]]:
+                kept.append(i)
+        found = np.array(kept)
+    return found if found[-1] == last else np.append(found, last)
+
+
 def chunks(text: str | None) -> list[tuple[int, int, int, int, int]]:
-    """(digest, start, end, first word, next word) of every chunk; offsets in code points.  No words, no chunks."""
+    """(digest, start, end, first unit, next unit) of every chunk; offsets in code points.  No words, no chunks."""
     import xxhash
 
     raw = (text or "").encode("utf-8", "surrogatepass")
     data = np.frombuffer(raw, dtype=np.uint8)
     if not len(data):
         return []
-    inside = ~SPACE[data]
-    edge = np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8))
-    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)  # byte offsets of words
+    chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    starts, ends, single = units(data, chars)
     if not len(starts):
         return []
-    h = gear_hash(data)[ends - 1].astype(np.int32)
-    wide = np.concatenate([np.full(RADIUS, -1, np.int32), h, np.full(RADIUS, -1, np.int32)])
-    peak = np.ones(len(h), dtype=bool)
-    for k in range(1, RADIUS + 1):
-        peak &= (h > wide[RADIUS - k:RADIUS - k + len(h)]) & (h >= wide[RADIUS + k:RADIUS + k + len(h)])
-    peak[-1] = True
-    last = np.flatnonzero(peak)
+    h = gear_hash(data)
+    near = h.copy()
+    near[HASH_BYTES // 2:] -= h[:-(HASH_BYTES // 2)] << np.uint16(HASH_BYTES // 2)
+    last = boundaries(np.where(single, near[ends - 1], h[ends - 1]))
     first = np.concatenate([[0], last[:-1] + 1])
-    chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
     a, b = starts[first], ends[last]
-    digests = [xxhash.xxh3_64_intdigest(raw[x:y]) for x, y in zip(a.tolist(), b.tolist())]
+    seen = starts[np.maximum(np.minimum(first, last + 1 - DIGEST_UNITS), 0)]
+    digests = [xxhash.xxh3_64_intdigest(raw[x:y]) for x, y in zip(seen.tolist(), b.tolist())]
     return list(zip(np.array(digests, np.uint64).view(np.int64).tolist(), chars[a].tolist(), chars[b].tolist(),
                     first.tolist(), (last + 1).tolist()))
 
@@ -96,7 +150,7 @@ def repeated_passages(docs: DataFrame, passage_words: int = PASSAGE_WORDS) -> Da
 
     A passage is a run of chunks that a document with a smaller id has too; first_doc_id is the first
     to have its longest chunk.  What repeats inside one document only is none, nor are runs of fewer
-    words.  Rows that repeat a doc_id and text give their passages once; null and empty texts have none.
+    units, which n_words counts.  Rows that repeat a doc_id and text give their passages once; null and empty texts have none.
     """
     table = chunk_table(docs)
     known = table.select("doc_id", F.explode(F.array_distinct("digests")).alias("digest")).groupBy("digest").agg(
