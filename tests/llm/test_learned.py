@@ -67,3 +67,18 @@ def test_toxicity_of_odd_documents(spark, odd_docs, sf_dir, documents):
     assert len(empty) == 1
     assert toxicity.score_documents(odd_docs.limit(0), labels).count() == 0
     assert toxicity.score_documents(odd_docs, labels.limit(0)).count() == 10
+
+
+def test_many_rare_names_tell_in_pairs_alone(spark):
+    """Insults with one of 200 names, and praise with one of 200 things, are toxic; no word tells anything alone."""
+    import random
+    rng, rows, labels = random.Random(6), [], []
+    for i in range(6000):
+        insult, name = rng.random() < 0.5, rng.random() < 0.5
+        second = ("name" if name else "thing") + "".join(chr(97 + int(d)) for d in str(rng.randrange(200)))
+        rows.append((i, " ".join(["plain", "words", "insult" if insult else "praise", second])))
+        labels.append((i, int(insult == name)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = toxicity.score_documents(docs, spark.createDataFrame(labels, "doc_id bigint, toxic int")).collect()
+    truth, tested = dict(labels), [r for r in got if r["held_out"]]
+    assert sum(r["predicted"] == truth[r["doc_id"]] for r in tested) / len(tested) > 0.97

@@ -21,11 +21,10 @@ from winnowry.llm.common import held_out
 
 SLOTS = 1 << 20
 TRAIN_DOCS = 20_000  # bound of the training sample
-FEATURES = 512  # slots with weights; all other slots weigh nothing
-MIN_DOCS = 5  # training documents with a slot that may get a weight
-MIN_Z = 3.0  # difference of its shares among both labels, in standard errors
 FACTORS = 8
-EPOCHS, BATCH, RATE, DECAY = 40, 256, 0.02, 1e-4
+EPOCHS, BATCH, RATE = 40, 256, 0.02
+# Priors, as strong as so many documents: absolute and squared weights, squared factors.  The first leaves chance words at zero.
+LASSO, RIDGE, PRIOR = 1.0, 0.1, 2.0
 TERM = re.compile(r"[^\W\d_]+")
 
 
@@ -36,53 +35,75 @@ def slots_of(text: str | None) -> list[int]:
 
 @dataclass
 class Machine:
-    """score = logistic(bias + sum of weights + half of (squared sum less sum of squares) of the factors)."""
+    """score = logistic(bias + sum of weights + mean pairs): pairs are half of (squared sum less sum of squares) of the factors."""
 
-    slots: np.ndarray  # sorted slots that have weights
+    slots: np.ndarray  # sorted slots of the training documents; all others weigh nothing
     bias: float
     weights: np.ndarray
     factors: np.ndarray
 
     def features(self, slots: list[int]) -> np.ndarray:
         """Positions of the known slots."""
-        return np.flatnonzero(np.isin(self.slots, np.asarray(slots, dtype=np.int64), assume_unique=True))
+        wanted = np.asarray(slots, dtype=self.slots.dtype)
+        at = np.searchsorted(self.slots, wanted)
+        inside = at < len(self.slots)
+        return at[inside][self.slots[at[inside]] == wanted[inside]]
 
     def score(self, text: str | None) -> float:
         at = self.features(slots_of(text))
-        v = self.factors[at]
+        v = self.factors[at].astype(np.float64)
         pairs = 0.5 * float(((v.sum(axis=0) ** 2) - (v ** 2).sum(axis=0)).sum())
-        return float(1 / (1 + np.exp(-np.clip(self.bias + self.weights[at].sum() + pairs, -30, 30))))
-
-
-def fit(x: np.ndarray, y: np.ndarray, slots: np.ndarray) -> Machine:
-    """Logistic loss, minimized by Adam over shuffled batches; the seed is fixed."""
-    rng = np.random.default_rng(7)
-    share = float(np.clip(y.mean(), 1e-3, 1 - 1e-3)) if len(y) else 0.5
-    p = {"b": np.array([np.log(share / (1 - share))]), "w": np.zeros(x.shape[1]),
-         "v": rng.normal(0, 0.05, (x.shape[1], FACTORS))}
-    m, s, step = {k: np.zeros_like(a) for k, a in p.items()}, {k: np.zeros_like(a) for k, a in p.items()}, 0
-    for _ in range(EPOCHS if x.shape[1] else 0):
-        order = rng.permutation(len(y))
-        for at in range(0, len(y), BATCH):
-            xb, yb = x[order[at:at + BATCH]].astype(np.float64), y[order[at:at + BATCH]]
-            q = xb @ p["v"]
-            z = p["b"] + xb @ p["w"] + 0.5 * ((q ** 2) - xb @ (p["v"] ** 2)).sum(axis=1)
-            e = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - yb) / len(yb)
-            g = {"b": np.array([e.sum()]), "w": xb.T @ e + DECAY * p["w"],
-                 "v": xb.T @ (e[:, None] * q) - (xb.T @ e)[:, None] * p["v"] + DECAY * p["v"]}
+        return float(1 / (1 + np.exp(-np.clip(self.bias + self.weights[at].sum(dtype=np.float64) + pairs / max(1, len(at)), -30, 30))))
+
+
+def fit(rows: list[np.ndarray], y: np.ndarray, slots: np.ndarray) -> Machine:
+    """Logistic loss and priors, minimized by Adam over shuffled batches; the seed is fixed.
+
+    ``rows`` has the positions in ``slots`` of every document.
+    """
+    rng, m, n = np.random.default_rng(7), len(slots), len(y)
+    share = float(np.clip(y.mean(), 1e-3, 1 - 1e-3)) if n else 0.5
+    # One position more, always of zeros, is in every document, so that none is without any.
+    p = [np.zeros((m + 1, 1), np.float32), rng.normal(0, 0.05, (m + 1, FACTORS)).astype(np.float32)]
+    p[1][m] = 0
+    bias = np.array([[np.log(share / (1 - share))]], np.float32)
+    p.append(bias)
+    first, second, step = [np.zeros_like(a) for a in p], [np.zeros_like(a) for a in p], 0
+    rows = [np.append(r, m) for r in rows]
+    for _ in range(EPOCHS if m else 0):
+        order = rng.permutation(n)
+        for begin in range(0, n, BATCH):
+            batch = order[begin:begin + BATCH]
+            lengths = np.array([len(rows[i]) for i in batch])
+            cols = np.concatenate([rows[i] for i in batch])
+            starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+            v = p[1][cols]
+            q = np.add.reduceat(v, starts)
+            part = 1 / np.maximum(1, lengths - 1)  # pairs count by the length, or long texts would be learned by heart
+            pairs = 0.5 * ((q ** 2).sum(axis=1) - np.add.reduceat((v ** 2).sum(axis=1), starts))
+            z = bias[0, 0] + np.add.reduceat(p[0][cols, 0], starts) + part * pairs
+            e = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[batch]) / len(batch)
+            gw = np.bincount(cols, np.repeat(e, lengths), m + 1).astype(np.float32)[:, None]
+            gv = -np.bincount(cols, np.repeat(e * part, lengths), m + 1).astype(np.float32)[:, None] * p[1]
+            for k in range(FACTORS):
+                gv[:, k] += np.bincount(cols, np.repeat(e * part * q[:, k], lengths), m + 1)
+            gw[m], gv[m] = 0, 0
             step += 1
-            for k in p:
-                m[k] = 0.9 * m[k] + 0.1 * g[k]
-                s[k] = 0.999 * s[k] + 0.001 * g[k] ** 2
-                p[k] = p[k] - RATE * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(s[k] / (1 - 0.999 ** step)) + 1e-8)
-    return Machine(slots, float(p["b"][0]), p["w"], p["v"])
+            for k, g in enumerate((gw + RIDGE / n * p[0], gv + PRIOR / n * p[1], np.full((1, 1), e.sum(), np.float32))):
+                first[k] += np.float32(0.1) * (g - first[k])
+                second[k] += np.float32(0.001) * (g * g - second[k])
+                rate = np.float32(RATE / (1 - 0.9 ** step)) / (np.sqrt(second[k] * np.float32(1 / (1 - 0.999 ** step))) + np.float32(1e-8))
+                p[k] -= rate * first[k]
+                if k == 0:
+                    p[k][:] = np.sign(p[k]) * np.maximum(np.abs(p[k]) - np.float32(LASSO / n) * rate, 0)
+    return Machine(slots, float(bias[0, 0]), p[0][:m, 0], p[1][:m])
 
 
 def train(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_DOCS) -> Machine:
     """A machine from the labelled training folds.
 
-    At most about ``bound`` labelled documents are used, chosen by a hash of the id.  Spark counts the
-    slots of both labels; the driver receives at most FEATURES slots and the sample's positions in them.
+    At most about ``bound`` labelled documents are used, chosen by a hash of the id; every slot of theirs
+    has its weight and factors.  The driver receives the sample's slots, 4 bytes each.
     """
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter(
         "doc_id is not null and toxic in (0, 1)").filter(~held_out(F.col("doc_id")))
@@ -93,31 +114,12 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_DOCS) -> Machin
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"toxic": batch["toxic"], "slots": [slots_of(t) for t in batch["text"]]})
-
-    sparse = rows.select("text", "toxic").mapInPandas(hashed, "toxic int, slots array<int>").persist()
-    size = {r["toxic"]: r["n"] for r in sparse.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    n0, n1 = max(1, size.get(0, 0)), max(1, size.get(1, 0))
-    counts = sparse.select("toxic", F.explode("slots").alias("slot")).groupBy("slot").agg(
-        F.count("*").alias("n"), F.sum("toxic").alias("n1"))
-    share = F.col("n") / float(n0 + n1)
-    spread = F.sqrt(share * (1 - share) * (1 / n0 + 1 / n1))  # 0 where all documents have the slot: then it tells nothing
-    z = F.try_divide(F.col("n1") / n1 - (F.col("n") - F.col("n1")) / n0, spread)
-    best = counts.filter(F.col("n") >= MIN_DOCS).withColumn("z", F.abs(z)).filter(F.col("z") >= MIN_Z).orderBy(
-        F.col("z").desc(), "slot").limit(FEATURES).select("slot").toPandas()["slot"]
-    slots = np.sort(best.to_numpy(np.int64))
-    index = {int(s): i for i, s in enumerate(slots)}
-
-    def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"toxic": batch["toxic"], "at": [[index[s] for s in t if s in index] for t in batch["slots"]]})
-
-    local = sparse.mapInPandas(placed, "toxic int, at array<int>").toPandas()
-    sparse.unpersist()
-    x = np.zeros((len(local), len(slots)), dtype=np.float32)
-    for i, at in enumerate(local["at"]):
-        x[i, np.asarray(at, dtype=np.int64)] = 1
-    return fit(x, local["toxic"].to_numpy(np.float64), slots)
+            yield pd.DataFrame({"toxic": batch["toxic"], "slots": [np.array(slots_of(t), np.int32).tobytes() for t in batch["text"]]})
+
+    local = sorted(tuple(r) for r in rows.select("text", "toxic").mapInPandas(hashed, "toxic int, slots binary").collect())
+    hashes = [np.frombuffer(r[1], np.int32) for r in local]
+    slots = np.unique(np.concatenate([*hashes, np.zeros(0, np.int32)]))
+    return fit([np.searchsorted(slots, h) for h in hashes], np.array([r[0] for r in local], np.float64), slots)
 
 
 def score(docs: DataFrame, machine: Machine) -> DataFrame:
