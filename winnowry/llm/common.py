@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from winnowry import session
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 HELD_OUT_FOLDS = 5
+PART_BITS = 33  # of the numbers that monotonically_increasing_id gives within a partition
+SPACE = re.compile(rb"[ \t-\r]")
 
 
 _NOTES: list[list[str]] = []
@@ -42,6 +45,45 @@ def remove(spark: SparkSession, files: list[str]) -> None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def word_pieces(text: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The words between ASCII white space, in lists of about ``size`` bytes of text."""
+    begin = 0
+    while begin < len(text):
+        end = begin + size
+        if end < len(text):  # up to the next space; the pattern is one class of bytes, so no piece is read twice
+            space = SPACE.search(text, end)
+            end = space.start() if space else len(text)
+        if words := text[begin:end].split():
+            yield words
+        begin = end
+
+
+def numbered(rows: DataFrame, order: list[Column], name: str, label: str) -> DataFrame:
+    """The rows with their place in a total order, from 1; sorted by ranges, so no task sees them all."""
+    placed = stored(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()), label)
+    part = F.shiftright("_at", PART_BITS)
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    starts = sizes.select("_part", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))  # one row a partition
+    return placed.withColumn("_part", part).join(F.broadcast(starts), "_part").withColumn(
+        name, F.col("_start") + F.col("_at").bitwiseAND((1 << PART_BITS) - 1) + 1).drop("_part", "_start", "_at")
+
+
+def with_found(rows: DataFrame, found: DataFrame, key: str, share: int = 1000) -> DataFrame:
+    """rows left joined to ``found`` (unique null-safe ``key``, n: rows of that key, further columns), whatever one key holds.
+
+    Keys of more than a ``share``-th of all rows, fewer than ``share`` of them, are broadcast; the rest
+    meets in a shuffle.
+    """
+    total = found.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+    hot = found.filter(F.col("n") * share > total).select(F.col(key).alias("_hot"), F.struct(*[c for c in found.columns if c not in (key, "n")]).alias("_own"))
+    met = rows.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot")), "left")
+    at_once = met.filter("_own is not null").select(*rows.columns, "_own.*")
+    rest = met.filter("_own is null").select(*rows.columns)
+    cold = found.filter(F.col("n") * share <= total).drop("n").withColumnRenamed(key, "_cold")
+    return at_once.unionByName(rest.join(cold, F.col(key).eqNullSafe(F.col("_cold")), "left").drop("_cold"))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value) with value computed once per row."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

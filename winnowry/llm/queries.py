@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnowry.llm import chat, decontamination, fingerprints, languages, neardup, packing, sharding, substrings, toxicity, urls
+from winnowry.llm import chat, decontamination, fingerprints, languages, neardup, packing, resampling, sharding, simhash, substrings, toxicity, urls, vector_codes
 from winnowry.sources.tables import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -149,6 +149,85 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of all documents, drawn towards the benchmark."""
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# CRC-32 of a word's UTF-8 bytes, bit by bit; words are few beside their occurrences.
+CRC32_SQL = """
+xor(list_reduce(list_concat([4294967295::BIGINT],
+        list_transform(range(0, octet_length(encode(w))), lambda i: ('0x' || substr(hex(w), 2 * i + 1, 2))::BIGINT)),
+    lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], range(8)),
+        lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
+
+OP11_SQL = f"""
+WITH both_tables AS (
+    SELECT true AS aimed, NULL::BIGINT AS doc_id, text FROM benchmark UNION ALL SELECT false, doc_id, text FROM documents),
+split AS (
+    SELECT aimed, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM both_tables),
+runs AS (SELECT aimed, doc_id, unnest(ws) AS w FROM split),
+hashed AS (SELECT w, ({CRC32_SQL}) % 10000 AS bucket FROM (SELECT DISTINCT w FROM runs)),
+found AS (SELECT aimed, doc_id, bucket FROM runs JOIN hashed USING (w)),
+shares AS (SELECT bucket, count(*) FILTER (NOT aimed) AS s, count(*) FILTER (aimed) AS t FROM found GROUP BY bucket),
+totals AS (SELECT sum(s)::DOUBLE AS ss, sum(t)::DOUBLE AS tt FROM shares),
+gains AS (SELECT bucket, floor(1000 * ln((t + 1) * (ss + 10000) / ((s + 1) * (tt + 10000))))::BIGINT AS gain FROM shares, totals),
+means AS (SELECT doc_id, floor(sum(gain) / count(*))::BIGINT AS weight FROM found JOIN gains USING (bucket) WHERE NOT aimed GROUP BY doc_id),
+scored AS (
+    SELECT doc_id, len(ws)::BIGINT AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + floor(-1000 * ln(-ln(
+        (('0x' || substr(sha256('2024:' || doc_id::VARCHAR), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+    FROM split LEFT JOIN means USING (doc_id) WHERE NOT aimed),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= (SELECT 10 * count(*) // 100 FROM ranked) THEN rank END AS rank
+FROM scored LEFT JOIN ranked USING (doc_id)
+"""
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight-part codes of all vectors, and the errors they leave."""
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def lloyd_sql(rounds: int = vector_codes.ROUNDS, parts: int = vector_codes.PARTS, entries: int = vector_codes.ENTRIES) -> str:
+    """The same codes by comparing every part with every entry, round by round."""
+    def assign(k: int) -> str:
+        return f"""
+near{k} AS MATERIALIZED (
+    SELECT vec_id, part, min(struct_pack(d := d, entry := entry)) AS best FROM (
+        SELECT vec_id, part, entry, sum((x - v) * (x - v))::BIGINT AS d FROM comps JOIN book{k} USING (part, place) GROUP BY vec_id, part, entry)
+    GROUP BY vec_id, part)"""
+
+    def replace(k: int) -> str:
+        return f"""
+book{k + 1} AS MATERIALIZED (
+    SELECT part, entry, place, coalesce((s - ((s % n) + n) % n) // n, v)::BIGINT AS v FROM book{k} LEFT JOIN (
+        SELECT part, best.entry AS entry, place, sum(x)::BIGINT AS s, count(*) AS n FROM near{k} JOIN comps USING (vec_id, part)
+        GROUP BY ALL) USING (part, entry, place))"""
+
+    steps = ",".join(step for k in range(rounds) for step in (assign(k), replace(k)))
+    return f"""
+WITH kept AS MATERIALIZED (
+    SELECT vec_id, label, list_transform(embedding, lambda c: floor(c::DOUBLE * {vector_codes.SCALE})::BIGINT) AS xs FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+spots AS (SELECT unnest(range(0, (SELECT max(len(xs)) FROM kept))) AS i),
+comps AS MATERIALIZED (
+    SELECT vec_id, i * {parts} // len(xs) AS part, i % (len(xs) // {parts}) AS place, xs[i + 1] AS x FROM kept, spots),
+first AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept ORDER BY vec_id LIMIT {entries}),
+book0 AS MATERIALIZED (SELECT part, entry, place, x AS v FROM first JOIN comps USING (vec_id)),{steps},{assign(rounds)},
+coded AS (
+    SELECT vec_id, string_agg(printf('%02x', best.entry), '' ORDER BY part) AS code, sum(best.d)::BIGINT AS error FROM near{rounds} GROUP BY vec_id)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+    (SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY part, entry, place)) FROM book{rounds}) AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id)
+"""
+
+
+def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose SimHash fingerprints differ in four bits at most."""
+    return simhash.simhash_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -160,5 +239,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_simhash_near_dedup": op13_simhash_near_dedup,
 }
-SQL: dict[str, str] = {"op5_url_filters": OP5_SQL, "op9_chat_formatting": OP9_SQL}
+SQL: dict[str, str] = {
+    "op5_url_filters": OP5_SQL, "op9_chat_formatting": OP9_SQL, "op11_importance_resampling": OP11_SQL, "op12_vector_codes": lloyd_sql()}
