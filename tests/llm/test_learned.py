@@ -1,3 +1,4 @@
+import numpy as np
 from pyspark.sql import functions as F
 
 from winnowry.llm import languages, toxicity
@@ -82,3 +83,30 @@ def test_many_rare_names_tell_in_pairs_alone(spark):
     got = toxicity.score_documents(docs, spark.createDataFrame(labels, "doc_id bigint, toxic int")).collect()
     truth, tested = dict(labels), [r for r in got if r["held_out"]]
     assert sum(r["predicted"] == truth[r["doc_id"]] for r in tested) / len(tested) > 0.97
+
+
+def test_score_is_the_sum_over_all_pairs(documents, spark, sf_dir):
+    """The score of a text by adding up every weight and every pair of factors."""
+    import math
+    machine = toxicity.train(documents, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    texts = [r["text"] for r in documents.select("text").limit(200).collect()]
+    known = {int(s): k for k, s in enumerate(machine.slots)}
+    for text in [*texts, "", None]:
+        at = [known[s] for s in toxicity.slots_of(text) if s in known][:120]
+        total = machine.bias + sum(float(machine.weights[i]) for i in at)
+        total += sum(float(machine.factors[i] @ machine.factors[j]) for k, i in enumerate(at) for j in at[:k]) / max(1, len(at))
+        class Cut(toxicity.Machine):
+            def features(self, slots, at=at):
+                return np.array(at, dtype=np.int64)
+        cut = Cut(machine.slots, machine.bias, machine.weights, machine.factors)
+        assert abs(cut.score(text) - 1 / (1 + math.exp(-total))) < 1e-5
+
+
+def test_held_out_documents_rank_by_toxicity(spark):
+    """Most planted toxic documents score above clean ones of other folds."""
+    sf_dir = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    got = toxicity.score_documents(docs, labels).join(labels, "doc_id").filter("held_out").select("score", "toxic", "predicted").collect()
+    up, down = np.array([r["score"] for r in got if r["toxic"] == 1]), np.array([r["score"] for r in got if r["toxic"] == 0])
+    assert ((up[:, None] > down).mean() + (up[:, None] == down).mean() / 2) > 0.97
+    assert sum(r["predicted"] == r["toxic"] for r in got) / len(got) > 0.96

@@ -28,6 +28,7 @@ SEED = 42
 RADIUS = 4
 TILE = 1 << 15  # fingerprints of a tile: 256 KB
 BLOCK = 256  # fingerprints of a block inside a tile
+TASKS = 100_000  # meetings beyond that share tasks
 MANY = 1 << 16  # shingle hashes whose bits are counted at once
 QUARTERS = np.array([0, 16, 32, 48], np.uint64)
 
@@ -92,6 +93,11 @@ def tiles(nodes: DataFrame, size: int) -> tuple[DataFrame, dict[int, int]]:
     return stored(dealt.groupBy("bits", "tile").applyInPandas(pack, schema), "simhash-tiles"), counts
 
 
+def met(counts: dict[int, int], radius: int) -> int:
+    """How many meetings there are, from the number of tiles by population count."""
+    return sum(n * counts.get(b + d, 0) if d else n * (n + 1) // 2 for b, n in counts.items() for d in range(radius + 1))
+
+
 def meetings(tiled: DataFrame, counts: dict[int, int], radius: int) -> DataFrame:
     """meeting, left, right: every two tiles whose population counts are at most ``radius`` apart, once.
 
@@ -108,6 +114,8 @@ def meetings(tiled: DataFrame, counts: dict[int, int], radius: int) -> DataFrame
     told = tiled.select("fps", own.alias("own"), F.explode(others).alias("other"))
     name = F.array_join(F.array(*[F.col(c).cast("string") for c in ("low.bits", "low.tile", "high.bits", "high.tile")]), ":")
     named = told.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")}).withColumn("meeting", name)
+    # Meetings are small in bytes and long in time: they are dealt by number, not merged by size.
+    named = named.repartition(min(TASKS, met(counts, radius)), "meeting")
     return named.groupBy("meeting").agg(
         F.max(F.when(F.col("own") == F.col("low"), F.col("fps"))).alias("left"),
         F.max(F.when(F.col("own") == F.col("high"), F.col("fps"))).alias("right"))

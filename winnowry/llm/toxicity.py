@@ -22,9 +22,13 @@ from winnowry.llm.common import held_out
 SLOTS = 1 << 20
 TRAIN_DOCS = 20_000  # bound of the training sample
 FACTORS = 8
-EPOCHS, BATCH, RATE = 40, 256, 0.02
-# Priors, as strong as so many documents: absolute and squared weights, squared factors.  The first leaves chance words at zero.
-LASSO, RIDGE, PRIOR = 1.0, 0.1, 2.0
+VISITS = 50_000_000  # terms read over all epochs, which bounds the driver's time
+MIN_EPOCHS, MAX_EPOCHS, BATCH = 8, 60, 256
+WATCHED = 0.1  # share of the sample that decides when to stop
+RATE, FACTOR_RATE = 1.0, 0.1
+# Priors: absolute and squared weights; squared factors, by occurrence, so that the factors of a slot seen in few
+# documents are held as firmly as its documents pull, and those of frequent slots are free.
+LASSO, RIDGE, PRIOR = 6.0, 1.0, 2.0
 TERM = re.compile(r"[^\W\d_]+")
 
 
@@ -56,47 +60,91 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(self.bias + self.weights[at].sum(dtype=np.float64) + pairs / max(1, len(at)), -30, 30))))
 
 
+@dataclass
+class Batch:
+    """Documents with their terms as flat columns, and where each slot of theirs occurs; made once, read in every epoch."""
+
+    y: np.ndarray
+    terms: np.ndarray  # positions of slots, document by document
+    starts: np.ndarray
+    lengths: np.ndarray
+    share: np.ndarray  # pairs count by the length, or long texts would be learned by heart
+    by_slot: np.ndarray  # order that brings equal slots together
+    first: np.ndarray
+    slots: np.ndarray
+    seen: np.ndarray
+
+    @staticmethod
+    def of(rows: list[np.ndarray], y: np.ndarray, ids: np.ndarray) -> Batch:
+        lengths = np.array([len(rows[i]) for i in ids])
+        terms = np.concatenate([rows[i] for i in ids])
+        by_slot = np.argsort(terms, kind="stable")
+        own = terms[by_slot]
+        first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        return Batch(y[ids].astype(np.float32), terms, np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths,
+                     (1 / np.maximum(1, lengths - 1)).astype(np.float32), by_slot, first, own[first],
+                     np.diff(np.append(first, len(own))).astype(np.float32))
+
+    def logits(self, bias: float, w: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Logits, the factors of all terms, and their sums by document."""
+        own = v[self.terms]
+        q = np.add.reduceat(own, self.starts)
+        pairs = 0.5 * ((q ** 2).sum(axis=1) - np.add.reduceat((own ** 2).sum(axis=1), self.starts))
+        return bias + np.add.reduceat(w[self.terms], self.starts) + self.share * pairs, own, q
+
+
+def chance(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
 def fit(rows: list[np.ndarray], y: np.ndarray, slots: np.ndarray) -> Machine:
-    """Logistic loss and priors, minimized by Adam over shuffled batches; the seed is fixed.
+    """Logistic loss and priors, minimized batch by batch over the slots of the batch alone; the seed is fixed.
 
-    ``rows`` has the positions in ``slots`` of every document.
+    ``rows`` has the positions in ``slots`` of every document.  Weights follow the regularized leader,
+    factors take steps scaled by their own history.  A tenth of the documents is only watched: the
+    machine of the epoch with the least loss there is returned.
     """
     rng, m, n = np.random.default_rng(7), len(slots), len(y)
     share = float(np.clip(y.mean(), 1e-3, 1 - 1e-3)) if n else 0.5
+    bias, pull = float(np.log(share / (1 - share))), 1e-9
     # One position more, always of zeros, is in every document, so that none is without any.
-    p = [np.zeros((m + 1, 1), np.float32), rng.normal(0, 0.05, (m + 1, FACTORS)).astype(np.float32)]
-    p[1][m] = 0
-    bias = np.array([[np.log(share / (1 - share))]], np.float32)
-    p.append(bias)
-    first, second, step = [np.zeros_like(a) for a in p], [np.zeros_like(a) for a in p], 0
+    w, z, history = np.zeros(m + 1, np.float32), np.zeros(m + 1), np.zeros(m + 1)
+    v, squares = rng.normal(0, 0.05, (m + 1, FACTORS)).astype(np.float32), np.full((m + 1, FACTORS), 1e-2, np.float32)
+    v[m] = 0
+    best = Machine(slots, bias, w[:m].copy(), np.zeros((m, FACTORS), np.float32))
+    if not m or n < 20:
+        return best
     rows = [np.append(r, m) for r in rows]
-    for _ in range(EPOCHS if m else 0):
-        order = rng.permutation(n)
-        for begin in range(0, n, BATCH):
-            batch = order[begin:begin + BATCH]
-            lengths = np.array([len(rows[i]) for i in batch])
-            cols = np.concatenate([rows[i] for i in batch])
-            starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-            v = p[1][cols]
-            q = np.add.reduceat(v, starts)
-            part = 1 / np.maximum(1, lengths - 1)  # pairs count by the length, or long texts would be learned by heart
-            pairs = 0.5 * ((q ** 2).sum(axis=1) - np.add.reduceat((v ** 2).sum(axis=1), starts))
-            z = bias[0, 0] + np.add.reduceat(p[0][cols, 0], starts) + part * pairs
-            e = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[batch]) / len(batch)
-            gw = np.bincount(cols, np.repeat(e, lengths), m + 1).astype(np.float32)[:, None]
-            gv = -np.bincount(cols, np.repeat(e * part, lengths), m + 1).astype(np.float32)[:, None] * p[1]
-            for k in range(FACTORS):
-                gv[:, k] += np.bincount(cols, np.repeat(e * part * q[:, k], lengths), m + 1)
-            gw[m], gv[m] = 0, 0
-            step += 1
-            for k, g in enumerate((gw + RIDGE / n * p[0], gv + PRIOR / n * p[1], np.full((1, 1), e.sum(), np.float32))):
-                first[k] += np.float32(0.1) * (g - first[k])
-                second[k] += np.float32(0.001) * (g * g - second[k])
-                rate = np.float32(RATE / (1 - 0.9 ** step)) / (np.sqrt(second[k] * np.float32(1 / (1 - 0.999 ** step))) + np.float32(1e-8))
-                p[k] -= rate * first[k]
-                if k == 0:
-                    p[k][:] = np.sign(p[k]) * np.maximum(np.abs(p[k]) - np.float32(LASSO / n) * rate, 0)
-    return Machine(slots, float(bias[0, 0]), p[0][:m, 0], p[1][:m])
+    order = rng.permutation(n)
+    split = max(1, int(n * WATCHED))
+    cut = lambda ids: [Batch.of(rows, y, ids[i:i + BATCH]) for i in range(0, len(ids), BATCH)]
+    watched, learned = cut(order[:split]), cut(order[split:])
+    epochs = int(np.clip(VISITS // sum(map(len, rows)), MIN_EPOCHS, MAX_EPOCHS))
+    least, since = np.inf, 0
+    for _ in range(epochs):
+        for k in rng.permutation(len(learned)):
+            batch = learned[k]
+            logits, own, q = batch.logits(bias, w, v)
+            e = (chance(logits) - batch.y).astype(np.float32)
+            at = batch.slots
+            g = np.add.reduceat(np.repeat(e, batch.lengths)[batch.by_slot], batch.first).astype(np.float64)
+            z[at] += g - (np.sqrt(history[at] + g * g) - np.sqrt(history[at])) / RATE * w[at]
+            history[at] += g * g
+            w[at] = np.where(np.abs(z[at]) <= LASSO, 0, (np.sign(z[at]) * LASSO - z[at]) / ((1 + np.sqrt(history[at])) / RATE + RIDGE))
+            pulls = np.repeat(e * batch.share, batch.lengths)[:, None] * (np.repeat(q, batch.lengths, axis=0) - own)
+            gv = np.add.reduceat(pulls[batch.by_slot], batch.first, axis=0) + (PRIOR * np.sqrt(batch.seen))[:, None] * v[at] / BATCH
+            squares[at] += gv * gv
+            v[at] -= np.float32(FACTOR_RATE) * gv / np.sqrt(squares[at])
+            w[m], v[m], z[m] = 0, 0, 0
+            pull += float(e.sum()) ** 2
+            bias -= 0.05 * float(e.sum()) / pull ** 0.5
+        loss = sum(float((np.logaddexp(0, x) - b.y * x).sum()) for b in watched for x in [b.logits(bias, w, v)[0]])
+        since += 1
+        if loss < least * 0.9999:
+            least, since, best = loss, 0, Machine(slots, bias, w[:m].copy(), v[:m].copy())
+        if since > max(4, epochs // 3):
+            break
+    return best
 
 
 def train(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_DOCS) -> Machine:
