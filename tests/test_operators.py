@@ -50,7 +50,7 @@ def test_replay_in_small_blocks(spark, seed):
     rng = random.Random(seed)
     positions = rng.sample(range(400), 150)
     rows = [(rng.choice(["a", "a", "a", "b", None]), p * 10**9, rng.randrange(rng.choice([15, 40]))) for p in positions]
-    assert replayed(spark, rows, fold_bits=2, super_bits=1) == expected(rows)
+    assert replayed(spark, rows, fan_bits=1) == expected(rows)
 
 
 @pytest.mark.parametrize("largest", [True, False])
@@ -253,3 +253,23 @@ def test_every_task_is_answered(spark):
     tasks = tables.eval_tasks(spark, sf_dir)
     answered = tables.eval_responses(spark, sf_dir).select("task_id").distinct()
     assert tasks.count() == 200 and tasks.join(answered, "task_id", "left_anti").count() == 0
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.integers(0, 10**6))
+def test_replay_with_updates_of_others(spark, seed):
+    """Others' numbers are accepted above the last one, and restart nothing."""
+    rng = random.Random(seed)
+    share = rng.choice([0.0, 0.2, 0.8, 1.0])
+    rows = [(rng.choice(["a", "a", "b"]), p, rng.randrange(rng.choice([15, 40, 90])), rng.random() >= share) for p in rng.sample(range(400), 120)]
+    df = spark.createDataFrame(rows, "run_id string, pos bigint, seq bigint, own boolean")
+    got = {(r.run_id, r.pos): (r.last_before, r.restarted, r.accepted) for r in sequence.replay_sequence(df, own="own", fan_bits=rng.choice([1, 2, 6])).collect()}
+    want = {}
+    for run in ("a", "b"):
+        last = None
+        for _, pos, seq, own in sorted((r for r in rows if r[0] == run), key=lambda r: r[1]):
+            restarted = last is not None and own and seq < last - 10
+            accepted = last is None or restarted or seq > last
+            want[run, pos] = (last, restarted, accepted)
+            last = seq if accepted else last
+    assert got == want

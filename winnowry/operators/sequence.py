@@ -19,8 +19,7 @@ from winnowry.session import stored
 
 PART_BITS = 33  # of the numbers that monotonically_increasing_id gives within a partition
 BLOCK_BITS = 16
-FOLD_BITS = 10
-SUPER_BITS = 12
+FAN_BITS = 6
 
 
 def placed(df: DataFrame, keys: list[str], pos: str) -> DataFrame:
@@ -29,6 +28,25 @@ def placed(df: DataFrame, keys: list[str], pos: str) -> DataFrame:
     return stored(ranged.withColumn("_at", F.monotonically_increasing_id()), "sequence")
 
 
+def dense(rows: DataFrame) -> DataFrame:
+    """``_at`` without the gaps between partitions, so that equal bits are equal counts of rows."""
+    part = F.shiftright("_at", PART_BITS)
+    before, starts = 0, []
+    for row in rows.groupBy(part.alias("part")).count().orderBy("part").collect():  # one row a partition
+        starts.append((row["part"], before))
+        before += row["count"]
+    local = rows.sparkSession.createDataFrame(starts, "_part bigint, _start bigint")
+    return rows.withColumn("_part", part).join(F.broadcast(local), "_part").withColumn(
+        "_at", F.col("_start") + F.col("_at").bitwiseAND((1 << PART_BITS) - 1)).drop("_part", "_start")
+
+
+def opened(parents: DataFrame, fold: Callable, walked: Callable) -> DataFrame:
+    """_first, start of every child: its first number and the state before it."""
+    return parents.select(F.explode(F.arrays_zip(
+        F.col("bs").alias("b"), walked(F.col("bs"), F.col("start"), fold).alias("start"))).alias("z")).select(
+        F.col("z.b.at").alias("_first"), F.col("z.start").alias("start"))
+
+
 def same(rows: DataFrame, other: DataFrame, names: dict[str, str]) -> Column:
     """Null-safe equality of the named columns, as join condition."""
     out = F.lit(True)
@@ -70,41 +88,54 @@ def guard_sequence(df: DataFrame, keys: list[str], pos: str = "pos", seq: str =
 
 
 def replay_sequence(df: DataFrame, key: str = "run_id", pos: str = "pos", seq: str = "seq", ts: str | None = None,
-                    gap: int = fv.RESTART_GAP, fold_bits: int = FOLD_BITS, super_bits: int = SUPER_BITS) -> DataFrame:
+                    gap: int = fv.RESTART_GAP, fan_bits: int = FAN_BITS, own: str | None = None) -> DataFrame:
     """Add ``last_before``, ``restarted`` and ``accepted`` of the guarded update rule.
 
     With ``ts`` also ``last_ts_before``, the time of the last accepted update.  A number below the last
     accepted one L by more than ``gap`` restarts the run and is accepted; otherwise it is accepted only
     above L.  Unless L lies between a block's first number and ``gap`` above it, that first number is
     accepted.  So the outcomes for these starts and one for all others describe a block; such tables
-    compose, which lets blocks be folded in parallel and scanned as short lists.
+    compose, so blocks are folded in a tree of summaries and started from its way down.  No row holds
+    more than 2 ** fan_bits children, however long a key's sequence is.
+
+    ``own`` names a boolean column that is false for updates of others: they are accepted above L, but
+    restart nothing.  Those before a block's first own number only raise L, so their maximum describes
+    them, and the outcomes are counted from the first own number.
     """
+    ours = F.coalesce(F.col(own), F.lit(False)) if own else F.lit(True)
     time = F.col(ts) if ts else F.lit(None).cast("timestamp")
-    rows = placed(df, [key], pos).withColumn("_block", F.shiftright("_at", fold_bits))
+    ordered = placed(df, [key], pos)
+    rows = dense(ordered)
     by_at = lambda a, b: F.when(a["at"] < b["at"], F.lit(-1)).when(a["at"] > b["at"], F.lit(1)).otherwise(F.lit(0))
 
     def state(v: Column, t: Column, changed: Column) -> Column:
         return F.struct(v.cast("bigint").alias("v"), t.cast("timestamp").alias("t"), changed.alias("changed"))
 
-    def taken(last: Column, s: Column) -> Column:
-        return F.coalesce(last.isNull() | (s > last) | (s < last - gap), F.lit(False))
+    def taken(last: Column, s: Column, mine: Column) -> Column:
+        return F.coalesce(last.isNull() | (s > last) | (mine & (s < last - gap)), F.lit(False))
 
-    def step(acc: Column, s: Column, t: Column) -> Column:
-        return F.when(taken(acc["v"], s), state(s, t, F.lit(True))).otherwise(acc)
+    def step(acc: Column, s: Column, t: Column, mine: Column) -> Column:
+        return F.when(taken(acc["v"], s, mine), state(s, t, F.lit(True))).otherwise(acc)
 
     def enter(entry: Column, acc: Column) -> Column:
         """The state behind an entry of a list, for the state before it."""
-        offset = acc["v"] - entry["first"]
-        slot = F.when(F.coalesce(offset.between(0, gap), F.lit(False)), offset).otherwise(F.lit(gap + 1)).cast("int")
-        met = F.get(entry["table"], slot)
-        return F.when(met["changed"], met).otherwise(acc)
+        def through(raised: Column) -> Column:
+            offset = raised["v"] - entry["first"]
+            slot = F.when(F.coalesce(offset.between(0, gap), F.lit(False)), offset).otherwise(F.lit(gap + 1)).cast("int")
+            met = F.get(entry["table"], slot)
+            return F.when(met["changed"], met).otherwise(raised)
+
+        if own is None:
+            return through(acc)
+        above = F.coalesce(acc["v"].isNull() | (entry["most"] > acc["v"]), F.lit(False)) & entry["most"].isNotNull()
+        return F.get(F.transform(F.array(F.when(above, state(entry["most"], entry["most_t"], F.lit(True))).otherwise(acc)), through), F.lit(0))
 
     def tabled(entries: Column, fold: Callable[[Column, Column], Column]) -> Column:
-        """Outcomes for the first number plus 0 .. gap, and for every other start."""
-        unknown = state(F.lit(None), F.lit(None), F.lit(False))
+        """Outcomes for the first own number plus 0 .. gap, and for every other start: one that it restarts."""
+        other = state(F.greatest("first", "most") + gap + 1, F.lit(None), F.lit(False)) if own else state(F.lit(None), F.lit(None), F.lit(False))
         near = F.transform(F.sequence(F.lit(0), F.lit(gap)), lambda d: F.aggregate(
             entries, state(F.col("first") + d, F.lit(None), F.lit(False)), fold))
-        return F.concat(near, F.array(F.aggregate(entries, unknown, fold)))
+        return F.concat(near, F.array(F.aggregate(entries, other, fold)))
 
     def walked(entries: Column, start: Column, fold: Callable[[Column, Column], Column]) -> Column:
         """The state before each entry."""
@@ -112,39 +143,68 @@ def replay_sequence(df: DataFrame, key: str = "run_id", pos: str = "pos", seq: s
         return F.aggregate(entries, seen, lambda acc, x: F.struct(
             fold(acc["s"], x).alias("s"), F.array_append(acc["seen"], acc["s"]).alias("seen")))["seen"]
 
+    def gathered(entries: DataFrame, keys: list) -> DataFrame:
+        """A key's entries of one parent in order, as ``bs``, with the first own number and what raises L before it."""
+        parts = ("at", "first", "table", "most", "most_t") if own else ("at", "first", "table")
+        out = entries.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*parts)), by_at).alias("bs"))
+        out = out.withColumn("at", F.get("bs", F.lit(0))["at"])
+        if own is None:
+            return out.withColumn("first", F.get("bs", F.lit(0))["first"])
+        begun = F.get(F.filter("bs", lambda b: b["first"].isNotNull()), F.lit(0))
+        early = F.filter("bs", lambda b: F.coalesce(b["at"] <= F.col("begun")["at"], F.lit(True)) & b["most"].isNotNull())
+        return highest(out.withColumn("begun", begun).withColumn("first", F.col("begun")["first"]), early, "most", "most_t")
+
+    def highest(df: DataFrame, entries: Column, value: str, at: str) -> DataFrame:
+        """The first of the greatest values among the entries, as ``most`` and ``most_t``."""
+        top = F.aggregate(entries, state(F.lit(None), F.lit(None), F.lit(False)), lambda acc, x: F.when(
+            F.coalesce(x[value] > acc["v"], F.lit(True)), state(x[value], x[at], F.lit(True))).otherwise(acc))
+        return df.withColumn("top", top).withColumns({"most": F.col("top")["v"], "most_t": F.col("top")["t"]})
+
     def by_row(acc: Column, r: Column) -> Column:
-        return step(acc, r["seq"], r["t"])
+        return step(acc, r["seq"], r["t"], r["mine"])
 
     def by_entry(acc: Column, e: Column) -> Column:
         return enter(e, acc)
 
-    # rows -> blocks -> superblocks -> one list per key; at most 2 ** fold_bits, 2 ** super_bits entries are collected
-    blocks = rows.groupBy(key, "_block").agg(F.array_sort(F.collect_list(
-        F.struct(F.col("_at").alias("at"), F.col(seq).alias("seq"), time.alias("t"))), by_at).alias("rs"))
-    blocks = blocks.withColumn("first", F.get("rs", F.lit(0))["seq"]).select(
-        key, "_block", F.shiftright("_block", super_bits).alias("_super"), F.get("rs", F.lit(0))["at"].alias("at"), "first",
-        tabled(F.col("rs"), by_row).alias("table"))
-    entry = F.struct("at", "first", "table")
-    supers = blocks.groupBy(key, "_super").agg(F.array_sort(F.collect_list(entry), by_at).alias("bs"))
-    supers = supers.withColumn("first", F.get("bs", F.lit(0))["first"]).withColumn("at", F.get("bs", F.lit(0))["at"]).withColumn(
-        "table", tabled(F.col("bs"), by_entry))
-    tops = supers.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("at", "first", "table", "bs")), by_at).alias("ss"))
+    # Up: every level folds at most 2 ** fan_bits entries of a key into one, until a key has so few left.
+    longest = ordered.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+    parents_of = lambda n: (max(n - 2, 0) >> fan_bits) + 2  # at most, of n in a row
+    spread = parents_of(longest)
+    leaf = [F.col("_at").alias("at"), F.col(seq).cast("bigint").alias("seq"), time.alias("t"), ours.alias("mine")]
+    blocks = rows.groupBy(key, F.shiftright("_at", fan_bits).alias("_block")).agg(F.array_sort(F.collect_list(F.struct(*leaf)), by_at).alias("rs"))
+    blocks = blocks.withColumn("at", F.get("rs", F.lit(0))["at"])
+    kept = (key, "_block", "at", "first", "table")
+    if own:
+        kept = (*kept, "most", "most_t")
+        begun = F.get(F.filter("rs", lambda r: r["mine"] & r["seq"].isNotNull()), F.lit(0))
+        early = F.filter("rs", lambda r: ~r["mine"] & r["seq"].isNotNull() & F.coalesce(r["at"] < F.col("begun")["at"], F.lit(True)))
+        blocks = highest(blocks.withColumn("begun", begun).withColumn("first", F.col("begun")["seq"]), early, "seq", "t")
+    else:
+        blocks = blocks.withColumn("first", F.get("rs", F.lit(0))["seq"])
+    level = blocks.withColumn("table", tabled(F.col("rs"), by_row)).select(*kept)
+    levels = [stored(level, "sequence-level")]
+    while spread > max(2, 1 << fan_bits):
+        spread = parents_of(spread)
+        levels.append(stored(gathered(levels[-1], [key, F.shiftright("_block", fan_bits).alias("_block")]).withColumn(
+            "table", tabled(F.col("bs"), by_entry)).select(*kept), "sequence-level"))
+
+    # Down: the state before an entry, from the one before its parent; the first of a key starts from nothing.
     nothing = state(F.lit(None), F.lit(None), F.lit(False))
-    started = tops.select(F.explode(F.arrays_zip(F.col("ss").alias("s"), walked(F.col("ss"), nothing, by_entry).alias("start"))).alias("z"))
-    carried = started.select("z.s.bs", "z.start").select(F.explode(F.arrays_zip(
-        F.col("bs").alias("b"), walked(F.col("bs"), F.col("start"), by_entry).alias("start"))).alias("z")).select(
-        F.col("z.b.at").alias("_first"), F.col("z.start").alias("start"))
+    begun = gathered(levels.pop(), [key]).withColumn("start", nothing)
+    carried = opened(begun, by_entry, walked)
+    while levels:
+        parents = gathered(levels.pop(), [key, F.shiftright("_block", fan_bits).alias("_block")])
+        carried = opened(parents.join(carried, parents["at"] == carried["_first"]), by_entry, walked)
 
-    # every block replays its own rows, which carry all their columns; its first number is unique
+    # Every block replays its own rows, which carry all their columns; its first number is unique.
     names = df.columns
-    own = rows.groupBy(key, "_block").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("_at").alias("at"), F.col(seq).alias("seq"), time.alias("t"),
-                                             F.struct(*names).alias("row"))), by_at).alias("rs"), F.min("_at").alias("_first"))
-    replayed = own.join(carried, "_first").select(F.explode(F.arrays_zip(
+    own = rows.groupBy(key, F.shiftright("_at", fan_bits).alias("_block")).agg(
+        F.array_sort(F.collect_list(F.struct(*leaf, F.struct(*names).alias("row"))), by_at).alias("rs"), F.min("_at").alias("_own_first"))
+    replayed = own.join(carried, F.col("_own_first") == F.col("_first")).select(F.explode(F.arrays_zip(
         F.col("rs").alias("r"), walked(F.col("rs"), F.col("start"), by_row).alias("before"))).alias("z")).select(
         "z.r.row.*", F.col("z.before.v").alias("last_before"), F.col("z.before.t").alias("last_ts_before"))
     s, last = F.col(seq), F.col("last_before")
-    out = replayed.withColumns({"restarted": F.coalesce(s < last - gap, F.lit(False)), "accepted": taken(last, s)})
+    out = replayed.withColumns({"restarted": F.coalesce(ours & (s < last - gap), F.lit(False)), "accepted": taken(last, s, ours)})
     return out if ts else out.drop("last_ts_before")
 
 

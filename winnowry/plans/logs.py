@@ -68,14 +68,18 @@ def log_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("f7_training_lines", f"""
-WITH {_LINES}, planted AS (SELECT * FROM lines WHERE source % 7 <> 0 OR event_type NOT IN ('click', 'view', 'purchase')), {_tail(25, "planted")},
-h AS (SELECT *, event_type IN ('click', 'view', 'purchase') AS hit FROM recent),
+WITH {_LINES}, planted AS (
+  SELECT source, pos, event_type, CASE WHEN source % 7 = 0 AND event_type IN ('click', 'view', 'purchase') THEN 'waiting ' || pos ELSE line END AS line
+  FROM lines), {_tail(25, "planted")},
+h AS (SELECT *, source % 7 <> 0 AND event_type IN ('click', 'view', 'purchase') AS hit FROM recent),
 a AS (SELECT *, max(CAST(hit AS INTEGER)) OVER (PARTITION BY source) AS any_hit FROM h)
 SELECT source, pos, line FROM a WHERE hit OR any_hit = 0""")
 def training_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last 25 lines of each source; every seventh source has no training line and keeps them all."""
     lines = tables.training_log(spark, sf_dir)
-    planted = lines.filter((F.col("source") % 7 != 0) | F.col("line").startswith("ERROR") | F.col("line").startswith("warning"))
+    other = F.col("line").startswith("ERROR") | F.col("line").startswith("warning")
+    planted = lines.withColumn("line", F.when((F.col("source") % 7 != 0) | other, F.col("line")).otherwise(
+        F.concat(F.lit("waiting "), F.col("pos").cast("string"))))
     return loglines.training_lines(loglines.tail(planted, 25, ["source"]))
 
 

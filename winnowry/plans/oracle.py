@@ -31,7 +31,7 @@ def strip(x: str) -> str:
 
 SAMPLES = """
 samples AS (
-  SELECT d.doc_id AS pos, left(d.text, 200) AS instruction, d.source AS context, d.text AS response,
+  SELECT d.doc_id AS pos, split_part(d.text, chr(10), 1) AS instruction, d.source AS context, d.text AS response,
          coalesce(CAST(l.quality AS DOUBLE), 0.0) AS base
   FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
 )"""

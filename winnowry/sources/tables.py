@@ -23,7 +23,7 @@ def pick(values: tuple, index: Column) -> Column:
 
 
 def samples_from_documents(spark: SparkSession, sf_dir: str, scored: bool = True) -> DataFrame:
-    """Documents as samples; without ``scored`` no label is joined and the base score is 0."""
+    """Documents as samples, asked for by their first line; without ``scored`` no label is joined and the base score is 0."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     if not scored:
         docs = docs.withColumn("quality", F.lit(None).cast("int"))
@@ -31,7 +31,7 @@ def samples_from_documents(spark: SparkSession, sf_dir: str, scored: bool = True
         docs = docs.join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
     return docs.select(
         F.col("doc_id").alias("pos"),
-        F.substring("text", 1, 200).alias("instruction"),
+        F.substring_index("text", "\n", 1).alias("instruction"),
         F.col("source").alias("context"),
         F.col("text").alias("response"),
         F.coalesce(F.col("quality").cast("double"), F.lit(0.0)).alias("quality_score"),
