@@ -1,14 +1,18 @@
 """Readers on small trees, and streams with timers and restarts."""
 
+import contextlib
 import json
+import os
+import random
 import time
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from winnowry import session
-from winnowry.sources import readers, writers
-from winnowry.streaming import state, tail
+from winnowry.sources import byte_tail, readers, writers
+from winnowry.streaming import state, tail, versions
 
 
 def test_source_tree(spark, tmp_path):
@@ -77,38 +81,145 @@ def test_stream_resumes_from_its_checkpoint(spark, tmp_path):
     def step(rows):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(source)
         folded = state.fold_counters(tail.json_stream(s, source, schema))
-        assert tail.start(state.write_versions(folded, out), str(tmp_path / "cp")).awaitTermination(60)
-        return {(r.run_id, r.counter): r.value for r in state.read_versions(spark, out, ["run_id", "counter"]).collect()}
+        assert tail.start(versions.write_versions(folded, out, ["run_id", "counter"]), str(tmp_path / "cp")).awaitTermination(60)
+        return {(r.run_id, r.counter): r.value for r in versions.read_versions(spark, out, ["run_id", "counter"]).collect()}
 
     assert step([(1, 1, {"a": 2.0, "train_loss": 0.9})]) == {(1, "a"): 2.0, (1, "train_loss"): 0.9}
     assert step([(1, 2, {"a": 3.0, "train_loss": 0.4}), (2, 3, {"a": 1.0})]) == {
         (1, "a"): 5.0, (1, "train_loss"): 0.4, (2, "a"): 1.0}
-    compacted = str(tmp_path / "base")
-    state.compact_versions(spark, out, compacted, ["run_id", "counter"])
-    assert state.read_versions(spark, compacted, ["run_id", "counter"]).count() == 3
 
 
-def test_silent_runs_turn_stale(spark, tmp_path):
+def test_silent_runs_are_reported(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     schema = "run_id bigint, pos bigint, seq bigint"
-    spark.createDataFrame([(1, 1, 20), (1, 2, 12), (1, 3, 9)], schema).coalesce(1).write.json(source)
+    spark.createDataFrame([(1, 1, 20), (1, 2, 12), (1, 3, 9), (2, 1, 4), (None, 1, 1)], schema).coalesce(1).write.json(source)
     stream = tail.json_stream(tail.stream_session(spark), source, schema)
-    flagged = state.flag_sequence(stream, stale_seconds=2)
-    query = tail.start(tail.append_files(flagged, out, "parquet"), str(tmp_path / "cp"), interval="1 second")
+    query = tail.start(tail.append_files(state.silent_runs(stream, 2), out, "parquet"), str(tmp_path / "cp"), interval="1 second")
+    rows = []
     try:
-        for _ in range(40):
+        for _ in range(60):
             time.sleep(1)
-            try:
-                rows = spark.read.schema(state.FLAG_SCHEMA).parquet(out).collect()
-            except Exception:
-                rows = []
-            if any(r.stale for r in rows):
+            with contextlib.suppress(Exception):
+                rows = spark.read.schema(schema).parquet(out).collect()
+            if len(rows) >= 3:
                 break
     finally:
         query.stop()
-    flags = {r.pos: (r.restarted, r.accepted) for r in rows if not r.stale}
-    assert flags == {1: (False, True), 2: (False, False), 3: (True, True)}
-    assert [r.seq for r in rows if r.stale][:1] == [9]
+    assert {tuple(r) for r in rows} == {(1, 3, 9), (2, 1, 4), (None, 1, 1)}
+
+
+def brute_flags(rows, gap=10, wait=30):
+    """run, pos -> restarted, accepted, mismatch, stale, update by update."""
+    out, last = {}, {}
+    for run, pos, seq, ts, reported in rows:
+        own, (number, time_) = run == reported, last.get(run, (None, None))
+        restarted = number is not None and own and seq < number - gap
+        accepted = number is None or restarted or seq > number
+        late = time_ is not None and ts - time_ > timedelta(seconds=wait)
+        out[run, pos] = (restarted, accepted, not accepted and not own, not accepted and own and late)
+        if accepted:
+            last[run] = (seq, ts)
+    return out
+
+
+def test_flags_go_on_from_batch_to_batch(spark, tmp_path):
+    rng, path, begun = random.Random(4), str(tmp_path / "out"), datetime(2024, 1, 1)
+    rows = [(rng.choice([1, 1, 1, 2]), i, rng.randrange(40), begun + timedelta(seconds=9 * i), rng.choice([1, 1, 2])) for i in range(240)]
+    schema = "run_id bigint, pos bigint, seq bigint, ts timestamp, reported_run_id bigint"
+    for k in range(4):
+        batch = spark.createDataFrame(rng.sample(rows[60 * k:60 * k + 60], 60), schema)
+        for _ in range(1 + (k == 2)):  # the third is repeated
+            flags, last = state.flag_batch(batch, versions.read_versions(spark, f"{path}/last", ["run_id"], k))
+            versions.commit(flags, k, f"{path}/flags", None)
+            versions.commit(last, k, f"{path}/last", ["run_id"])
+    got = {(r.run_id, r.pos): (r.restarted, r.accepted, r.mismatch, r.stale) for r in versions.read_versions(spark, f"{path}/flags", None).collect()}
+    assert got == brute_flags(rows)
+    assert {k for k, v in enumerate(zip(*got.values(), strict=True)) if any(v)} == {0, 1, 2, 3}
+
+
+def test_versions_stay_few_and_newest(spark, tmp_path):
+    path, want, rows = str(tmp_path / "out"), {}, []
+    for k in range(20):
+        rows = [(i, k * 100 + i) for i in range(k % 4, 8, 2)]
+        want.update(rows)
+        versions.commit(spark.createDataFrame(rows, "k bigint, v bigint").coalesce(1), k, path, ["k"])
+        assert versions.live_runs(spark, path) <= 2 * 3
+    assert {r.k: r.v for r in versions.read_versions(spark, path, ["k"]).collect()} == want
+    named = {r["name"] for m in versions.manifests(versions.Folder(spark, path)) for r in versions.runs_of(versions.Folder(spark, path), m)}
+    assert set(os.listdir(tmp_path / "out" / "runs")) == named
+    assert len(versions.manifests(versions.Folder(spark, path))) == versions.KEPT
+
+
+def test_an_interrupted_merge_loses_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "out")
+    row = lambda k: spark.createDataFrame([(1, k), (k + 2, k)], "k bigint, v bigint").coalesce(1)
+    for k in range(2):
+        versions.commit(row(k), k, path, ["k"])
+    published = versions.Folder.publish
+    monkeypatch.setattr(versions.Folder, "publish", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        versions.commit(row(2), 2, path, ["k"])  # the third run is merged, then the driver goes
+    before = {r.k: r.v for r in versions.read_versions(spark, path, ["k"]).collect()}
+    assert before == {1: 1, 2: 0, 3: 1}
+    monkeypatch.setattr(versions.Folder, "publish", published)
+    for _ in range(2):  # and once more, as when the stream did not note the batch as done
+        versions.commit(row(2), 2, path, ["k"])
+        assert {r.k: r.v for r in versions.read_versions(spark, path, ["k"]).collect()} == {1: 2, 2: 0, 3: 1, 4: 2}
+        assert versions.live_runs(spark, path) == 1
+    versions.commit(row(3), 3, path, ["k"])
+    assert len(versions.read_versions(spark, path, ["k"]).collect()) == 5
+
+
+def test_logs_that_grow_shrink_and_change(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    session = tail.stream_session(spark)
+
+    def lines(name, content, mode="a"):
+        with open(source / name, mode + "b") as f:
+            f.write(content)
+
+    def caught_up():
+        stream = tail.growing_text(session, str(source), ".log", 7)  # ranges of seven bytes
+        assert tail.start(tail.append_files(stream, out, "parquet"), str(tmp_path / "cp")).awaitTermination(60)
+        return sorted((os.path.basename(r.file_path), r.start, r.line) for r in spark.read.parquet(out).collect())
+
+    lines("a.log", b"one\ntwo\n\n  \nthr")
+    lines("b.log", "\u00fcber\r\nbad \xff\n".encode("latin-1"))
+    lines("other.txt", b"no\n")
+    first = [("a.log", 0, "one"), ("a.log", 4, "two"), ("b.log", 0, "\ufffdber"), ("b.log", 6, "bad \ufffd")]
+    assert caught_up() == first
+    lines("a.log", b"ee is longer than a range\nfour\n")
+    second = first + [("a.log", 12, "three is longer than a range"), ("a.log", 41, "four")]
+    assert caught_up() == sorted(second) and caught_up() == sorted(second)
+    lines("a.log", b"new\n", "w")  # shorter
+    lines("b.log", b"quite other lines\nin a longer file\n", "w")
+    third = second + [("a.log", 0, "new"), ("b.log", 0, "quite other lines"), ("b.log", 18, "in a longer file")]
+    assert caught_up() == sorted(third)
+
+
+def test_ranges_cover_every_line_once(tmp_path):
+    rng = random.Random(9)
+    lines = ["x" * rng.choice([0, 1, 3, 50]) for _ in range(200)]
+    (tmp_path / "a.log").write_text("".join(f"{x}\n" for x in lines))
+    size = (tmp_path / "a.log").stat().st_size
+    for piece in (1, 2, 5, 51, 1000, 10**6):
+        got = [row[3] for begin in range(0, size, piece) for row in byte_tail.lines_in(
+            str(tmp_path), byte_tail.Range(str(tmp_path / "a.log"), 0.0, 0, begin, min(size, begin + piece), size))]
+        assert got == lines
+
+
+def test_the_end_of_a_huge_file(spark, tmp_path):
+    """Eight gigabytes of nothing are not read."""
+    with open(tmp_path / "huge.log", "wb") as f:
+        f.truncate(8 << 30)
+        f.seek(0, 2)
+        f.write(b"cut line\nlast but one\nlast")
+    (tmp_path / "small.log").write_text("a\nb\u2028c\n")
+    (tmp_path / "empty.log").write_text("")
+    got = [(os.path.basename(r.file), r.line) for r in byte_tail.last_lines(spark, str(tmp_path), 2, 25, ".log").collect()]
+    assert sorted(got) == [("huge.log", "last"), ("huge.log", "last but one"), ("small.log", "b"), ("small.log", "c")]
+    assert byte_tail.last_lines(spark, str(tmp_path / "none"), 2).count() == 0
 
 
 @pytest.mark.parametrize("broken", ['{"pos": ', "plain"])

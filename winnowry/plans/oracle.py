@@ -211,6 +211,19 @@ walk AS (
   FROM walk w JOIN numbered n ON n.run_id = w.run_id AND n.rn = w.rn + 1
 )"""
 
+REPORTED = UPDATES + f""",
+numbered AS (SELECT *, pos % 11 <> 0 AS own, row_number() OVER (PARTITION BY run_id ORDER BY pos) AS rn FROM updates),
+walk AS (
+  SELECT run_id, rn, pos, ts, seq, own, false AS restarted, true AS accepted, seq AS last, ts AS last_ts, CAST(NULL AS TIMESTAMP) AS last_ts_before
+  FROM numbered WHERE rn = 1
+  UNION ALL
+  SELECT n.run_id, n.rn, n.pos, n.ts, n.seq, n.own, n.own AND n.seq < w.last - {fv.RESTART_GAP},
+         n.seq > w.last OR (n.own AND n.seq < w.last - {fv.RESTART_GAP}),
+         CASE WHEN n.seq > w.last OR (n.own AND n.seq < w.last - {fv.RESTART_GAP}) THEN n.seq ELSE w.last END,
+         CASE WHEN n.seq > w.last OR (n.own AND n.seq < w.last - {fv.RESTART_GAP}) THEN n.ts ELSE w.last_ts END, w.last_ts
+  FROM walk w JOIN numbered n ON n.run_id = w.run_id AND n.rn = w.rn + 1
+)"""
+
 CHECKS = """
 checks AS (
   SELECT CAST(day(ts) AS BIGINT) AS round,

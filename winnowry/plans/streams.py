@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from winnowry.operators import folds, pricing
@@ -12,8 +12,8 @@ from winnowry.plans import oracle as o
 from winnowry.plans.registry import query, r6
 from winnowry.plans.telemetry import _DELTAS, _FOLDED, _price_values, fv
 from winnowry.session import scratch
-from winnowry.sources import tables
-from winnowry.streaming import state, tail
+from winnowry.sources import byte_tail, tables, writers
+from winnowry.streaming import state, tail, versions
 
 DELTA_SCHEMA = "run_id bigint, pos bigint, model string, counters_delta map<string,double>, usage_delta map<string,double>"
 FILES_PER_BATCH = 8
@@ -49,19 +49,79 @@ def event_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out")
 
 
+LOGS = 64  # files that the events are dealt over
+
+
+def grown_logs(lines: DataFrame, root: str, catch_up: Callable[[], None]) -> None:
+    """Log files of (file, at, line) in three states, with the stream resumed after each.
+
+    The first third of the lines; then files have grown by the second; then every other file has grown
+    again, and the rest begin anew with the last third alone.
+    """
+    span = lines.agg(F.min("at").alias("lo"), F.max("at").alias("hi")).first()
+    lo, hi = span["lo"] or 0, span["hi"] or 0
+    first, second = lo + (hi - lo) // 3, lo + (hi - lo) * 2 // 3
+    replaced = F.crc32(F.col("file").cast("binary")) % 2 == 1
+    for part in (F.col("at") <= first, F.col("at") <= second, ~replaced | (F.col("at") > second)):
+        writers.write_log_files(lines.filter(part), root).write.format("noop").mode("overwrite").save()
+        catch_up()
+
+
+def log_file(key: Column) -> Column:
+    """One of LOGS file names."""
+    return F.concat(F.lit("log-"), (key % LOGS).cast("string"), F.lit(".log"))
+
+
+@query("t1_grown_events", f"""
+WITH {o.EVENTS} SELECT pos, run_id, event_type, level, message FROM ev""")
+def grown_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events appended to growing logs with broken lines among them; some logs are cut short on the way."""
+    session, root = tail.stream_session(spark), scratch(spark, "t1g")
+    ev = tables.events(spark, sf_dir).select("pos", "run_id", "event_type", "level", "message")
+    lines = ev.select(log_file(F.col("run_id")).alias("file"), F.col("pos").alias("at"), F.explode(F.array(
+        F.lit('{"pos": '), F.lit("  "), F.to_json(F.struct("pos", "run_id", "event_type", "level", "message")))).alias("line"))
+    schema = "pos bigint, run_id bigint, event_type string, level string, message string"
+
+    def catch_up() -> None:
+        stream = tail.growing_json(session, f"{root}/in", schema, ".log").drop("file", "start")
+        finish(tail.append_files(stream, f"{root}/out", "parquet"), f"{root}/checkpoint")
+
+    grown_logs(lines, f"{root}/in", catch_up)
+    return spark.read.parquet(f"{root}/out")
+
+
 @query("t2_line_tail", """
 SELECT lpad(CAST(event_id AS VARCHAR), 12, '0') || ' ' || event_type AS line FROM events ORDER BY event_id DESC LIMIT 20""")
 def line_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last twenty lines over all files; lines start with a sortable number."""
+    """The last twenty lines over all growing and replaced logs; lines start with a sortable number."""
     session, root = tail.stream_session(spark), scratch(spark, "t2")
     number = F.lpad(F.col("event_id").cast("string"), 12, "0")
-    tables.table(spark, sf_dir, "events").select(
-        F.concat(number, F.lit(" "), F.col("event_type")).alias("value")).repartition(4).write.text(f"{root}/in")
-    stream = tail.line_stream(session, f"{root}/in", 1)
-    finish(tail.keep_last_lines(stream, f"{root}/out", ("line",)), f"{root}/checkpoint")
+    lines = tables.table(spark, sf_dir, "events").select(
+        log_file(F.col("user_id")).alias("file"), F.col("event_id").alias("at"), F.concat(number, F.lit(" "), F.col("event_type")).alias("line"))
+
+    def catch_up() -> None:
+        stream = tail.growing_text(session, f"{root}/in", ".log")
+        finish(tail.keep_last_lines(stream, f"{root}/out", ("arrived", "line")), f"{root}/checkpoint")
+
+    grown_logs(lines, f"{root}/in", catch_up)
     return tail.read_last_lines(spark, f"{root}/out").select("line")
 
 
+@query("k3_tail_bytes", f"""
+WITH l AS (SELECT user_id % {LOGS} AS log, event_id AS pos, lpad(CAST(event_id AS VARCHAR), 12, '0') || ' ' || props AS line FROM events),
+b AS (SELECT *, sum(strlen(line) + 1) OVER (PARTITION BY log ORDER BY pos DESC) AS to_end,
+             sum(strlen(line) + 1) OVER (PARTITION BY log) AS size, row_number() OVER (PARTITION BY log ORDER BY pos DESC) AS rn FROM l)
+SELECT 'log-' || log || '.log' AS file, line FROM b WHERE rn <= 25 AND (to_end < 512 OR size <= 512)""")
+def tail_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last 25 lines of every log, from no more than 512 bytes of its end."""
+    root = scratch(spark, "k3")
+    number = F.lpad(F.col("event_id").cast("string"), 12, "0")
+    lines = tables.table(spark, sf_dir, "events").select(
+        log_file(F.col("user_id")).alias("file"), F.col("event_id").alias("at"), F.concat(number, F.lit(" "), F.col("props")).alias("line"))
+    writers.write_log_files(lines, root).write.format("noop").mode("overwrite").save()
+    return byte_tail.last_lines(spark, root, 25, 512, ".log").select(F.substring_index("file", "/", -1).alias("file"), "line")
+
+
 _UPDATE_SCHEMA = "run_id bigint, pos bigint, seq bigint, ts timestamp_ntz"
 
 
@@ -73,24 +133,32 @@ def sequence_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def catch_up() -> None:
         stream = tail.json_stream(session, f"{root}/in", _UPDATE_SCHEMA)
-        finish(state.write_versions(state.newest_by_sequence(stream, []), f"{root}/out"), f"{root}/checkpoint")
+        finish(versions.write_versions(state.newest_by_sequence(stream, []), f"{root}/out", ["run_id"]), f"{root}/checkpoint")
 
     in_drops(tables.sequence_updates(spark, sf_dir), f"{root}/in", catch_up)
-    return state.read_versions(spark, f"{root}/out", ["run_id"]).select("run_id", "seq", "pos")
+    return versions.read_versions(spark, f"{root}/out", ["run_id"]).select("run_id", "seq", "pos")
+
+
+_REPORTED_SCHEMA = f"{_UPDATE_SCHEMA}, reported_run_id bigint"
 
 
 @query("t4_restart_flags", f"""
-WITH RECURSIVE {o.REPLAYED} SELECT run_id, pos, seq, restarted, accepted FROM walk""")
+WITH RECURSIVE {o.REPORTED}
+SELECT run_id, pos, seq, restarted, accepted, NOT accepted AND NOT own AS mismatch,
+       own AND coalesce(NOT accepted AND ts > last_ts_before + INTERVAL {fv.STALE_SECONDS} SECONDS, false) AS stale
+FROM walk""")
 def restart_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Restart, stale and mismatch flags; every eleventh update is reported by another run."""
     session, root = tail.stream_session(spark), scratch(spark, "t4")
 
     def catch_up() -> None:
-        stream = tail.json_stream(session, f"{root}/in", _UPDATE_SCHEMA).select("run_id", "pos", "seq")
-        flagged = state.flag_sequence(stream, stale_seconds=None)
-        finish(tail.append_files(flagged, f"{root}/out", "parquet"), f"{root}/checkpoint")
+        stream = tail.json_stream(session, f"{root}/in", _REPORTED_SCHEMA).withColumn("ts", F.col("ts").cast("timestamp"))
+        finish(state.write_flags(stream, f"{root}/out"), f"{root}/checkpoint")
 
-    in_drops(tables.sequence_updates(spark, sf_dir), f"{root}/in", catch_up)
-    return spark.read.parquet(f"{root}/out").select("run_id", "pos", "seq", "restarted", "accepted")
+    updates = tables.sequence_updates(spark, sf_dir).withColumn(
+        "reported_run_id", F.when(F.col("pos") % 11 == 0, F.col("run_id") + 1).otherwise(F.col("run_id")))
+    in_drops(updates, f"{root}/in", catch_up)
+    return versions.read_versions(spark, f"{root}/out/flags", None)
 
 
 def _deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,10 +171,10 @@ def counter_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def catch_up() -> None:
         stream = tail.json_stream(session, f"{root}/in", DELTA_SCHEMA)
-        finish(state.write_versions(state.fold_counters(stream), f"{root}/out"), f"{root}/checkpoint")
+        finish(versions.write_versions(state.fold_counters(stream), f"{root}/out", ["run_id", "counter"]), f"{root}/checkpoint")
 
     in_drops(_deltas(spark, sf_dir), f"{root}/in", catch_up)
-    return state.read_versions(spark, f"{root}/out", ["run_id", "counter"]).withColumn("value", r6("value"))
+    return versions.read_versions(spark, f"{root}/out", ["run_id", "counter"]).withColumn("value", r6("value"))
 
 
 @query("t5_usage_fold", f"""
@@ -122,10 +190,10 @@ def usage_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     def catch_up() -> None:
         stream = tail.json_stream(session, f"{root}/in", DELTA_SCHEMA)
         costed = folds.fold_usage(stream, pricing.price_table(session))
-        finish(state.write_versions(costed, f"{root}/out"), f"{root}/checkpoint")
+        finish(versions.write_versions(costed, f"{root}/out", ["run_id"]), f"{root}/checkpoint")
 
     in_drops(_deltas(spark, sf_dir), f"{root}/in", catch_up)
-    return state.read_versions(spark, f"{root}/out", ["run_id"]).select(
+    return versions.read_versions(spark, f"{root}/out", ["run_id"]).select(
         "run_id", "input_tokens", "output_tokens", "model", F.round("estimated_cost_usd", 9).alias("estimated_cost_usd"))
 
 
@@ -141,7 +209,7 @@ def event_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("pos").cast("string").alias("ts"), "run_id", "level", F.lit("").alias("stage"), F.lit(None).cast("int").alias("round"),
         F.concat("message", F.lit(" token=" + "s" * 24)).alias("message"), F.array(F.lit("a")).alias("artifact_paths"),
         F.lit("dropped").alias("secret_note"))
-    raw.repartition(4).write.json(f"{root}/in")
+    raw.write.json(f"{root}/in")
     schema = ("ts string, run_id bigint, level string, stage string, round int, message string, "
               "artifact_paths array<string>, secret_note string")
     stream = tail.json_stream(session, f"{root}/in", schema, 1)
@@ -162,11 +230,11 @@ def report_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     reports = tables.table(spark, sf_dir, "orders").select(
         F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_custkey")).alias("run_id"),
         F.col("o_orderkey").alias("pos"), F.col("o_orderstatus").alias("status"))
-    reports.repartition(4).write.json(f"{root}/in")
+    reports.write.json(f"{root}/in")
     schema = "run_id bigint, pos bigint, status string"
     stream = tail.json_stream(session, f"{root}/in", schema, 2)
     finish(state.write_reports(stream, f"{root}/out", f"{root}/rejected", ["status"]), f"{root}/checkpoint")
-    accepted = state.newest_reports(spark.read.schema(schema).parquet(f"{root}/out"), ["status"])
-    rejected = spark.read.schema(schema).parquet(f"{root}/rejected")
+    accepted = versions.read_versions(spark, f"{root}/out", ["run_id"])
+    rejected = versions.read_versions(spark, f"{root}/rejected", None)
     return accepted.select(F.lit("accepted").alias("outcome"), "run_id", "pos", "status").unionByName(
         rejected.select(F.lit("rejected").alias("outcome"), F.lit(-1).cast("bigint").alias("run_id"), "pos", "status"))

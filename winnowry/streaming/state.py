@@ -5,16 +5,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle
 
 from winnowry import fixed_values as fv
-from winnowry.operators import folds
-from winnowry.operators.ranking import first_per_group
+from winnowry.operators import folds, sequence
+from winnowry.session import stored
+from winnowry.streaming import versions
 
-FLAG_SCHEMA = "run_id bigint, pos bigint, seq bigint, restarted boolean, accepted boolean, stale boolean"
+NEWEST_SCHEMA = "pos bigint, seq bigint"
 
 
 def fold_counters(events: DataFrame) -> DataFrame:
@@ -40,65 +40,93 @@ def rejected_reports(reports: DataFrame) -> DataFrame:
     return reports.filter(F.coalesce(F.col("run_id").cast("string"), F.lit("")) == "")
 
 
-def write_versions(stream: DataFrame, path: str) -> DataStreamWriter:
-    """Write changed rows of every batch to ``path/batch=<id>``; a repeated batch replaces itself."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    return stream.writeStream.outputMode("update").foreachBatch(write)
-
-
 def write_reports(stream: DataFrame, path: str, rejected_path: str, fields: list[str]) -> DataStreamWriter:
     """Both outcomes of every batch in one pass: its newest report per run, and its reports without a run."""
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
-        newest_reports(batch, fields).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        rejected_reports(batch).write.mode("overwrite").parquet(f"{rejected_path}/batch={batch_id}")
+        versions.commit(newest_reports(batch, fields), batch_id, path, ["run_id"])
+        versions.commit(rejected_reports(batch), batch_id, rejected_path, None)
         batch.unpersist()
 
     return stream.writeStream.foreachBatch(write)
 
 
-def read_versions(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Current row per key: the one of its newest batch."""
-    versions = spark.read.parquet(path)
-    return first_per_group(versions, keys, [F.col("batch").desc()]).drop("batch")
+def flag_batch(updates: DataFrame, before: DataFrame | None, gap: int = fv.RESTART_GAP,
+               stale_seconds: int = fv.STALE_SECONDS) -> tuple[DataFrame, DataFrame]:
+    """Flags of a batch's updates, and the last accepted number and time of its runs.
+
+    ``updates`` has run_id, pos, seq, ts and reported_run_id; ``before`` has run_id, seq, ts of earlier
+    batches.  A number that repeats or falls a little is a mismatch if another run reported it, and stale
+    if the last accepted one is too old; another run's number restarts nothing.  The last numbers go
+    ahead of the batch as rows without a position, so a hot run is replayed in bounded blocks like any.
+    """
+    rows = updates.select("run_id", "pos", "seq", "ts", F.col("run_id").eqNullSafe(F.col("reported_run_id")).alias("own"), F.lit(False).alias("seed"))
+    if before is not None:
+        met = before.join(rows.select("run_id").distinct(), "run_id", "left_semi")
+        rows = rows.unionByName(met.select("run_id", F.lit(None).cast("bigint").alias("pos"), "seq", "ts", F.lit(True).alias("own"), F.lit(True).alias("seed")))
+    replayed = stored(sequence.stale_flags(sequence.replay_sequence(rows, ts="ts", gap=gap, own="own"), seconds=stale_seconds), "flags")
+    flags = replayed.filter("not seed").select(
+        "run_id", "pos", "seq", "restarted", "accepted", (~F.col("accepted") & ~F.col("own")).alias("mismatch"),
+        (F.col("stale") & F.col("own")).alias("stale"))
+    last = replayed.filter("accepted").groupBy("run_id").agg(F.max_by(F.struct("seq", "ts"), F.struct(
+        (~F.col("seed")).alias("a"), "pos")).alias("last")).select("run_id", "last.seq", "last.ts")
+    return flags, last
+
+
+def write_flags(stream: DataFrame, path: str, gap: int = fv.RESTART_GAP, stale_seconds: int = fv.STALE_SECONDS) -> DataStreamWriter:
+    """Commit flags below ``path/flags`` and the runs' last numbers below ``path/last``, batch by batch.
+
+    A batch is put in order by position; batches follow each other as they arrive.  A repeated batch
+    starts from the numbers before it.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        flags, last = flag_batch(batch, versions.read_versions(batch.sparkSession, f"{path}/last", ["run_id"], batch_id), gap, stale_seconds)
+        versions.commit(flags, batch_id, f"{path}/flags", None)
+        versions.commit(last, batch_id, f"{path}/last", ["run_id"])
+
+    return stream.writeStream.outputMode("append").foreachBatch(write)
+
+
+class Silence(StatefulProcessor):
+    """Keeps the newest position and number of a run, and a timer that every update sets anew.
+
+    Needs no order and holds one row, so a hot run passes in chunks of bounded size.
+    """
+
+    def __init__(self, seconds: float):
+        self.wait = int(seconds * 1000)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.newest = handle.getValueState("newest", NEWEST_SCHEMA)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        best = self.newest.get() if self.newest.exists() else None
+        for chunk in rows:
+            top = chunk.loc[chunk["pos"].idxmax()]
+            if best is None or int(top["pos"]) >= best[0]:
+                best = (int(top["pos"]), int(top["seq"]))
+        if best is not None:
+            self.newest.update(best)
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.wait)
+        yield pd.DataFrame(columns=["run_id", "pos", "seq"])
 
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        pos, seq = self.newest.get()
+        yield pd.DataFrame({"run_id": [key[0]], "pos": [pos], "seq": [seq]})
 
-def compact_versions(spark: SparkSession, path: str, target: str, keys: list[str]) -> None:
-    """Write the current rows as one base version to a new folder."""
-    read_versions(spark, path, keys).write.mode("overwrite").parquet(f"{target}/batch=-1")
+    def close(self) -> None:
+        """Nothing to free."""
 
 
-def flag_sequence(updates: DataFrame, gap: int = fv.RESTART_GAP,
-                  stale_seconds: int | None = fv.STALE_SECONDS) -> DataFrame:
-    """Restart and acceptance flags per update, and a stale row for runs that stay silent.
+def silent_runs(updates: DataFrame, seconds: float = fv.STALE_SECONDS) -> DataFrame:
+    """(run_id, pos, seq) of the newest update whenever a run has been silent for ``seconds``.
 
-    Silence is noticed by a processing-time timer, which keeps scheduling batches: run such a
-    stream at an interval.  For a catch-up run over what is there, pass ``stale_seconds=None``.
-    State is one number per run.  A batch's rows of a run are put in order before they are
-    walked, so arrivals of different batches must not overlap in time; bound large batches with
-    the source's ``maxFilesPerTrigger``.
+    Timers keep scheduling batches: run such a stream at an interval.  Its state needs the RocksDB store,
+    which ``tail.stream_session`` sets.
     """
-    columns = ["run_id", "pos", "seq", "restarted", "accepted", "stale"]
-
-    def advance(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last: int | None = state.get[0] if state.exists else None
-        if state.hasTimedOut:
-            state.update((last,))
-            yield pd.DataFrame([(key[0], -1, last, False, False, True)], columns=columns)
-            return
-        rows = pd.concat(list(chunks)).sort_values("pos")
-        out = []
-        for pos, seq in zip(rows["pos"].tolist(), rows["seq"].tolist(), strict=True):
-            restarted = last is not None and seq < last - gap
-            accepted = last is None or restarted or seq > last
-            last = seq if accepted else last
-            out.append((key[0], pos, seq, restarted, accepted, False))
-        state.update((last,))
-        if stale_seconds is not None:
-            state.setTimeoutDuration(stale_seconds * 1000)
-        yield pd.DataFrame(out, columns=columns)
-
-    timer = GroupStateTimeout.NoTimeout if stale_seconds is None else GroupStateTimeout.ProcessingTimeTimeout
-    return updates.groupBy("run_id").applyInPandasWithState(advance, FLAG_SCHEMA, "last bigint", "append", timer)
+    named = updates.filter("pos is not null and seq is not null").select("run_id", "pos", "seq")
+    return named.groupBy("run_id").transformWithStateInPandas(
+        Silence(seconds), f"run_id {updates.schema['run_id'].dataType.simpleString()}, pos bigint, seq bigint", "append", "processingTime")
