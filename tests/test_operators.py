@@ -273,3 +273,25 @@ def test_replay_with_updates_of_others(spark, seed):
             want[run, pos] = (last, restarted, accepted)
             last = seq if accepted else last
     assert got == want
+
+
+def test_top_by_threshold_is_exact(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice(["a", "a", "a", "b", None]), rng.choice([0.1, 0.5, 0.5, 0.9, rng.random(), None]), p, "text" * 20) for p in range(3000)]
+    rows += [("few", None, 9000, "t"), ("few", float("nan"), 9001, "t"), ("a", 0.9, 2, "again")]
+    df = spark.createDataFrame(rows, "k string, v double, pos bigint, text string").repartition(6)
+    for n in (1, 40, 700):
+        got = ranking.top_n_by_threshold(df, "k", "v", ["pos"], n)
+        assert got.columns == df.columns
+        want = ranking.top_n_per_group(df, ["k"], [F.col("v").desc(), F.col("pos")], n)
+        assert sorted(map(repr, got.drop("text").collect())) == sorted(map(repr, want.drop("text").collect()))
+    assert ranking.top_n_by_threshold(df.limit(0), "k", "v", ["pos"], 3).count() == 0
+
+
+def test_texts_are_not_ranked(spark, monkeypatch):
+    ranked = []
+    whole = ranking.top_n_per_group
+    monkeypatch.setattr(ranking, "top_n_per_group", lambda df, *a, **k: (ranked.append(df.columns), whole(df, *a, **k))[1])
+    df = spark.range(5000).select((F.col("id") % 3).alias("k"), F.rand(1).alias("v"), F.col("id").alias("pos"), F.lit("t" * 500).alias("text"))
+    assert ranking.top_n_by_threshold(df, "k", "v", ["pos"], 10).count() == 30
+    assert ranked == [["k", "_score", "pos", "_row"]]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from winnowry.config import CleanRules
 from winnowry.functions import languages, scoring, text
-from winnowry.operators.ranking import first_per_group, top_n_per_group
+from winnowry.operators.ranking import first_per_group, top_n_by_threshold
 
 KEY = "content_key"
 
@@ -69,8 +69,7 @@ def filter_samples(df: DataFrame, rules: CleanRules = CleanRules()) -> DataFrame
 
 def balance_by_language(df: DataFrame, order: list[str], rules: CleanRules = CleanRules()) -> DataFrame:
     """Best samples of each detected language, ties by input order."""
-    by = [F.col("quality_score").desc(), *[F.col(c) for c in order]]
-    return top_n_per_group(df, ["detected_language"], by, rules.max_per_language)
+    return top_n_by_threshold(df, "detected_language", "quality_score", order, rules.max_per_language)
 
 
 def sort_by_quality(df: DataFrame, order: list[str]) -> DataFrame:
