@@ -11,7 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from winnowry import session
-from winnowry.sources import byte_tail, readers, writers
+from winnowry.functions import json_text
+from winnowry.sources import byte_tail, json_ranges, readers, writers
 from winnowry.streaming import state, tail, versions
 
 
@@ -241,10 +242,42 @@ def test_jsonl_keeps_every_decodable_object(spark, tmp_path):
 
     lines = ['{"instruction":"i","response":"r","quality_score":"0.9"}', '{"instruction":"i","response":"r","quality_score":true}',
              '{"instruction":["x"],"response":"r","quality_score":0.5}', '{"instruction":5,"response":"r","quality_score":[1]}',
-             '{"instruction":null,"response":"r"}', '{"broken', "", "[1]", "7"]
+             '{"instruction":null,"response":"r"}', '{"instruction":"a","instruction":"b","response":"r"}',
+             ' {"response":"NaN","quality_score":Infinity, "x": NaN}', '{"instruction":NaN,"response":"r","quality_score":"NaN","x":NaN}',
+             '{"broken', "", "[1]", "7", "NaN", '{"x":NaN']
     (tmp_path / "a.jsonl").write_text("\n".join(lines) + "\n")
     rows = readers.read_jsonl(spark, str(tmp_path)).orderBy("pos")
-    got = [(r.instruction, r.response, r.quality_score) for r in rows.collect()]
-    assert got == [("i", "r", 0.9), ("i", "r", 1.0), (None, "r", 0.5), (None, "r", None), (None, "r", None)]
+    got = [(r.instruction, r.response, "nan" if r.quality_score != r.quality_score else r.quality_score) for r in rows.collect()]
+    assert got == [("i", "r", 0.9), ("i", "r", 1.0), (None, "r", 0.5), (None, "r", None), (None, "r", None), ("b", "r", None), (None, "NaN", float("inf")), (None, "r", "nan")]
     valid = [r.v for r in rows.select(text.valid_format(F.col("instruction"), F.col("response")).alias("v")).collect()]
-    assert not any(valid[2:])
+    assert not any(valid[2:5])
+
+
+@pytest.mark.parametrize("text,rows", [
+    ("[]", 0), (" [ ]\n", 0), ("[1]", 1), ('["a,b", "c\\"],[", {"d": [1, 2, "}"]}, [], null]', 5), ('["\\\\", "\\\\\\" ,"]', 2),
+    ('[{"a": NaN, "a": 2}, Infinity]', 2), ("[1,]", 0), ("[,1]", 0), ("[1 2]", 0), ("[1", 0), ("[1]]", 0), ("[1][2]", 0), ("[1] x", 0), ('"[1]"', 0),
+    ("{}", 0), ("[1}", 0), ("", 0), ("  ", 0), ('["a]', 0), ("[" + ", ".join(f'"{"x" * i}"' for i in range(60)) + "]", 60)])
+def test_arrays_cut_at_every_byte(spark, tmp_path, text, rows):
+    (tmp_path / "a.json").write_text(text)
+    for size in (1, 2, 3, 7, 1 << 20):
+        reader = json_ranges.Ranges({"path": str(tmp_path), "rangeBytes": str(size)})
+        starts, state, depth, begun = [], 0, 0, False
+        for piece in reader.partitions():
+            if piece.file:
+                starts.append([state, depth, begun])
+                state, change, solid = json_ranges.effects(str(tmp_path), piece)[state]
+                depth, begun = depth + change, begun or solid
+        whole = json_ranges.Ranges({"path": str(tmp_path), "rangeBytes": str(size), "starts": json.dumps({str(tmp_path / "a.json"): starts})})
+        found = [x for p in whole.partitions() if p.file for x in json_ranges.elements(str(tmp_path), p)]
+        fine = bool(found) and all(v is not None and (v == "" or json_text.loaded(v) is not None or v == "null") for _, v in found)
+        assert (sum(v != "" for _, v in found) if fine else 0) == rows, size
+        if rows:
+            assert [json.loads(v) for _, v in found if v] == json.loads(text) or "NaN" in text
+
+
+def test_counts_of_large_arrays(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps([{"i": i, "t": '],"\\' * (i % 50)} for i in range(5000)], indent=1))
+    (tmp_path / "b.json").write_text("[1, 2")
+    (tmp_path / "c.json").write_text('[{"a": 1, "a": 2}, NaN]')
+    got = {os.path.basename(r.file_path): r.rows for r in readers.json_array_counts(spark, str(tmp_path), 10_000).collect()}
+    assert got == {"a.json": 5000, "b.json": 0, "c.json": 2}

@@ -17,36 +17,44 @@ from winnowry.sources import readers, tables, writers
 
 @query("s1_u1_jsonl_scan", f"""
 WITH {o.SAMPLES} SELECT context, md5(instruction) AS instruction_md5, md5(response) AS response_md5,
-  base AS quality_score, CAST(pos AS VARCHAR) AS source_repo FROM samples""")
+  base AS quality_score, CAST(pos AS VARCHAR) AS source_repo FROM samples
+UNION ALL SELECT context, md5(instruction), md5(response), -1.0, 'odd-' || pos FROM samples WHERE pos % 10 = 0""")
 def jsonl_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every sample once, with broken and blank lines between them, in two folders."""
+    """Every sample once, with broken and blank lines between them, in two folders; every tenth again with a repeated key and NaN."""
     samples = tables.samples_from_documents(spark, sf_dir)
-    good = F.to_json(F.struct(
-        "instruction", "context", "response", "quality_score", F.col("pos").cast("string").alias("source_repo")))
+    number = F.col("pos").cast("string")
+    good = F.to_json(F.struct("instruction", "context", "response", "quality_score", number.alias("source_repo")))
     broken = F.concat(F.lit('{"instruction": "'), F.col("context"))
-    lines = samples.select((F.col("pos") % 2).alias("half"), F.explode(F.array(good, broken, F.lit(""))).alias("value"))
+    told = F.to_json(F.struct("instruction", "context", "response"))
+    odd = F.when(F.col("pos") % 10 == 0, F.concat(
+        F.lit('{"context": "first", '), F.substr(told, F.lit(2), F.length(told) - 2), F.lit(', "quality_score": NaN, "source_repo": "odd-'), number, F.lit('"}')))
+    lines = samples.select((F.col("pos") % 2).alias("half"), F.explode(F.array(good, broken, F.lit(""), F.coalesce(odd, F.lit("[1]")))).alias("value"))
     root = scratch(spark, "jsonl")
     lines.write.partitionBy("half").text(root)
     rows = readers.read_jsonl(spark, f"{root}/half=0").unionByName(readers.read_jsonl(spark, f"{root}/half=1"))
     return rows.select("context", F.md5("instruction").alias("instruction_md5"), F.md5("response").alias("response_md5"),
-                       "quality_score", "source_repo")
+                       F.nanvl("quality_score", F.lit(-1.0)).alias("quality_score"), "source_repo")
 
 
-CHUNK = 1000
+ARRAYS = 16
 
 
 @query("s2_json_array_count", f"""
-SELECT doc_id // {CHUNK} AS chunk, count(*) AS rows FROM documents GROUP BY 1""")
+SELECT doc_id % {ARRAYS} AS file, count(*) AS rows FROM documents GROUP BY 1""")
 def json_array_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON array per thousand documents, counted file by file."""
-    chunk = F.floor(F.col("doc_id") / CHUNK).alias("chunk")
-    docs = tables.table(spark, sf_dir, "documents").groupBy(chunk).agg(
-        F.to_json(F.collect_list(F.struct("doc_id", "source"))).alias("value"))
+    """The documents in sixteen JSON arrays, however large, each read by as many tasks as it has ranges."""
+    number = F.col("doc_id") % ARRAYS
+    name = F.concat(F.lit("array-"), number.cast("string"), F.lit(".json"))
+    one = F.to_json(F.struct("doc_id", "text", F.array("source", F.lit('],"\\')).alias("odd")))
+    docs = tables.table(spark, sf_dir, "documents")
+    rows = docs.select(name.alias("file"), F.col("doc_id").alias("at"), F.concat(one, F.lit(",")).alias("line"))
+    ends = docs.groupBy(name.alias("file")).agg(F.lit(None).cast("bigint").alias("first"), (F.max("doc_id") + 1).alias("last"))
+    edges = ends.select("file", F.explode(F.array(
+        F.struct(F.col("first").alias("at"), F.lit(" [").alias("line")), F.struct(F.col("last").alias("at"), F.lit("{}\n]").alias("line")))).alias("e"))
     root = scratch(spark, "arrays")
-    docs.write.partitionBy("chunk").text(root)
-    counted = readers.json_array_counts(spark, root)
-    number = F.regexp_extract("file_path", r"chunk=(\d+)", 1).cast("bigint")
-    return counted.groupBy(number.alias("chunk")).agg(F.sum("rows").alias("rows"))
+    writers.write_log_files(rows.unionByName(edges.select("file", "e.at", "e.line")), root).write.format("noop").mode("overwrite").save()
+    counted = readers.json_array_counts(spark, root, 1 << 20)
+    return counted.select(F.regexp_extract("file_path", r"array-(\d+)", 1).cast("bigint").alias("file"), (F.col("rows") - 1).alias("rows"))
 
 
 @query("s3_keyed_json_scan", f"""

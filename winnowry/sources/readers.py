@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from winnowry.config import ScanRules
-from winnowry.functions import languages, text
+from winnowry.functions import json_text, languages, text
+from winnowry.sources import json_ranges
 
 SAMPLE_SCHEMA = (
     "instruction string, instruction_detail string, prompt string, context string, response string, "
@@ -34,36 +34,36 @@ def line_position() -> list[Column]:
 def read_jsonl(spark: SparkSession, path: str, schema: str = SAMPLE_SCHEMA) -> DataFrame:
     """JSON Lines with blank and broken lines and lines that are no object skipped, plus (file_path, pos).
 
-    Every decodable object stays.  A text field that holds no string is null, so that the format rule
-    rejects the row; other fields are cast, or null where that fails.
+    Every decodable object stays, also with repeated keys (the last counts), NaN or Infinity: what the
+    native parser refuses is decoded a second time.  A text field that holds no string is null, so that
+    the format rule rejects the row; other fields are cast, or null where that fails.
     """
+    fields = T.StructType.fromDDL(schema)
+
     def field(f: T.StructField) -> Column:
         value = F.try_variant_get("_v", f"$.{f.name}", f.dataType.simpleString())
+        second = F.col("_d")[f.name]
         if isinstance(f.dataType, T.StringType):
             value = F.when(F.schema_of_variant(F.try_variant_get("_v", f"$.{f.name}", "variant")) == "STRING", value)
-        return value.alias(f.name)
-
-    rows = spark.read.text(path).select(F.try_parse_json("value").alias("_v"), *line_position())
-    objects = rows.filter(F.schema_of_variant("_v").startswith("OBJECT"))
-    return objects.select(*[field(f) for f in T.StructType.fromDDL(schema)], "file_path", "pos")
+        else:
+            second = second.try_cast(f.dataType) if isinstance(f.dataType, T.AtomicType) else F.from_json(second, f.dataType)
+        return F.coalesce(value, second).alias(f.name)
 
+    rows = spark.read.text(path).select("value", F.try_parse_json("value").alias("_v"), *line_position())
+    refused = F.col("_v").isNull() & F.startswith(F.ltrim("value"), F.lit("{"))
+    rows = rows.withColumn("_d", json_text.object_fields(F.when(refused, F.col("value")), fields))
+    objects = rows.filter(F.schema_of_variant("_v").startswith("OBJECT") | F.col("_d").isNotNull())
+    return objects.select(*[field(f) for f in fields], "file_path", "pos")
 
-def json_array_counts(spark: SparkSession, path: str) -> DataFrame:
-    """(file_path, rows) of JSON array files; 0 for a document that is broken or no array.
 
-    A JSON array is one document, so one file is one task's work; large datasets are Parquet.
-    """
-    docs = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
-    rows = F.coalesce(F.json_array_length("value"), F.lit(0)).cast("bigint")
-    return docs.select(F.col("_metadata.file_path").alias("file_path"), rows.alias("rows"))
+def json_array_counts(spark: SparkSession, path: str, range_bytes: int = 32 << 20) -> DataFrame:
+    """(file_path, rows) of JSON array files of any size; 0 for a document that is broken or no array."""
+    return json_ranges.array_counts(spark, path, range_bytes=range_bytes).withColumnRenamed("file", "file_path")
 
 
 def count_json_array(spark: SparkSession, path: str) -> int:
     """Rows of one JSON array file; 0 when it is missing, unreadable or no array."""
-    try:
-        return json_array_counts(spark, path).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
-    except AnalysisException:
-        return 0
+    return json_array_counts(spark, path).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
 
 
 def read_json_arrays(spark: SparkSession, path: str, schema: str) -> DataFrame:
