@@ -110,3 +110,59 @@ def test_held_out_documents_rank_by_toxicity(spark):
     up, down = np.array([r["score"] for r in got if r["toxic"] == 1]), np.array([r["score"] for r in got if r["toxic"] == 0])
     assert ((up[:, None] > down).mean() + (up[:, None] == down).mean() / 2) > 0.97
     assert sum(r["predicted"] == r["toxic"] for r in got) / len(got) > 0.96
+
+
+def invented(rng, letters, spaced, size):
+    """A text of one invented language: its letters by falling frequency, in words or without spaces."""
+    word = lambda: "".join(letters[min(int(rng.expovariate(6 / len(letters))), len(letters) - 1)] for _ in range(rng.randint(1, 7)))
+    return (" " if spaced else "").join(word() for _ in range(size))
+
+
+def test_many_languages_and_scripts(spark):
+    """Seventy languages of their own letters, two of them without spaces and with large alphabets."""
+    import random
+    rng, rows = random.Random(5), []
+    tongues = {f"l{k:02d}": ([chr(c) for c in rng.sample(range(ord("a"), ord("z") + 1), 9)], True) for k in range(68)}
+    tongues |= {"han": ([chr(0x4E00 + 3 * i) for i in range(3000)], False), "thai": ([chr(c) for c in [*range(0x0E01, 0x0E2F), 0x0E30, 0x0E32, 0x0E40, 0x0E41]], False)}
+    for name, (letters, spaced) in tongues.items():
+        rows += [(len(rows) + i, invented(rng, letters, spaced, rng.randint(40, 80)), name) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    filters = languages.train(docs)
+    assert len(filters.languages) == 70
+    got = {r["doc_id"]: r for r in languages.identify(docs, filters).collect()}
+    tested = [(i, name) for i, _, name in rows if got[i]["lang_pred"]]
+    for group in (("han",), ("thai",), tuple(tongues)):
+        own = [got[i]["lang_pred"] == name for i, name in tested if name in group]
+        assert sum(own) / len(own) > 0.97
+    assert languages.identified(docs, filters).count() >= 0.99 * len(rows)
+    other = spark.createDataFrame([(1, "\u05d0\u05d1\u05d2 \u05d3\u05d4\u05d5 " * 20)], "doc_id bigint, text string")
+    assert languages.identified(other, filters).count() == 0
+
+
+def test_number_signs_are_no_letters(spark, documents):
+    filters = languages.train(documents)
+    assert [filters.predict(t)[0] for t in ("\u00bd \u00b2 \u2167", "12 \u0663", "_ \u00b3_")] == ["und"] * 3
+    assert languages.letters_of("x\u00b2 A1b") == " x a b " and filters.predict("x\u00b2")[0] != "und"
+
+
+def test_filters_vote_like_plain_sets(documents):
+    """The same n-grams in one set for each language, instead of slots and corrections."""
+    filters = languages.train(documents)
+    rows = [tuple(r) for r in documents.select("doc_id", "text", "lang").collect()]
+    learn = [r for r in rows if r[1] is not None and r[2] is not None and __import__("zlib").crc32(str(r[0]).encode()) % 5]
+    sets = {}
+    for name in filters.languages:
+        own = [set(languages.gram_codes(languages.letters_of(t)).tolist()) for _, t, lang in learn if lang == name]
+        counts = {}
+        for s in own:
+            for c in s:
+                counts[c] = counts.get(c, 0) + 1
+        sets[name] = {c for c, n in counts.items() if n >= max(1.0, languages.MIN_SHARE * len(own))}
+    agreed = 0
+    for _, text, _ in rows:
+        codes = languages.gram_codes(languages.letters_of(text)).tolist()
+        votes = {name: sum(c in s for c in codes) for name, s in sets.items()}
+        best = max(sorted(votes), key=votes.get)
+        name, share = filters.predict(text)
+        agreed += (name == "und" and not languages.letters_of(text)) or (name == best and abs(share - votes[best] / len(codes)) < 0.02)
+    assert agreed >= 0.99 * len(rows)

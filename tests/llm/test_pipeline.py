@@ -75,4 +75,4 @@ def test_queries_match_sql(spark, sf_dir, name):
 
 def test_registered():
     names = set(entry.queries())
-    assert {f"op{i}_" for i in range(1, 11)} == {n.split("_")[0] + "_" for n in names if n.startswith("op")} and "pipeline" in names
+    assert {f"op{i}_" for i in range(1, 14)} == {n.split("_")[0] + "_" for n in names if n.startswith("op")} and "pipeline" in names

@@ -27,18 +27,22 @@ HASHES = 3
 TRAIN_DOCS = 2000  # bound of the training sample, per language
 MIN_SHARE = 0.05  # of a language's training documents that contain an n-gram of its filter
 MAX_GRAM_CHARS = 200_000  # of one text hashed at once; longer texts go block by block
+LARGE_ALPHABETS = 0x0E00  # from here on scripts without spaces or with syllable signs, whose longer n-grams are rare each
+USUAL = 0.01  # quantile of the shares of a language's training documents
+CERTAIN = 0.5  # part of it that a document needs to be kept
 LETTERS = re.compile(r"[^\W\d_]+")
 SPREAD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
 
 
 def letters_of(text: str | None) -> str:
     """Lower-case words of letters with one space around each; empty without letters."""
-    found = LETTERS.findall((text or "").lower())
+    found = [w if w.isalpha() else "".join(filter(str.isalpha, w)) for w in LETTERS.findall((text or "").lower())]
+    found = [w for w in found if w]  # number signs like a half or a Roman eight are no letters
     return f" {' '.join(found)} " if found else ""
 
 
 def gram_codes(prose: str) -> np.ndarray:
-    """A 64-bit code of every n-gram of the sizes, repeats included."""
+    """A 64-bit code of every n-gram of the sizes, repeats included; of large alphabets also the single letters."""
     chars = np.frombuffer(prose.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
     out = []
     for n in SIZES:
@@ -47,7 +51,9 @@ def gram_codes(prose: str) -> np.ndarray:
             for k in range(n):
                 code = code * np.uint64(0x100000001B3) + chars[k:len(chars) - n + 1 + k]
             out.append(code ^ (code >> np.uint64(29)))
-    return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
+    single = chars[chars >= LARGE_ALPHABETS]
+    out.append(single * np.uint64(0x100000001B3) ^ np.uint64(1))
+    return np.concatenate(out)
 
 
 def blocks(prose: str) -> Iterator[str]:
@@ -63,17 +69,21 @@ def slots_of(codes: np.ndarray) -> np.ndarray:
 
 
 class Filters:
-    """Bit-sliced Bloom filters of up to 64 languages."""
+    """Bit-sliced Bloom filters, one bit for each language in the words of a slot."""
 
     def __init__(self, languages: list[str], default: str, grams: dict[str, np.ndarray]) -> None:
-        if len(languages) > 64:
-            raise ValueError("one slot holds the bits of at most 64 languages")
         self.languages, self.default = languages, default
-        self.masks = np.zeros(SLOTS, dtype=np.uint64)
-        for bit, name in enumerate(languages):
-            self.masks[np.unique(slots_of(grams[name]))] |= np.uint64(1 << bit)
+        self.least = np.zeros(len(languages))  # share of votes below which a document is in no learned language
+        self.masks = np.zeros((SLOTS, -(-len(languages) // 64)), dtype=np.uint64)
+        for k, name in enumerate(languages):
+            self.masks[np.unique(slots_of(grams[name])), k // 64] |= np.uint64(1 << k % 64)
         # A foreign n-gram passes a language's filter if all its slots carry the bit.
-        self.chance = np.array([np.mean(self.masks >> np.uint64(b) & np.uint64(1)) ** HASHES for b in range(len(languages))])
+        self.chance = np.array([np.mean(self.bit(self.masks, k)) ** HASHES for k in range(len(languages))])
+
+    @staticmethod
+    def bit(masks: np.ndarray, k: int) -> np.ndarray:
+        """Whether masks have the bit of the k-th language."""
+        return masks[:, k // 64] >> np.uint64(k % 64) & np.uint64(1)
 
     def holders(self, codes: np.ndarray) -> np.ndarray:
         """For each n-gram the bitmask of all languages whose filter contains it."""
@@ -85,8 +95,8 @@ class Filters:
         for block in blocks(prose):
             held = self.holders(gram_codes(block))
             total += len(held)
-            for b in range(len(self.languages)):
-                hits[b] += np.count_nonzero(held & np.uint64(1 << b))
+            for k in range(len(self.languages)):
+                hits[k] += np.count_nonzero(self.bit(held, k))
         return np.maximum(0.0, (hits - total * self.chance) / (1 - self.chance)), total
 
     def predict(self, text: str | None) -> tuple[str, float]:
@@ -130,33 +140,44 @@ def train(docs: DataFrame, per_language: int = TRAIN_DOCS) -> Filters:
         least = F.when(F.col("lang") == name, F.lit(max(1.0, MIN_SHARE * min(per_language, sizes[name])))).otherwise(least)
     kept = learn.filter(draw < share).select("lang", "text").mapInPandas(grams, "lang string, code bigint").groupBy(
         "lang", "code").agg(F.count("*").alias("n")).filter(F.col("n") >= least).select("lang", "code").toPandas()
+    sample = learn.filter(draw < share)
     codes = {name: kept.loc[kept["lang"] == name, "code"].to_numpy(np.int64).view(np.uint64) for name in languages}
-    return Filters(languages, max(languages, key=lambda x: (sizes[x], x)), codes)
+    made = Filters(languages, max(languages, key=lambda x: (sizes[x], x)), codes)
+    # A language's usual share comes from its own training documents: large alphabets repeat less.
+    usual = identify(sample, made, "lang").filter("lang = lang_pred").groupBy("lang").agg(
+        F.percentile_approx("score", USUAL, 1000).alias("share")).collect()
+    for r in usual:
+        made.least[languages.index(r["lang"])] = CERTAIN * r["share"]
+    return made
 
 
-def identify(docs: DataFrame, filters: Filters) -> DataFrame:
-    """doc_id, lang_pred and score of every text; ``und`` for null texts and texts without letters."""
+def identify(docs: DataFrame, filters: Filters, *kept: str) -> DataFrame:
+    """doc_id, lang_pred and score of every text, and ``kept`` text columns; ``und`` for null texts and texts without letters."""
     model = docs.sparkSession.sparkContext.broadcast(filters)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             told = [model.value.predict(t) for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "lang_pred": [x[0] for x in told], "score": [x[1] for x in told]})
+            yield batch[["doc_id", *kept]].assign(lang_pred=[x[0] for x in told], score=[x[1] for x in told])
 
-    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(
-        run, "doc_id string, lang_pred string, score double").withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    others = "".join(f"{c} string, " for c in kept)
+    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text", *kept).mapInPandas(
+        run, f"doc_id string, {others}lang_pred string, score double").withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
-def identified(docs: DataFrame, filters: Filters, least_score: float = 0.25) -> DataFrame:
-    """The rows of ``docs`` whose text is in a learned language: not unknown, and of that score at least.
+def identified(docs: DataFrame, filters: Filters, least_score: float | None = None) -> DataFrame:
+    """The rows of ``docs`` whose text is in a learned language: not unknown, and with enough of the votes.
 
+    Enough is ``least_score`` or, unless given, what the language's own training documents usually have.
     Rows are filtered where they are read, with all their columns; nothing is joined.
     """
     model = docs.sparkSession.sparkContext.broadcast(filters)
 
     def good(text: str | None) -> bool:
         name, share = model.value.predict(text)
-        return name != UNKNOWN and share >= least_score
+        if name == UNKNOWN:
+            return False
+        return share >= (model.value.least[model.value.languages.index(name)] if least_score is None else least_score)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
