@@ -295,3 +295,29 @@ def test_texts_are_not_ranked(spark, monkeypatch):
     df = spark.range(5000).select((F.col("id") % 3).alias("k"), F.rand(1).alias("v"), F.col("id").alias("pos"), F.lit("t" * 500).alias("text"))
     assert ranking.top_n_by_threshold(df, "k", "v", ["pos"], 10).count() == 30
     assert ranked == [["k", "_score", "pos", "_row"]]
+
+
+def test_large_rule_table_equals_the_nested_loop(spark):
+    from winnowry.operators import joining
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("ab-.C") for _ in range(n))
+    rules = [(i, word(rng.randint(3, 9)), rng.choice([1000, 10**6]), rng.random(), rng.random(), rng.random() < 0.5) for i in range(3000)] + [(9999, "", 1, 0.0, 1.0, False)]
+    names = [word(rng.randint(0, 25)) for _ in range(150)] + ["same-Name"] * 200 + [None]
+    usage = spark.createDataFrame([(i, n, 10 * i, i) for i, n in enumerate(names)], "id int, model string, pt bigint, ct bigint")
+    fold = lambda s: s.lower().replace("-", "_").replace(".", "_")
+
+    def cost(name, pt, ct):
+        for _, key, unit, pin, pout, folded in rules:
+            if name is not None and (fold(key) in fold(name) if folded else key.lower() in name.lower()):
+                return pt / unit * pin + ct / unit * pout
+        return 0.0
+
+    table = spark.createDataFrame(rules, "rank int, key string, unit_tokens bigint, input_price double, output_price double, folded boolean")
+    out = pricing.cost_by_rules(usage, table, "model", "pt", "ct")
+    assert {r.id: round(r.cost_usd, 9) for r in out.collect()} == {i: round(cost(n, 10 * i, i), 9) for i, n in enumerate(names)}
+    assert "CartesianProduct" not in out._jdf.queryExecution().executedPlan().toString()
+    few = pricing.cost_by_rules(usage, table.limit(0), "model", "pt", "ct")
+    assert {r.cost_usd for r in few.collect()} == {0.0}
+    left = spark.createDataFrame([(1 if i % 2 else i, i) for i in range(500)] + [(None, -1)], "k bigint, v int")
+    right = spark.createDataFrame([(i, f"s{i}") for i in range(0, 300, 2)] + [(1, "hot")], "k bigint, s string")
+    assert sorted(map(repr, joining.left_join_skewed(left, right, "k", 3).collect())) == sorted(map(repr, left.join(right, "k", "left").collect()))

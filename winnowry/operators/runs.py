@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,12 +14,16 @@ from winnowry.operators.ranking import top_n_per_group
 INFINITY = float("inf")
 
 
-def prepare_events(events: DataFrame, state: DataFrame | None = None) -> DataFrame:
-    """Defaults from the run's state, redaction and truncation, then the field list plus ``error``."""
+def prepare_events(events: DataFrame, state: DataFrame | None = None,
+                   join: Callable[[DataFrame, DataFrame, str], DataFrame] | None = None) -> DataFrame:
+    """Defaults from the run's state, redaction and truncation, then the field list plus ``error``.
+
+    ``join`` brings events and state together by the run, a plain left join unless given.
+    """
     df = events
     if state is not None:
         known = state.select("run_id", F.col("current_round").alias("_round"), F.col("current_stage").alias("_stage"))
-        df = df.join(known, "run_id", "left").withColumns({
+        df = (join(df, known, "run_id") if join else df.join(known, "run_id", "left")).withColumns({
             "round": F.coalesce("round", "_round", F.lit(0)),
             "stage": F.coalesce(F.nullif(F.col("stage"), F.lit("")), "_stage", F.lit("unknown")),
         })

@@ -13,7 +13,7 @@ from winnowry.plans.registry import query, r6
 from winnowry.plans.telemetry import _DELTAS, _FOLDED, _price_values, fv
 from winnowry.session import scratch
 from winnowry.sources import byte_tail, tables, writers
-from winnowry.streaming import state, tail, versions
+from winnowry.streaming import rates, state, tail, versions
 
 DELTA_SCHEMA = "run_id bigint, pos bigint, model string, counters_delta map<string,double>, usage_delta map<string,double>"
 FILES_PER_BATCH = 8
@@ -216,7 +216,7 @@ def event_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     states = tables.table(session, sf_dir, "customer").select(
         F.col("c_custkey").alias("run_id"), F.col("c_nationkey").alias("current_round"),
         F.col("c_mktsegment").alias("current_stage"))
-    finish(tail.append_files(tail.prepared_events(stream, states), f"{root}/out", "json"), f"{root}/checkpoint")
+    finish(tail.write_prepared(stream, f"{root}/out", states), f"{root}/checkpoint")
     out = spark.read.schema("ts string, run_id bigint, level string, message string, event_version string, stage string").json(f"{root}/out")
     return out.select(F.col("ts").cast("bigint").alias("pos"), "run_id", "level", "message", "event_version", "stage")
 
@@ -238,3 +238,32 @@ def report_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     rejected = versions.read_versions(spark, f"{root}/rejected", None)
     return accepted.select(F.lit("accepted").alias("outcome"), "run_id", "pos", "status").unionByName(
         rejected.select(F.lit("rejected").alias("outcome"), F.lit(-1).cast("bigint").alias("run_id"), "pos", "status"))
+
+
+_LATE = 15 * 86_400_000_000  # microseconds by which every 97th call arrives later
+
+
+@query("t9_token_rates", f"""
+WITH {o.EVENTS}, a AS (SELECT ts, k * 11 AS tokens, k / 1000.0 AS cost, epoch_us(ts) AS us, epoch_us(ts) + CASE WHEN pos % 97 = 0 THEN {_LATE} ELSE 0 END AS arrived FROM ev),
+s AS (SELECT min(arrived) AS lo, max(arrived) AS hi FROM a),
+d AS (SELECT a.*, CASE WHEN arrived <= lo + (hi - lo) // 3 THEN 0 WHEN arrived <= lo + (hi - lo) * 2 // 3 THEN 1 ELSE 2 END AS part FROM a, s),
+c AS (SELECT part, max(max(us)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS clock FROM d GROUP BY part),
+w AS (SELECT d.*, us // 600000000 * 600000000 AS begun, coalesce((us // 600000000 + 1) * 600000000 <= clock - 1800000000, false) AS late FROM d JOIN c USING (part))
+SELECT CASE WHEN late THEN 'late' ELSE 'on time' END AS outcome, begun AS window_us, count(*) AS calls, CAST(sum(tokens) AS BIGINT) AS tokens,
+       round(sum(cost), 6) AS cost_usd FROM w GROUP BY ALL""")
+def token_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens and cost per ten minutes of event time; every 97th call arrives half a month late."""
+    session, root = tail.stream_session(spark), scratch(spark, "t9")
+    calls = tables.events(spark, sf_dir).select(
+        "ts", (F.col("k") * 11).alias("tokens"), (F.col("k") / 1000).alias("cost_usd"),
+        F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + F.when(F.col("pos") % 97 == 0, _LATE).otherwise(0)).alias("arrived"))
+
+    def catch_up() -> None:
+        stream = tail.json_stream(session, f"{root}/in", "ts timestamp_ntz, tokens bigint, cost_usd double")
+        finish(rates.write_rates(stream.withColumn("ts", F.col("ts").cast("timestamp")), f"{root}/out"), f"{root}/checkpoint")
+
+    in_drops(calls, f"{root}/in", catch_up, "arrived")
+    punctual = rates.window_sums(versions.read_versions(spark, f"{root}/out/sums", None))
+    late = versions.read_versions(spark, f"{root}/out/late", None).withColumns({"calls": F.lit(1).cast("bigint")})
+    both = punctual.withColumn("outcome", F.lit("on time")).unionByName(rates.window_sums(late).withColumn("outcome", F.lit("late")))
+    return both.select("outcome", F.unix_micros("window_start").alias("window_us"), "calls", "tokens", r6("cost_usd").alias("cost_usd"))

@@ -357,6 +357,27 @@ def substring_pricing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calls.groupBy("model").agg(F.round(F.sum(cost), 4).alias("spend_usd"))
 
 
+@query("j3_rule_table", """
+WITH names AS (SELECT p_partkey AS id, upper(p_brand) || '/' || p_name || '.' || p_partkey AS model, p_size * 100 AS tokens FROM part),
+rules AS (SELECT p_partkey AS rank, p_partkey % 2 = 0 AS folded, p_partkey % 10 / 10.0 AS pin, 0.5 AS pout,
+                 p_name || CASE WHEN p_partkey % 2 = 0 THEN '-' ELSE '.' END || p_partkey // 10 AS key FROM part),
+met AS (SELECT id, arg_min(struct_pack(pin := pin, pout := pout), rank) AS price FROM names JOIN rules ON
+    contains(CASE WHEN folded THEN replace(replace(lower(model), '-', '_'), '.', '_') ELSE lower(model) END,
+             CASE WHEN folded THEN replace(replace(lower(key), '-', '_'), '.', '_') ELSE lower(key) END) GROUP BY id)
+SELECT id, model, round(coalesce(tokens / 1000.0 * price.pin + tokens / 1000.0 * price.pout, 0.0), 6) AS cost_usd FROM names LEFT JOIN met USING (id)""")
+def rule_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many price rules as parts; a part's name holds the keys of several."""
+    part, number = tables.table(spark, sf_dir, "part"), F.col("p_partkey").cast("string")
+    usage = part.select(F.col("p_partkey").alias("id"), F.concat(F.upper("p_brand"), F.lit("/"), "p_name", F.lit("."), number).alias("model"),
+                        (F.col("p_size") * 100).alias("tokens"))
+    folded = F.col("p_partkey") % 2 == 0
+    key = F.concat("p_name", F.when(folded, "-").otherwise("."), F.floor(F.col("p_partkey") / 10).cast("string"))
+    rules = part.select(F.col("p_partkey").alias("rank"), key.alias("key"), F.lit(1000).alias("unit_tokens"),
+                        (F.col("p_partkey") % 10 / 10).alias("input_price"), F.lit(0.5).alias("output_price"), folded.alias("folded"))
+    out = pricing.cost_by_rules(usage, rules, "model", "tokens", "tokens")
+    return out.select("id", "model", r6("cost_usd").alias("cost_usd"))
+
+
 @query("a6_usage_rollup", f"""
 WITH {o.calls()}
 SELECT provider, model, count(*) AS request_count, count(*) FILTER (WHERE success) AS successful_requests,

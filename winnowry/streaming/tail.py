@@ -13,6 +13,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from winnowry.functions import text
 from winnowry.operators import runs
+from winnowry.operators.joining import left_join_skewed
 from winnowry.sources import byte_tail
 from winnowry.sources.readers import CORRUPT, EVENT_SCHEMA
 
@@ -56,6 +57,20 @@ def prepared_events(stream: DataFrame, state: DataFrame | None = None) -> DataFr
     return runs.prepare_events(stream, state)
 
 
+def write_prepared(stream: DataFrame, path: str, state: DataFrame) -> DataStreamWriter:
+    """Prepared events as JSON Lines, a folder ``batch=<id>`` each; runs that fill a batch are enriched by broadcast.
+
+    A repeated batch replaces its own folder.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        prepared = runs.prepare_events(batch, state, left_join_skewed)
+        prepared.write.mode("overwrite").json(f"{path}/batch={batch_id}")
+        batch.unpersist()
+
+    return stream.writeStream.outputMode("append").foreachBatch(write)
+
+
 def start(writer: DataStreamWriter, checkpoint: str, interval: str | None = None) -> StreamingQuery:
     """Start a stream: every ``interval`` when given, else over what is there and then stop."""
     ready = writer.option("checkpointLocation", checkpoint)

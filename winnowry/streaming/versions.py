@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -81,8 +82,12 @@ def newest_rows(rows: DataFrame, keys: list[str] | None) -> DataFrame:
     return first_per_group(rows, keys, [F.col(BATCH).desc()]) if keys else rows
 
 
-def commit(batch: DataFrame, batch_id: int, path: str, keys: list[str] | None) -> None:
-    """Add the rows of a batch; a repeated batch builds on the same predecessor and replaces its first attempt."""
+def commit(batch: DataFrame, batch_id: int, path: str, keys: list[str] | None,
+           merge: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """Add the rows of a batch; a repeated batch builds on the same predecessor and replaces its first attempt.
+
+    ``merge`` makes one run of several, by default the newest row of every key; sums, say, add up.
+    """
     spark, folder = batch.sparkSession, Folder(batch.sparkSession, path)
     earlier = manifests(folder, batch_id)
     live = runs_of(folder, earlier[-1]) if earlier else []
@@ -95,7 +100,8 @@ def commit(batch: DataFrame, batch_id: int, path: str, keys: list[str] | None) -
     live.append(write(batch.withColumn(BATCH, F.lit(batch_id).cast("bigint")), 0))
     level = 0
     while len(full := [r for r in live if r["level"] == level]) >= FAN:
-        merged = write(newest_rows(rows_of(spark, path, full), keys), level + 1)
+        rows = rows_of(spark, path, full)
+        merged = write(merge(rows.drop(BATCH)).withColumn(BATCH, F.lit(batch_id).cast("bigint")) if merge else newest_rows(rows, keys), level + 1)
         live = [r for r in live if r["level"] != level] + [merged]
         level += 1
     folder.publish(f"manifests/{batch_id:012d}-{uuid.uuid4().hex[:8]}.json", json.dumps(live))
