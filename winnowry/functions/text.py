@@ -128,17 +128,34 @@ def strip_ansi(c: Column) -> Column:
     return F.regexp_replace(c, fv.ANSI_PATTERN, "")
 
 
-def redact_secrets(c: Column, patterns: tuple = fv.SECRET_PATTERNS) -> Column:
-    def replace(text: Column, rule: tuple) -> Column:
-        return F.regexp_replace(text, "(?iU)" + rule[0], rule[1])
+# What a text must contain, in lower case, for a rule to match: one of these.
+NEEDED = dict(zip((p for p, _ in fv.SECRET_PATTERNS), (
+    ("ghp_",), ("glpat-",), ("sk-",), ("bearer",), ("key",), ("akia",), ("private",), ("openssh",),
+    ("openai_api_key=", "github_token=", "gitlab_token=", "aws_secret="), ("token",)), strict=True))
+NEVER = "x{1000000000}"  # longer than any text, so that it is given up at once
+UNUSUAL = "[\u017f\u212a\u0130\u0131]"  # letters that patterns without case also take for s, k and i
+
+
+def may_match(folded: Column, pattern: str) -> Column:
+    """Whether a rule's fixed part occurs; true for rules that are not known."""
+    return reduce(lambda a, b: a | b, (F.contains(folded, F.lit(w)) for w in NEEDED[pattern])) if pattern in NEEDED else F.lit(True)
 
-    return reduce(replace, patterns, strip_ansi(c))
+
+def redact_secrets(c: Column, patterns: tuple = fv.SECRET_PATTERNS) -> Column:
+    """Every rule in order; one whose fixed part is absent, while no earlier rule may have changed the text, costs no search."""
+    out = strip_ansi(c)
+    folded, due = F.lower(out), out.rlike(UNUSUAL)
+    for pattern, name in patterns:
+        due = due | may_match(folded, pattern)
+        out = F.regexp_replace(out, F.when(due, F.lit("(?iU)" + pattern)).otherwise(F.lit(NEVER)), F.lit(name))
+    return out
 
 
 def secret_hits(c: Column, patterns: tuple = fv.SECRET_PATTERNS) -> Column:
     """Placeholders of the rules whose pattern occurs in the text, in rule order."""
     clean = strip_ansi(c)
-    flags = [F.when(clean.rlike("(?iU)" + p), F.lit(name)) for p, name in patterns]
+    folded, unusual = F.lower(clean), clean.rlike(UNUSUAL)
+    flags = [F.when((unusual | may_match(folded, p)) & clean.rlike("(?iU)" + p), F.lit(name)) for p, name in patterns]
     return F.array_compact(F.array(*flags))
 
 
