@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyarrow import fs
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
@@ -231,8 +232,13 @@ class ByteTail(DataSource):
         return GrowingFiles(dict(self.options))
 
 
-def register(spark: SparkSession) -> None:
-    spark.dataSource.register(ByteTail)
+def register(spark: SparkSession, source: type[DataSource] = ByteTail) -> None:
+    """Make a source known by its name; a session that inherited it already knows it."""
+    try:
+        spark.dataSource.register(source)
+    except AnalysisException as e:
+        if e.getCondition() != "DATA_SOURCE_ALREADY_EXISTS":
+            raise
 
 
 def growing_lines(spark: SparkSession, path: str, suffix: str = "", partition_bytes: int = 32 << 20) -> DataFrame:

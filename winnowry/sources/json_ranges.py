@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from winnowry.functions import json_text
-from winnowry.sources.byte_tail import listed, opened
+from winnowry.sources.byte_tail import listed, opened, register
 
 OUTSIDE, INSIDE, ESCAPED = 0, 1, 2
 QUOTE, BACKSLASH, COMMA = ord('"'), ord("\\"), ord(",")
@@ -195,7 +195,7 @@ def array_elements(spark: SparkSession, path: str, suffix: str = "", range_bytes
     null value, beside what looked like elements.  Elements are cut out, not parsed.  The driver receives
     three short effects a range, and hands every range its start.
     """
-    spark.dataSource.register(JsonRanges)
+    register(spark, JsonRanges)
     reader = lambda: spark.read.format("json_ranges").option("suffix", suffix).option("rangeBytes", range_bytes)
     starts: dict[str, list[list[int]]] = {}
     state, depth, begun = OUTSIDE, 0, False
