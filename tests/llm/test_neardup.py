@@ -70,8 +70,37 @@ def test_odd_documents(odd_docs):
     assert by_id[3]["kept"] and by_id[4]["kept"] and by_id[6]["n_shingles"] == 1
     assert by_id[None]["component_id"] is None and by_id[None]["kept"]
     stayed = neardup.without_near_duplicates(odd_docs)
-    assert stayed.columns == odd_docs.columns and stayed.count() == 10
+    assert stayed.columns == odd_docs.columns and stayed.count() == 9  # of the repeated row, one stays
     assert neardup.near_duplicates(odd_docs.limit(0)).count() == 0
+    assert neardup.without_near_duplicates(odd_docs.limit(0)).count() == 0
+
+
+def test_repeated_ids_are_judged_text_by_text(make_docs):
+    rng = random.Random(11)
+    a, b, c = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(150)) for _ in range(3))
+    near = a.rsplit(" ", 1)[0] + " end"
+    rows = [(1, a), (1, near), (1, a), (2, near), (2, b), (3, c), (3, c), (3, c), (4, b), (None, c), (None, c), (5, ""), (5, "")]
+    stayed = [(r["doc_id"], r["text"]) for r in neardup.without_near_duplicates(make_docs(rows)).collect()]
+    ones = [r for r in stayed if r[0] == 1]
+    assert len(ones) == 1 and ones[0][1] in (a, near)  # texts that are near, whatever the order of their hashes
+    assert sorted((r for r in stayed if r[0] and r[0] > 1), key=str) == sorted([(2, b), (3, c), (5, ""), (5, "")], key=str)
+    assert stayed.count((None, c)) == 2
+
+
+def test_blocks_of_long_texts(spark, monkeypatch):
+    """Blocks cut by shingles find the same components; the hubs alone leave some of these links open."""
+    monkeypatch.setattr(neardup, "CROSS_HASHES", 3000)
+    compared, plain = [], neardup.cross_links
+    monkeypatch.setattr(neardup, "cross_links", lambda *args: compared.append(1) or plain(*args))
+    rng = random.Random(4)
+    words, rows = [f"w{rng.randrange(10**6)}" for _ in range(700)], []
+    for i in range(120):
+        copy = list(words)
+        for at in rng.sample(range(700), rng.randint(0, 30)):
+            copy[at] = f"e{i}x{at}"
+        rows.append((i, " ".join(copy)))
+    assert found(spark.createDataFrame(rows, "doc_id bigint, text string"), 3, 85, 100) == by_hand(rows, 3, 85, 100)
+    assert compared
 
 
 def test_components_of_a_chain_and_a_star(spark):

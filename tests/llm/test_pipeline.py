@@ -2,6 +2,7 @@
 
 import random
 from collections import defaultdict
+from pathlib import Path
 
 import oracle_check as oc
 import pytest
@@ -10,6 +11,7 @@ import test_neardup as near
 
 import __spark_entry__ as entry
 import corpus_pipeline
+from winnowry import session
 
 
 @pytest.fixture(scope="module")
@@ -62,10 +64,20 @@ def test_stages_act_and_keep_columns(spark, folder):
     assert max(fill.values()) <= 4096 and len(fill) <= -(-sum(fill.values()) // 4096) + 1
 
 
-def test_run_matches_its_stages(spark, sf_dir):
+def test_run_matches_its_stages_and_tidies_up(spark, sf_dir):
     assert corpus_pipeline.ORACLE_SQL is None
     assert [name for name, _ in corpus_pipeline.STAGES][0] == "language_id"
-    assert corpus_pipeline.run(spark, sf_dir).count() > 0
+    root = Path(session.shared_dir(spark).removeprefix("file:"), "winnowry")
+    before = set(root.iterdir()) if root.exists() else set()
+    rows = corpus_pipeline.run(spark, sf_dir)
+    # Chained without writing in between: no stage may remove what its predecessor's rows still read.
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    left = set(root.iterdir()) - before
+    assert [p.name.rsplit("-", 1)[0] for p in left] == ["stage-best_fit_packing"]
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, sf_dir)
+    by_piece = lambda df: sorted((r["doc_id"], r["piece"], r["length"], r["ids_crc32"]) for r in df.collect())
+    assert rows.count() > 0 and by_piece(rows) == by_piece(docs)
 
 
 @pytest.mark.parametrize("name", sorted(entry.LLM_SQL))

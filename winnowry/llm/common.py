@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,34 +18,48 @@ PART_BITS = 33  # of the numbers that monotonically_increasing_id gives within a
 SPACE = re.compile(rb"[ \t-\r]")
 
 
-_NOTES: list[list[str]] = []
+_NOTES: ContextVar[tuple[list[str], ...]] = ContextVar("notes", default=())  # one per thread, so runs side by side stay apart
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows written to the shared folder and read back; inside ``noted`` the path is noted."""
-    out = session.stored(df, label)
-    for note in _NOTES:
-        note.extend(out.inputFiles()[:1])
-    return out
+    path = session.scratch(df.sparkSession, label)
+    for note in _NOTES.get():
+        note.append(path)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
-def noted(paths: list[str]) -> Iterator[None]:
-    """Collects a file of every table that ``stored`` writes meanwhile."""
-    _NOTES.append(paths)
+def noted() -> Iterator[list[str]]:
+    """The paths of the tables that ``stored`` writes meanwhile."""
+    paths: list[str] = []
+    before = _NOTES.set((*_NOTES.get(), paths))
     try:
-        yield
+        yield paths
     finally:
-        _NOTES.remove(paths)
+        _NOTES.reset(before)
 
 
-def remove(spark: SparkSession, files: list[str]) -> None:
-    """Delete the tables that these files belong to."""
-    for file in files:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete these tables; those already gone are passed over."""
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def settled(make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """What ``make`` finds, stored; the tables it wrote on the way are removed.
+
+    For results much smaller than those tables, such as the decisions of a filter.
+    """
+    with noted() as paths:
+        made = make()
+    out = stored(made, label)
+    remove(out.sparkSession, paths)
+    return out
+
+
 def word_pieces(text: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
     """The words between ASCII white space, in lists of about ``size`` bytes of text."""
     begin = 0

@@ -23,11 +23,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from winnowry.llm.common import stored
+from winnowry.llm.common import settled, stored
 from winnowry.llm.components import components
 
 SKETCH = 48
-CROSS_ROWS, CROSS_COLUMNS = 256, 1024  # texts of a block pair compared in one task
+CROSS_ROWS, CROSS_COLUMNS = 256, 1024  # texts of a block pair compared in one task, on average at most
+CROSS_HASHES = 1 << 21  # shingles of either side of such a pair, on average at most: long texts make blocks of few
 SLACK = 5.2  # standard errors of the overlap of two sketches that may be lacking: fewer than 1 link in a million
 
 
@@ -49,19 +50,20 @@ def shingles(text: str | None, n: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, n: int, k: int) -> DataFrame:
-    """doc_id, n_shingles, digest of the whole set, sketch (smallest k hashes, as signed longs); stored."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("sketch", pa.list_(pa.int64()))])
+    """doc_id, text_hash, n_shingles, digest of the whole set, sketch (smallest k hashes, as signed longs); stored."""
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()),
+                        ("sketch", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingles(t.as_py(), n) for t in batch["text"]]
             yield pa.RecordBatch.from_arrays([
-                batch["doc_id"], pa.array([len(s) for s in sets], pa.int64()),
+                batch["doc_id"], batch["text_hash"], pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                 pa.array([s[:k].view(np.int64) for s in sets], pa.list_(pa.int64()))], schema=schema)
 
-    return stored(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id bigint, n_shingles bigint, digest binary, sketch array<bigint>"), "near-sketches")
+    return stored(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
+        run, "doc_id bigint, text_hash bigint, n_shingles bigint, digest binary, sketch array<bigint>"), "near-sketches")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -143,21 +145,24 @@ def partner_bounds(opened: DataFrame, nodes: DataFrame, sets: DataFrame, num: in
 
 
 def cross_links(opened: DataFrame, hubs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """All links (a, b) between different components that share an open list, by the full sets.
+    """Links (a, b) between different components that share an open list, by the full sets: whatever links two, one link of them or more.
 
     ``hubs`` are pairs that tie the members of every open list together; what they tie is a cluster, and
     one of each pair is outside the cluster's largest component.  Blocks of such members meet blocks of
-    all members in tasks of bounded size, which return the links alone.  Sets that can link with none,
+    all members in tasks of bounded size, which return one link of any two components.  Sets that can link with none,
     by their size and the shingles they share with anyone, stay out.
     """
     each = opened.select("key", "root", "n", "most").distinct().filter(F.col("most") * den >= F.col("n") * num)
     tied = components(hubs).select(F.col("node").alias("key"), F.col("root").alias("cluster"))
     each = stored(each.join(tied, "key"), "near-clustered")
-    parts = each.groupBy("cluster", "root").agg(F.count("*").alias("m"))
-    sizes = parts.groupBy("cluster").agg(F.max(F.struct("m", "root")).alias("main"), F.sum("m").alias("all"), F.count("*").alias("parts"))
-    sizes = sizes.filter("parts > 1").select("cluster", F.col("main.root").alias("main"), (F.col("all") - F.col("main.m")).alias("others"), "all")
-    named = each.join(sizes, "cluster").withColumns({
-        "outside": F.col("root") != F.col("main"), "rows": F.ceil(F.col("others") / CROSS_ROWS), "columns": F.ceil(F.col("all") / CROSS_COLUMNS)})
+    parts = each.groupBy("cluster", "root").agg(F.count("*").alias("m"), F.sum("n").alias("hashes"))
+    sizes = parts.groupBy("cluster").agg(F.max(F.struct("m", "root", "hashes")).alias("main"), F.sum("m").alias("all"),
+                                         F.sum("hashes").alias("hashes"), F.count("*").alias("parts"))
+    blocks = lambda texts, hashes, most: F.ceil(F.greatest(texts / most, hashes / CROSS_HASHES))
+    sizes = sizes.filter("parts > 1").select(
+        "cluster", F.col("main.root").alias("main"), blocks(F.col("all"), F.col("hashes"), CROSS_COLUMNS).alias("columns"),
+        blocks(F.col("all") - F.col("main.m"), F.col("hashes") - F.col("main.hashes"), CROSS_ROWS).alias("rows"))
+    named = each.join(sizes, "cluster").withColumn("outside", F.col("root") != F.col("main"))
     block = lambda n, salt: F.pmod(F.xxhash64("key", F.lit(salt)), F.col(n))
     span = lambda n: F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)
     kept = ("key", "root", "cluster")
@@ -167,7 +172,7 @@ def cross_links(opened: DataFrame, hubs: DataFrame, sets: DataFrame, num: int, d
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         us, vs = group[group["outside"]], group[~group["outside"]]
-        out = []
+        out, told = [], set()
         if len(us) and len(vs):
             flat = np.concatenate(vs["hashes"].to_numpy())
             lengths = vs["hashes"].map(len).to_numpy()
@@ -180,8 +185,11 @@ def cross_links(opened: DataFrame, hubs: DataFrame, sets: DataFrame, num: int, d
                 mark = np.zeros(len(known), dtype=np.int64)
                 mark[at] = 1
                 both = np.add.reduceat(mark[codes], starts)
-                good = (both * den >= (len(hashes) + lengths - both) * num) & (roots != root)
-                out += [(key, other) for other in keys[good]]
+                good = np.flatnonzero((both * den >= (len(hashes) + lengths - both) * num) & (roots != root))
+                for at in good[np.unique(roots[good], return_index=True)[1]]:
+                    if (root, roots[at]) not in told:
+                        told.add((root, roots[at]))
+                        out.append((key, keys[at]))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return met.select("key", "root", "outside", "hashes", "cluster", "i", "j").groupBy("cluster", "i", "j").applyInPandas(
@@ -204,14 +212,8 @@ def verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, k: int, num: i
     return both.filter(F.col("i") * den >= (F.col("na") + F.col("nb") - F.col("i")) * num).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, k: int = SKETCH) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text).
-
-    Two texts are linked if their sets of n-word shingles have a Jaccard similarity of num / den or more;
-    component_id is the smallest doc_id that links reach, kept marks it.  Null and empty texts have no
-    shingles and no links.  Rows without a doc_id take no part: their component_id is null and they are
-    kept.  Rows that repeat a doc_id are one document.
-    """
+def classes(docs: DataFrame, n: int, num: int, den: int, k: int) -> DataFrame:
+    """doc_id, text_hash, n_shingles, root, component_id for every row; root tells components apart and is null for rows that take no part."""
     made = sketches(docs, n, k)
     nodes = stored(made.filter("doc_id is not null and n_shingles > 0").groupBy("digest").agg(
         F.min("doc_id").alias("doc_id"), F.any_value("n_shingles").alias("n"), F.any_value("sketch").alias("sketch")).withColumn(
@@ -233,14 +235,48 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     named = nodes.select("digest", "doc_id", "key").join(roots, F.col("key") == F.col("node"), "left").select(
         "digest", "doc_id", F.coalesce("root", "key").alias("root"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    classes = named.join(least, "root").select("digest", "component_id")
-    joined = made.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
-    own = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
-    return joined.select("doc_id", "n_shingles", own.alias("component_id")).withColumn(
+    found = named.join(least, "root").select("digest", "root", "component_id")
+    joined = made.select("doc_id", "text_hash", "n_shingles", "digest").join(found, "digest", "left")
+    takes_part = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    return joined.select("doc_id", "text_hash", "n_shingles", F.when(takes_part, F.col("root")).alias("root"),
+                         F.when(takes_part, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, k: int = SKETCH) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text).
+
+    Two texts are linked if their sets of n-word shingles have a Jaccard similarity of num / den or more;
+    component_id is the smallest doc_id that links reach, kept marks it.  Null and empty texts have no
+    shingles and no links.  Rows without a doc_id take no part: their component_id is null and they are
+    kept.  Rows that repeat a doc_id are judged text by text; all that have the smallest id are marked kept.
+    """
+    return classes(docs, n, num, den, k).select("doc_id", "n_shingles", "component_id").withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def leaving(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """_doc_id, _text_hash, _every: whether all rows of that id and text leave, or all but one."""
+    found = classes(docs, n, num, den, SKETCH).filter("root is not null").groupBy("doc_id", "text_hash", "root", "component_id").agg(
+        F.count("*").alias("rows"))
+    heads = found.filter("doc_id = component_id")
+    first = heads.groupBy("root").agg(F.min("text_hash").alias("first"), F.sum("rows").alias("of")).filter("of > 1").drop("of")
+    repeated = heads.join(first, "root").withColumn("_every", F.col("text_hash") != F.col("first")).filter("_every or rows > 1")
+    both = found.filter("doc_id <> component_id").select("doc_id", "text_hash", F.lit(True).alias("_every")).unionByName(
+        repeated.select("doc_id", "text_hash", "_every"))
+    return both.toDF("_doc_id", "_text_hash", "_every")
+
+
 def without_near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the document with the smallest id, with all columns."""
-    gone = near_duplicates(docs, n, num, den).filter("not kept").select(F.col("doc_id").alias("_doc_id")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("bigint") == F.col("_doc_id"), "left_anti")
+    """The rows of ``docs`` that stay, with all columns: of each component one row, which has its smallest id.
+
+    Where an id repeats, texts are judged one by one: a duplicate takes no other text of its id along, of several
+    near texts of the smallest id one stays, and of rows with equal id and text one.  Rows without id or words stay.
+    """
+    gone = settled(lambda: leaving(docs, n, num, den), "near-leaving")
+    same = (F.col("doc_id").cast("bigint") == F.col("_doc_id")) & (F.xxhash64("text") == F.col("_text_hash"))
+    stay = docs.join(gone.filter("_every"), same, "left_anti")
+    copies = gone.filter("not _every")
+    if copies.isEmpty():
+        return stay
+    one = stay.join(copies, same).dropDuplicates(["_doc_id", "_text_hash"]).select(*docs.columns)
+    return stay.join(copies, same, "left_anti").unionByName(one)

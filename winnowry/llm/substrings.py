@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from winnowry.llm.common import stored
+from winnowry.llm.common import settled, stored
 
 WINDOW = 12  # units in a row of which one ends a chunk
 DIGEST_UNITS = 4  # that a digest covers at least: that of a shorter chunk reaches back
@@ -173,8 +173,8 @@ def without_passages(docs: DataFrame, passage_words: int = PASSAGE_WORDS) -> Dat
 
     A document of which no word is left goes; all others stay, also those without id or text.
     """
-    spans = repeated_passages(docs, passage_words).groupBy("doc_id", "text_hash").agg(
-        F.array_sort(F.collect_list(F.struct("start", "length"))).alias("_cut")).toDF("_doc_id", "_text_hash", "_cut")
+    spans = settled(lambda: repeated_passages(docs, passage_words).groupBy("doc_id", "text_hash").agg(
+        F.array_sort(F.collect_list(F.struct("start", "length"))).alias("_cut")).toDF("_doc_id", "_text_hash", "_cut"), "cuts")
     same = (F.col("doc_id").cast("bigint") == F.col("_doc_id")) & (F.xxhash64("text") == F.col("_text_hash"))
     joined = docs.join(spans, same, "left")
     gone = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get("_cut", i - 1)["start"] + F.get("_cut", i - 1)["length"])
