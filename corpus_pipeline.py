@@ -1,8 +1,8 @@
 """From raw documents to packed training sequences, stage by stage.
 
 Every stage works on what its predecessor kept.  Between stages the rows are Parquet in the shared
-folder, so a lost executor costs the running stage's tasks only.  The tables a stage wrote for itself
-are removed when a later stage begins, as that reads the written rows alone.
+folder, so a lost executor costs the running stage's tasks only.  Filters keep only their decisions on
+disk; ``run`` also removes what a stage wrote for itself, and its input, once its rows are written.
 """
 
 from __future__ import annotations
@@ -43,20 +43,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER))
 
 
-LEFT: list[str] = []
-
-
-def tidied(stage):
-    """The stage, after the removal of what earlier stages wrote for themselves."""
-    def call(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        common.remove(spark, LEFT)
-        LEFT.clear()
-        with common.noted(LEFT):
-            return stage(spark, docs, sf_dir)
-    return call
-
-
-STAGES = [(f.__name__, tidied(f)) for f in (
+STAGES = [(f.__name__, f) for f in (
     language_id, near_dedup, substring_dedup, benchmark_decontamination, best_fit_packing)]
 
 #: SQL cannot express tokenizers or learned filters; the stages are tested against plain Python instead.
@@ -64,14 +51,21 @@ ORACLE_SQL = None
 
 
 def written(docs: DataFrame, name: str) -> DataFrame:
+    return docs.sparkSession.read.parquet(write(docs, name))
+
+
+def write(docs: DataFrame, name: str) -> str:
     path = scratch(docs.sparkSession, f"stage-{name}")
     docs.write.parquet(path)
-    return docs.sparkSession.read.parquet(path)
+    return path
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table; the rows of the last."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        with common.noted() as own:
+            path = write(stage(spark, docs, sf_dir), name)
+        common.remove(spark, own + before)
+        docs, before = spark.read.parquet(path), [path]
     return docs
