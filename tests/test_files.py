@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from winnowry import session
+from winnowry.config import ScanRules
 from winnowry.functions import json_text
 from winnowry.sources import byte_tail, json_ranges, readers, writers
 from winnowry.streaming import state, tail, versions
@@ -24,8 +25,25 @@ def test_source_tree(spark, tmp_path):
         (root / name).write_bytes(data)
     listed = {r.path: r.length for r in readers.list_source_files(spark, str(root)).collect()}
     assert listed == {f"{root}/src/a.py": 5, f"{root}/src/b.PY": 7, f"{root}/src/e.c": 3}
-    read = {r.path: r.text for r in readers.read_source_files(spark, str(root)).collect()}
-    assert read == {f"{root}/src/a.py": "x = 1", f"{root}/src/b.PY": "caf ok"}
+    files = readers.read_source_files(spark, str(root))
+    assert {r.path: r.text for r in files.collect()} == {f"{root}/src/a.py": "x = 1", f"{root}/src/b.PY": "caf ok"}
+    assert scanned(files) == 3  # the content below ignored folders is never read
+
+
+def test_source_tree_with_encoded_names(spark, tmp_path):
+    """Roots and folders that a URL spells otherwise are told by their plain paths."""
+    root = tmp_path / "a tree" / "build"
+    for name in ("src/a.py", "my dir/b.py", "skip me/c.py", "build/d.py"):
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_text("x")
+    rules = ScanRules(extensions=(".py",), ignored_directories=("build", "skip me"))
+    read = {r.path for r in readers.read_source_files(spark, str(root), rules).collect()}
+    assert read == {f"{root}/src/a.py", f"{root}/my dir/b.py"}
+
+
+def scanned(df):
+    """Files read by the one scan of a query that has run."""
+    return df._jdf.queryExecution().executedPlan().collectLeaves().head().metrics().apply("numFiles").value()
 
 
 def test_jsonl_skips_bad_lines(spark, tmp_path):

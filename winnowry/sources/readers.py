@@ -81,7 +81,8 @@ def read_keyed_json(spark: SparkSession, path: str, schema: str, key_pattern: st
 def _wanted_files(spark: SparkSession, root: str, rules: ScanRules) -> DataFrame:
     """Binary-file scan below ``root`` with ``path`` rewritten to start with ``root`` as given.
 
-    Files of other suffixes are left out when files are listed, so their content is never read.
+    Files of other suffixes are left out when files are listed, and files below ignored folders by their
+    listed paths, so their content is never read.
     """
     base = root.rstrip("/") + "/"
     either = lambda c: f"[{c.lower()}{c.upper()}]" if c.isascii() and c.isalpha() else c
@@ -90,7 +91,11 @@ def _wanted_files(spark: SparkSession, root: str, rules: ScanRules) -> DataFrame
     files = reader.option("pathGlobFilter", f"*{{{suffixes}}}").load(root)
     below = F.regexp_replace("path", rf"^.*?\Q{base}\E", "")
     named = files.withColumn("path", F.concat(F.lit(base), below))
-    return named.filter(
+    # Listed paths are URL-encoded; only names and roots that encoding leaves as they are can be told there already.
+    plain = tuple(d for d in rules.ignored_directories if "%" not in d + base)
+    listed = F.col("_metadata.file_path")
+    outside = languages.outside_ignored(F.regexp_replace(listed, rf"^.*?\Q{base}\E", base), F.lit(base), plain) if plain else F.lit(True)
+    return named.filter(~F.contains(listed, F.lit(base)) | outside).filter(
         languages.extension_in(F.col("path"), rules.extensions)
         & languages.outside_ignored(F.col("path"), F.lit(base), rules.ignored_directories)
     )
