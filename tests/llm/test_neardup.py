@@ -4,7 +4,7 @@ import re
 import pytest
 
 from winnowry.llm import neardup
-from winnowry.llm.components import components
+from winnowry.llm.components import components, merged
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -107,3 +107,35 @@ def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(50)] + [(100, i) for i in range(101, 160)] + [(200, 200)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
     assert got == {i: 0 for i in range(51)} | {i: 100 for i in range(100, 160)}
+
+
+def plain_roots(links):
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    return {x: find(x) for x in list(root)}
+
+
+def test_components_of_random_links_and_of_more_links_later(spark):
+    """Equal links, links both ways, two hubs over the same nodes; later links join old components, new nodes, or nothing."""
+    rng = random.Random(5)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(140)]
+    links += links[:20] + [(b, a) for a, b in links[20:40]] + [(500 + i, 400 + i % 2) for i in range(60)] + [(500 + i, 401) for i in range(60)]
+    links = [(a, b) for a, b in links if a != b]
+    frame = lambda rows: spark.createDataFrame(rows, "a bigint, b bigint")
+    read = lambda df: sorted(tuple(r) for r in df.select("node", "root").collect())
+    first = components(frame(links))
+    assert read(first) == sorted(plain_roots(links).items())
+    later = [(rng.randrange(350), rng.randrange(350)) for _ in range(40)]
+    later = [(a, b) for a, b in later if a != b] + [(900, 901), (2, 900)]
+    assert read(merged(first, frame(later))) == sorted(plain_roots(links + later).items())
+    for settled in ([], links[:5]):
+        assert read(merged(first, frame(settled))) == read(first)
+    assert read(components(frame([]))) == []

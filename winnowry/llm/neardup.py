@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from winnowry.llm.common import settled, stored
-from winnowry.llm.components import components
+from winnowry.llm.components import components, merged
 
 SKETCH = 48
 CROSS_ROWS, CROSS_COLUMNS = 256, 1024  # texts of a block pair compared in one task, on average at most
@@ -144,16 +144,19 @@ def partner_bounds(opened: DataFrame, nodes: DataFrame, sets: DataFrame, num: in
         "key", "n", F.floor((s * den - (F.col("n") - s) * num) / num).alias("most"))
 
 
-def cross_links(opened: DataFrame, hubs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def cross_links(opened: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Links (a, b) between different components that share an open list, by the full sets: whatever links two, one link of them or more.
 
-    ``hubs`` are pairs that tie the members of every open list together; what they tie is a cluster, and
-    one of each pair is outside the cluster's largest component.  Blocks of such members meet blocks of
-    all members in tasks of bounded size, which return one link of any two components.  Sets that can link with none,
-    by their size and the shingles they share with anyone, stay out.
+    Sets that can link with none, by their size and the shingles they share with anyone, stay out.  What
+    lists of several components tie together is a cluster, and one of each pair is outside the cluster's
+    largest component.  Blocks of such members meet blocks of all members in tasks of bounded size, which
+    return one link of any two components.
     """
-    each = opened.select("key", "root", "n", "most").distinct().filter(F.col("most") * den >= F.col("n") * num)
-    tied = components(hubs).select(F.col("node").alias("key"), F.col("root").alias("cluster"))
+    able = stored(opened.filter(F.col("most") * den >= F.col("n") * num).select("value", "key", "root", "n"), "near-able")
+    several = able.groupBy("value").agg(F.min("key").alias("first"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
+    tied = components(able.join(several, "value").select(F.col("key").alias("a"), F.col("first").alias("b"))).select(
+        F.col("node").alias("key"), F.col("root").alias("cluster"))
+    each = able.select("key", "root", "n").distinct()
     each = stored(each.join(tied, "key"), "near-clustered")
     parts = each.groupBy("cluster", "root").agg(F.count("*").alias("m"), F.sum("n").alias("hashes"))
     sizes = parts.groupBy("cluster").agg(F.max(F.struct("m", "root", "hashes")).alias("main"), F.sum("m").alias("all"),
@@ -224,14 +227,12 @@ def classes(docs: DataFrame, n: int, num: int, den: int, k: int) -> DataFrame:
     # First hubs share most of their sketch, second ones have the fewest shingles of their own; then all the rest.
     pairs = stored(hub_pairs(lists, F.col("shared"), 0), "near-pairs")
     roots = stored(components(verified(pairs, nodes, sets, k, num, den)), "near-roots")
-    rooted = lambda found: stored(components(found.unionByName(
-        roots.select(F.col("node").alias("a"), F.col("root").alias("b")))), "near-roots")
     opened = open_lists(lists, roots)
     if not opened.isEmpty():
         bounds = stored(partner_bounds(opened, nodes, sets, num, den), "near-bounds")
         hubs = stored(hub_pairs(opened.join(bounds, "key"), F.col("most") / F.col("n"), 1), "near-hubs")
-        roots = rooted(verified(hubs, nodes, sets, k, num, den))
-        roots = rooted(cross_links(open_lists(lists, roots).join(bounds, "key"), hubs, sets, num, den))
+        roots = merged(roots, verified(hubs, nodes, sets, k, num, den))
+        roots = merged(roots, cross_links(open_lists(lists, roots).join(bounds, "key"), sets, num, den))
     named = nodes.select("digest", "doc_id", "key").join(roots, F.col("key") == F.col("node"), "left").select(
         "digest", "doc_id", F.coalesce("root", "key").alias("root"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
