@@ -60,12 +60,12 @@ def top_n_by_threshold(df: DataFrame, key: str, score: str, order: list[str], n:
     grid = F.kll_sketch_get_quantile_double("_sketch", F.array(*[F.lit(i / 100) for i in range(101)]))
     bounds = sized.select(F.col(key).alias("_key"), "_all", F.when(
         F.kll_sketch_get_n_double("_sketch") > 0, F.get(grid, F.floor(place * 100).cast("int"))).alias("_bound"))
-    bounds = stored(bounds, "ranking-bounds")
+    bounds = stored(bounds, "ranking-bounds")  # sketches draw at random; every use below sees one draw
     same = F.col(key).eqNullSafe(F.col("_key"))
     above = narrow.join(bounds, same).filter("_score >= _bound").groupBy("_key").agg(F.count("*").alias("_above"))
     short = bounds.join(above.withColumnRenamed("_key", "_k"), F.col("_key").eqNullSafe(F.col("_k")), "left").select(
         "_key", F.when(F.coalesce("_above", F.lit(0)) >= F.least("_all", F.lit(n)), F.col("_bound")).alias("_bound"))
-    open_rows = narrow.join(stored(short, "ranking-bounds"), same).filter("_bound is null or _score >= _bound").drop("_key", "_bound")
+    open_rows = narrow.join(short, same).filter("_bound is null or _score >= _bound").drop("_key", "_bound")
     winners = stored(top_n_per_group(open_rows, [key], [F.col("_score").desc(), *[F.col(c) for c in order], F.col(ROW)], n).select(ROW), "ranking-winners")
     return rows.join(winners, ROW, "left_semi").drop(ROW)
 
