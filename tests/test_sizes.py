@@ -1,0 +1,39 @@
+"""What keeps disk, memory, time and the driver's share of a query small on large tables."""
+
+import json
+import os
+import random
+
+from winnowry.sources import readers, writers
+
+
+def bytes_below(path):
+    return sum(os.path.getsize(os.path.join(d, n)) for d, _, names in os.walk(path) for n in names)
+
+
+def planned(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_samples_are_packed(spark, tmp_path):
+    """Nine samples repeat a text; on disk they take little more than one."""
+    rng = random.Random(1)
+    rows = [(f"{i}-{k}", body) for i in range(40) for body in ["".join(rng.choices("abcdef \n\"é", k=3000))] for k in range(9)]
+    df = spark.createDataFrame(rows, "sample_key string, context string").coalesce(1)
+    writers.append_samples(df, str(tmp_path / "raw"))
+    writers.append_samples(df.limit(9), str(tmp_path / "raw"))
+    assert bytes_below(tmp_path / "raw") < sum(len(c) for _, c in rows) / 8
+    back = readers.read_jsonl(spark, str(tmp_path / "raw"), "sample_key string, context string").select("sample_key", "context")
+    assert sorted(map(tuple, back.collect())) == sorted(rows + rows[:9])
+
+
+def test_parsed_lines_do_not_pass_through_python(spark, tmp_path):
+    """Refused lines are decoded apart; the order of all lines of a file stays."""
+    lines = ['{"response": "r0"}', '{"response": "x", "response": "r1"}', "[1]", "", '{"response": ', '{"response": "r2", "quality_score": NaN}', '{"response": "r3"}']
+    (tmp_path / "a.jsonl").write_text("\n".join(lines) + "\n")
+    (tmp_path / "b.jsonl").write_text("\n".join(json.dumps({"response": f"s{i}"}) for i in range(3)))
+    df = readers.read_jsonl(spark, str(tmp_path), "response string, quality_score double")
+    rows = df.orderBy("file_path", "pos").select("response").collect()
+    assert [r.response for r in rows] == ["r0", "r1", "r2", "r3", "s0", "s1", "s2"]
+    parsed, refused = planned(df).split("\n+- ")[0], planned(df).split("\n+- ")[1]
+    assert parsed.startswith("Union") and "EvalPython" not in parsed and refused.count("ArrowEvalPython") == 1

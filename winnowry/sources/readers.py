@@ -35,25 +35,30 @@ def read_jsonl(spark: SparkSession, path: str, schema: str = SAMPLE_SCHEMA) -> D
     """JSON Lines with blank and broken lines and lines that are no object skipped, plus (file_path, pos).
 
     Every decodable object stays, also with repeated keys (the last counts), NaN or Infinity: what the
-    native parser refuses is decoded a second time.  A text field that holds no string is null, so that
-    the format rule rejects the row; other fields are cast, or null where that fails.
+    native parser refuses is decoded a second time, in a pass of its own: no other row waits for Python.
+    A text field that holds no string is null, so that the format rule rejects the row; other fields are
+    cast, or null where that fails.
     """
     fields = T.StructType.fromDDL(schema)
 
-    def field(f: T.StructField) -> Column:
+    def parsed(f: T.StructField) -> Column:
         value = F.try_variant_get("_v", f"$.{f.name}", f.dataType.simpleString())
-        second = F.col("_d")[f.name]
         if isinstance(f.dataType, T.StringType):
             value = F.when(F.schema_of_variant(F.try_variant_get("_v", f"$.{f.name}", "variant")) == "STRING", value)
-        else:
-            second = second.try_cast(f.dataType) if isinstance(f.dataType, T.AtomicType) else F.from_json(second, f.dataType)
-        return F.coalesce(value, second).alias(f.name)
+        return value.alias(f.name)
+
+    def decoded(f: T.StructField) -> Column:
+        value = F.col("_d")[f.name]
+        if not isinstance(f.dataType, T.StringType):
+            value = value.try_cast(f.dataType) if isinstance(f.dataType, T.AtomicType) else F.from_json(value, f.dataType)
+        return value.alias(f.name)
 
     rows = spark.read.text(path).select("value", F.try_parse_json("value").alias("_v"), *line_position())
-    refused = F.col("_v").isNull() & F.startswith(F.ltrim("value"), F.lit("{"))
-    rows = rows.withColumn("_d", json_text.object_fields(F.when(refused, F.col("value")), fields))
-    objects = rows.filter(F.schema_of_variant("_v").startswith("OBJECT") | F.col("_d").isNotNull())
-    return objects.select(*[field(f) for f in fields], "file_path", "pos")
+    objects = rows.filter(F.schema_of_variant("_v").startswith("OBJECT")).select(*map(parsed, fields), "file_path", "pos")
+    refused = rows.filter(F.col("_v").isNull() & F.startswith(F.ltrim("value"), F.lit("{")))
+    found = F.array_compact(F.array(json_text.object_fields(F.col("value"), fields)))
+    second = refused.select(F.explode(found).alias("_d"), "file_path", "pos")
+    return objects.unionByName(second.select(*map(decoded, fields), "file_path", "pos"))
 
 
 def json_array_counts(spark: SparkSession, path: str, range_bytes: int = 32 << 20) -> DataFrame:

@@ -11,10 +11,16 @@ from pyspark.sql import functions as F
 
 from winnowry.sources.byte_tail import opened
 
+ROWS_PER_FILE = 100_000
+
 
 def append_samples(df: DataFrame, path: str) -> None:
-    """Append raw samples as JSON Lines; the per-file key travels as ``sample_key``."""
-    df.write.mode("append").json(path)
+    """Append raw samples as JSON Lines; the per-file key travels as ``sample_key``.
+
+    The samples of a file repeat its text one after the other, so they are packed; such a file is read
+    by one task, and is therefore ended after ROWS_PER_FILE rows.
+    """
+    df.write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", ROWS_PER_FILE).json(path)
 
 
 def write_dataset(samples: DataFrame, stats: DataFrame, path: str) -> None:
