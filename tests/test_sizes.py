@@ -4,6 +4,9 @@ import json
 import os
 import random
 
+import pytest
+
+from winnowry.plans import generation
 from winnowry.sources import readers, writers
 
 
@@ -37,3 +40,9 @@ def test_parsed_lines_do_not_pass_through_python(spark, tmp_path):
     assert [r.response for r in rows] == ["r0", "r1", "r2", "r3", "s0", "s1", "s2"]
     parsed, refused = planned(df).split("\n+- ")[0], planned(df).split("\n+- ")[1]
     assert parsed.startswith("Union") and "EvalPython" not in parsed and refused.count("ArrowEvalPython") == 1
+
+
+@pytest.mark.parametrize("build", [generation.custom_responder])
+def test_responders_get_small_batches(spark, sf_dir, build):
+    plan = planned(build(spark, sf_dir))
+    assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
