@@ -42,7 +42,7 @@ def test_parsed_lines_do_not_pass_through_python(spark, tmp_path):
     assert parsed.startswith("Union") and "EvalPython" not in parsed and refused.count("ArrowEvalPython") == 1
 
 
-@pytest.mark.parametrize("build", [generation.custom_responder])
+@pytest.mark.parametrize("build", [generation.custom_responder, generation.fallback_responder])
 def test_responders_get_small_batches(spark, sf_dir, build):
     plan = planned(build(spark, sf_dir))
     assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan

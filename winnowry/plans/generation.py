@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -189,9 +188,9 @@ def _measure(prompt: str, code: str) -> str:
     return f"prompt {len(prompt)}, code {len(code)}"
 
 
-@F.pandas_udf(T.StringType())
-def _even_only(code: pd.Series) -> pd.Series:
-    return code.where(code.str.len() % 2 == 0).str.len().map(lambda n: None if pd.isna(n) else f"primary {int(n)}")
+@F.udf(T.StringType(), useArrow=False)
+def _even_only(code: str) -> str | None:
+    return f"primary {len(code)}" if len(code) % 2 == 0 else None
 
 
 @query("x1_custom_responder", f"""
