@@ -7,6 +7,7 @@ information separators are added by hand.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -17,6 +18,11 @@ from winnowry import fixed_values as fv
 SPACE = r"[\s\x1c-\x1f]"
 
 
+def once(c: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(c)`` with ``c`` computed a single time, also inside lambdas, where Spark shares no expression."""
+    return F.get(F.transform(F.array(c), f), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, rf"(?U)\A{SPACE}+|{SPACE}+\z", "")
 
@@ -132,8 +138,7 @@ def strip_ansi(c: Column) -> Column:
 NEEDED = dict(zip((p for p, _ in fv.SECRET_PATTERNS), (
     ("ghp_",), ("glpat-",), ("sk-",), ("bearer",), ("key",), ("akia",), ("private",), ("openssh",),
     ("openai_api_key=", "github_token=", "gitlab_token=", "aws_secret="), ("token",)), strict=True))
-NEVER = "x{1000000000}"  # longer than any text, so that it is given up at once
-UNUSUAL = "[\u017f\u212a\u0130\u0131]"  # letters that patterns without case also take for s, k and i
+UNUSUAL = "\u017f\u212a\u0130\u0131"  # letters that patterns without case also take for s, k and i
 
 
 def may_match(folded: Column, pattern: str) -> Column:
@@ -141,20 +146,30 @@ def may_match(folded: Column, pattern: str) -> Column:
     return reduce(lambda a, b: a | b, (F.contains(folded, F.lit(w)) for w in NEEDED[pattern])) if pattern in NEEDED else F.lit(True)
 
 
+def searchable(c: Column) -> Column:
+    """A text, its lower case, and whether it has letters by which lower case may hide a match."""
+    unusual = reduce(lambda a, b: a | b, (F.contains(c, F.lit(letter)) for letter in UNUSUAL))
+    return F.struct(c.alias("text"), F.lower(c).alias("folded"), unusual.alias("unusual"))
+
+
 def redact_secrets(c: Column, patterns: tuple = fv.SECRET_PATTERNS) -> Column:
-    """Every rule in order; one whose fixed part is absent, while no earlier rule may have changed the text, costs no search."""
-    out = strip_ansi(c)
-    folded, due = F.lower(out), out.rlike(UNUSUAL)
+    """Every rule in order over what the rules before it left; one whose fixed part is absent there costs no search."""
+    def applied(pattern: str, name: str) -> Callable[[Column], Column]:
+        def rule(s: Column) -> Column:
+            replaced = F.regexp_replace(s["text"], "(?iU)" + pattern, name)
+            return F.when(s["unusual"] | may_match(s["folded"], pattern), once(replaced, searchable)).otherwise(s)
+        return rule
+
+    state = once(strip_ansi(c), searchable)
     for pattern, name in patterns:
-        due = due | may_match(folded, pattern)
-        out = F.regexp_replace(out, F.when(due, F.lit("(?iU)" + pattern)).otherwise(F.lit(NEVER)), F.lit(name))
-    return out
+        state = once(state, applied(pattern, name))
+    return state["text"]
 
 
 def secret_hits(c: Column, patterns: tuple = fv.SECRET_PATTERNS) -> Column:
     """Placeholders of the rules whose pattern occurs in the text, in rule order."""
     clean = strip_ansi(c)
-    folded, unusual = F.lower(clean), clean.rlike(UNUSUAL)
+    folded, unusual = F.lower(clean), clean.rlike(f"[{UNUSUAL}]")
     flags = [F.when((unusual | may_match(folded, p)) & clean.rlike("(?iU)" + p), F.lit(name)) for p, name in patterns]
     return F.array_compact(F.array(*flags))
 
@@ -164,7 +179,7 @@ def truncate(c: Column, limit: int) -> Column:
 
 
 def sanitize(c: Column, limit: int = fv.MAX_MESSAGE_LENGTH) -> Column:
-    return truncate(redact_secrets(c), limit)
+    return once(redact_secrets(c), lambda v: truncate(v, limit))
 
 
 def sanitize_map(c: Column, limit: int = fv.MAX_DELTA_LENGTH) -> Column:
