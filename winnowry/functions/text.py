@@ -168,10 +168,11 @@ def redact_secrets(c: Column, patterns: tuple = fv.SECRET_PATTERNS) -> Column:
 
 def secret_hits(c: Column, patterns: tuple = fv.SECRET_PATTERNS) -> Column:
     """Placeholders of the rules whose pattern occurs in the text, in rule order."""
-    clean = strip_ansi(c)
-    folded, unusual = F.lower(clean), clean.rlike(f"[{UNUSUAL}]")
-    flags = [F.when((unusual | may_match(folded, p)) & clean.rlike("(?iU)" + p), F.lit(name)) for p, name in patterns]
-    return F.array_compact(F.array(*flags))
+    def hits(s: Column) -> Column:
+        flags = [F.when((s["unusual"] | may_match(s["folded"], p)) & s["text"].rlike("(?iU)" + p), F.lit(name)) for p, name in patterns]
+        return F.array_compact(F.array(*flags))
+
+    return once(once(strip_ansi(c), searchable), hits)
 
 
 def truncate(c: Column, limit: int) -> Column:
