@@ -7,7 +7,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from winnowry.functions import text
+from winnowry.functions import languages, text
+from winnowry.operators import cleaning
 from winnowry.plans import generation
 from winnowry.sources import readers, writers
 
@@ -74,3 +75,24 @@ def test_secret_hits_clean_a_text_once(spark):
     out = df.select(text.secret_hits(F.col("response")).alias("h"))
     assert planned(out).count(text.fv.ANSI_PATTERN) == 1
     assert [r.h for r in out.collect()] == [["[AWS_KEY]", "[TOKEN]"], [], []]
+
+
+def test_judging_sorts_no_characters(spark):
+    df = spark.createDataFrame([("explain this please", "c", "public class A { private int x; } and so on, as it is long", 0.0),
+                                ("explain this please", "c", "trash that nobody needs to score at all, as it is rejected", 1.0)],
+                               "instruction string, context string, response string, quality_score double")
+    out = cleaning.judge(df)
+    assert "sort_array" not in planned(out)
+    good, bad = sorted(out.collect(), key=lambda r: r.reject_reason or "")
+    assert good.response_entropy == pytest.approx(0.9, abs=0.1) and good.detected_language == "java"
+    assert (bad.reject_reason, bad.response_entropy, bad.detected_language, bad.quality_score) == ("toxic", None, None, None)
+
+
+def test_languages_without_keywords_are_not_searched(spark):
+    rows = ["", None, "PACKAGE main", "pacKage main pacKage", "ſYSTEM.OUT", "int MAIN std:: cout", "was has", "fmt.x FMT.y", "#", "x#", "=>"]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, x string")
+    counts = [F.coalesce(F.regexp_count("x", F.lit("(?iU)" + p)), F.lit(0)).alias(n) for n, p in text.fv.LANGUAGE_PATTERNS]
+    for r in df.select(languages.detect_language(F.col("x")).alias("got"), *counts).collect():
+        scores = [(r[n], -k, n) for k, (n, _) in enumerate(text.fv.LANGUAGE_PATTERNS)] + [(0, 1, "unknown")]
+        assert r.got == max(scores)[2]
+    assert "system.out)" in planned(df.select(languages.detect_language(F.col("x"))))

@@ -6,23 +6,27 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from winnowry import fixed_values as fv
-from winnowry.functions.text import strip
+from winnowry.functions.text import may_match, once, searchable, strip
 
 
 def detect_language(c: Column, patterns: tuple = fv.LANGUAGE_PATTERNS) -> Column:
     """The language with most keyword matches; earlier declared wins ties; no match is unknown.
 
     The extra zero-score entry outranks every other zero, so one array_max decides
-    and each pattern runs once per row.
+    and each pattern runs once per row, or not at all where none of its keywords occurs.
     """
     def entry(score: Column, rank: int, name: str) -> Column:
         return F.struct(score.alias("score"), F.lit(rank).alias("rank"), F.lit(name).alias("name"))
 
-    entries = [entry(F.lit(0), 1, fv.UNKNOWN_LANGUAGE)]
-    for position, (name, pattern) in enumerate(patterns):
-        score = F.coalesce(F.regexp_count(c, F.lit("(?iU)" + pattern)), F.lit(0))
-        entries.append(entry(score, -position, name))
-    return F.array_max(F.array(*entries))["name"]
+    def best(s: Column) -> Column:
+        entries = [entry(F.lit(0), 1, fv.UNKNOWN_LANGUAGE)]
+        for position, (name, pattern) in enumerate(patterns):
+            matches = F.regexp_count(s["text"], F.lit("(?iU)" + pattern))
+            score = F.when(s["unusual"] | may_match(s["folded"], pattern), matches)
+            entries.append(entry(F.coalesce(score, F.lit(0)), -position, name))
+        return F.array_max(F.array(*entries))["name"]
+
+    return once(searchable(c), best)
 
 
 def language_of_path(path: Column) -> Column:

@@ -10,8 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from winnowry import fixed_values as fv
 
@@ -48,37 +51,37 @@ def char_counts(c: Column) -> Column:
         lambda r: F.struct(F.substring(r, 1, 1).alias("char"), F.length(r).cast("bigint").alias("n")))
 
 
-def char_entropy(c: Column) -> Column:
-    """Shannon entropy of the characters over log2(min(distinct, 256)); 0 below ten characters.
+@F.arrow_udf(T.DoubleType())
+def _entropies(texts: pa.Array) -> pa.Array:
+    """Each text alone is looked at as code points, so a batch needs little more than its own bytes."""
+    def entropy(text: bytes | None) -> float:
+        points = np.frombuffer((text or b"").decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+        if len(points) < 10:
+            return 0.0
+        counts = np.bincount(points) if points.max() < 1 << 16 else np.unique(points, return_counts=True)[1]
+        k = counts[counts > 0].astype(np.float64)
+        if len(k) == 1:
+            return 0.0
+        return float((np.log2(len(points)) - np.sum(k * np.log2(k)) / len(points)) / np.log2(min(len(k), 256)))
 
-    Row-local on purpose: sorting the characters turns equal ones into runs, and a
-    run's length is that character's count.  Nothing is exploded or shuffled.
-    """
-    sorted_text = F.array_join(F.sort_array(F.split(c, "")), "")
-    runs = F.regexp_extract_all(sorted_text, F.lit(r"(?s)(.)\1*+"), F.lit(0))
-    zero = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("klogk"), F.lit(0).alias("kinds"))
+    return pa.array([entropy(t.as_py()) for t in texts.cast(pa.binary())], pa.float64())
 
-    def add(acc: Column, run: Column) -> Column:
-        k = F.length(run).cast("double")
-        return F.struct(
-            (acc["n"] + k).alias("n"),
-            (acc["klogk"] + k * F.log2(k)).alias("klogk"),
-            (acc["kinds"] + 1).alias("kinds"),
-        )
 
-    def finish(acc: Column) -> Column:
-        bits = F.log2(acc["n"]) - acc["klogk"] / acc["n"]
-        top = F.log2(F.least(acc["kinds"], F.lit(256)).cast("double"))
-        return F.when((acc["n"] >= 10) & (acc["kinds"] > 1), bits / top).otherwise(F.lit(0.0))
+def char_entropy(c: Column) -> Column:
+    """Shannon entropy of the characters over log2(min(distinct, 256)); 0 below ten characters and for null.
 
-    return F.coalesce(F.aggregate(runs, zero, add, finish), F.lit(0.0))
+    Row-local on purpose: nothing is exploded, sorted or shuffled.  It is computed for every row, also
+    inside a condition: make the text null where it is not wanted.
+    """
+    return _entropies(c)
 
 
 def contains_any(c: Column, words: tuple) -> Column:
     """Case-insensitive substring hit of any plain word."""
-    low = F.lower(c)
-    hit = reduce(lambda a, b: a | b, [F.contains(low, F.lit(w.lower())) for w in words], F.lit(False))
-    return F.coalesce(hit, F.lit(False))
+    def hit(low: Column) -> Column:
+        return reduce(lambda a, b: a | b, [F.contains(low, F.lit(w.lower())) for w in words], F.lit(False))
+
+    return F.coalesce(once(F.lower(c), hit), F.lit(False))
 
 
 def is_toxic(c: Column, words: tuple = fv.TOXIC_WORDS) -> Column:
@@ -138,6 +141,14 @@ def strip_ansi(c: Column) -> Column:
 NEEDED = dict(zip((p for p, _ in fv.SECRET_PATTERNS), (
     ("ghp_",), ("glpat-",), ("sk-",), ("bearer",), ("key",), ("akia",), ("private",), ("openssh",),
     ("openai_api_key=", "github_token=", "gitlab_token=", "aws_secret="), ("token",)), strict=True))
+NEEDED |= dict(zip((p for _, p in fv.LANGUAGE_PATTERNS), (
+    ("def ", "class ", "import ", "from ", "if __name__", "print(", "#"),
+    ("function", "const", "let", "var", "=>", "console.", "require("),
+    ("interface", "type", "as", "namespace", "declare", "abstract"),
+    ("#include", "int main", "std::", "cout", "cin", "->"),
+    ("public class", "private", "protected", "static void", "system.out"),
+    ("func ", "package ", "import (", "fmt."),
+    ("fn ", "use ", "mut ", "impl ", "let ", "match")), strict=True))
 UNUSUAL = "\u017f\u212a\u0130\u0131"  # letters that patterns without case also take for s, k and i
 
 

@@ -37,18 +37,20 @@ def _cheap_reason(rules: CleanRules) -> Column:
 def judge(df: DataFrame, rules: CleanRules = CleanRules()) -> DataFrame:
     """Add response_entropy, detected_language, quality_score and reject_reason.
 
-    Costly scores are computed only for rows the cheap rules let through, and through a
-    one-element ``inline``: filters on the result then stay above it, so no score is
-    evaluated a second time inside a pushed-down predicate.
+    Costly scores are computed only for rows the cheap rules let through (others hand no text
+    on), and through a one-element ``inline``: filters on the result then stay above it, so no
+    score is evaluated a second time inside a pushed-down predicate.
     """
     res = F.col("response")
     alive = F.col("_cheap").isNull()
     scores = F.struct(
-        F.when(alive, text.char_entropy(res)).alias("response_entropy"),
+        F.when(alive, F.col("_entropy")).alias("response_entropy"),
         F.when(alive, languages.detect_language(res, rules.language_patterns)).alias("detected_language"),
     )
-    base = df.withColumn("_cheap", _cheap_reason(rules)).withColumnRenamed("quality_score", "_base")
-    scored = base.select("*", F.inline(F.array(scores)))
+    cheap = F.inline(F.array(F.struct(_cheap_reason(rules).alias("_cheap"))))
+    base = df.withColumnRenamed("quality_score", "_base").select("*", cheap)
+    measured = base.withColumn("_entropy", text.char_entropy(F.when(alive, res)))
+    scored = measured.select("*", F.inline(F.array(scores))).drop("_entropy")
     quality = scoring.quality_score(
         F.col("_base"), F.col("instruction"), F.col("context"), res,
         F.col("response_entropy"), F.col("detected_language"),
