@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from winnowry.functions import languages, text
-from winnowry.operators import cleaning
+from winnowry.operators import cleaning, joining
 from winnowry.plans import generation
 from winnowry.sources import readers, writers
 
@@ -96,3 +96,13 @@ def test_languages_without_keywords_are_not_searched(spark):
         scores = [(r[n], -k, n) for k, (n, _) in enumerate(text.fv.LANGUAGE_PATTERNS)] + [(0, 1, "unknown")]
         assert r.got == max(scores)[2]
     assert "system.out)" in planned(df.select(languages.detect_language(F.col("x"))))
+
+
+def test_joined_state_stays_off_the_driver(spark, tmp_path):
+    """What a stream joins batch by batch is shuffled; only the rows of frequent keys are broadcast."""
+    rows = spark.createDataFrame([(1,)] * 50 + [(i,) for i in range(2, 60)] + [(None,)], "run_id int")
+    spark.createDataFrame([(i, f"s{i}") for i in range(80)], "run_id int, stage string").write.parquet(f"{tmp_path}/state")
+    state = spark.read.parquet(f"{tmp_path}/state")
+    out = joining.left_join_skewed(rows, state, "run_id", 10)
+    assert planned(out).count("BroadcastHashJoin") == 1 and planned(out).count("SortMergeJoin") == 1
+    assert sorted(map(repr, out.collect())) == sorted(map(repr, rows.join(state, "run_id", "left").collect()))

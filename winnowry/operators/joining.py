@@ -10,7 +10,8 @@ def left_join_skewed(rows: DataFrame, found: DataFrame, key: str, share: int = 1
     """rows left joined to ``found`` (unique ``key`` and further columns), whatever part of the rows one key has.
 
     Keys of more than a ``share``-th of the rows are fewer than ``share``, so what is found for them is
-    broadcast; all others meet in an ordinary join.  ``rows`` is read twice: persist or store it before.
+    broadcast; all others meet in a shuffled join: ``found`` never passes through the driver, however
+    often a stream joins it.  ``rows`` is read twice: persist or store it before.
     """
     counts = rows.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col(key).isNotNull())
     total = rows.count()
@@ -18,4 +19,4 @@ def left_join_skewed(rows: DataFrame, found: DataFrame, key: str, share: int = 1
     hot = found.filter(F.col(key).isin(frequent))
     is_hot = F.coalesce(F.col(key).isin(frequent), F.lit(False))
     often = rows.filter(is_hot).join(F.broadcast(hot), key, "left")
-    return often.unionByName(rows.filter(~is_hot).join(found, key, "left"))
+    return often.unionByName(rows.filter(~is_hot).join(found.hint("merge"), key, "left"))
