@@ -6,6 +6,7 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.util import PythonEvalType
 
 from winnowry.functions import languages, text
 from winnowry.operators import cleaning, joining
@@ -45,10 +46,21 @@ def test_parsed_lines_do_not_pass_through_python(spark, tmp_path):
     assert parsed.startswith("Union") and "EvalPython" not in parsed and refused.count("ArrowEvalPython") == 1
 
 
-@pytest.mark.parametrize("build", [generation.custom_responder, generation.fallback_responder])
-def test_responders_get_small_batches(spark, sf_dir, build):
-    plan = planned(build(spark, sf_dir))
-    assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
+@pytest.mark.parametrize("responder", [generation._measure, generation._even_only])
+def test_responders_get_arrow_arrays(responder):
+    """No prompt or file becomes a Python string beside the batch it came in."""
+    assert responder.evalType == PythonEvalType.SQL_SCALAR_ARROW_UDF
+
+
+def test_responders_with_nulls(spark, tmp_path):
+    """A file without a path has no prompt; lengths are of code points."""
+    rows = [(5, "é\U0001f600x", None), (10, "abcd", None), (15, "abc", "s")]
+    spark.createDataFrame(rows, "doc_id bigint, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.path is None, r.response) for r in generation.custom_responder(spark, str(tmp_path)).collect()}
+    assert {r for r in got if r[0]} == {(True, "prompt nan, code 3"), (True, "prompt nan, code 4")}
+    assert all(r[1].endswith("code 3") for r in got if not r[0])
+    answers = {r.response for r in generation.fallback_responder(spark, str(tmp_path)).collect()}
+    assert answers == {"", "primary 4"}
 
 
 def test_sanitizing_searches_a_text_once(spark):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -182,15 +185,19 @@ def samples_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gen.samples_per_file(generated(spark, sf_dir))
 
 
-# Responders see whole prompts and files: Python gets a hundred at a time, not batches of ten thousand or 64 MB.
-@F.udf(T.StringType(), useArrow=False)
-def _measure(prompt: str, code: str) -> str:
-    return f"prompt {len(prompt)}, code {len(code)}"
+# Responders see whole prompts and files: as Arrow arrays a batch of them takes its 64 MB once, not again as Python strings.
+def _chars(texts: pa.Array) -> pd.Series:
+    return pc.utf8_length(texts).to_pandas()
 
 
-@F.udf(T.StringType(), useArrow=False)
-def _even_only(code: str) -> str | None:
-    return f"primary {len(code)}" if len(code) % 2 == 0 else None
+@F.arrow_udf(T.StringType())
+def _measure(prompt: pa.Array, code: pa.Array) -> pa.Array:
+    return pa.array("prompt " + _chars(prompt).astype(str) + ", code " + _chars(code).astype(str), pa.string())
+
+
+@F.arrow_udf(T.StringType())
+def _even_only(code: pa.Array) -> pa.Array:
+    return pa.array([None if pd.isna(n) or n % 2 else f"primary {int(n)}" for n in _chars(code)], pa.string())
 
 
 @query("x1_custom_responder", f"""
