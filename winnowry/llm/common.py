@@ -16,6 +16,7 @@ ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 HELD_OUT_FOLDS = 5
 PART_BITS = 33  # of the numbers that monotonically_increasing_id gives within a partition
 SPACE = re.compile(rb"[ \t-\r]")
+SLOTS = 1 << 24  # of a broadcast sieve of keys: 262,144 rows of 64 at most, whatever the number of keys
 
 
 _NOTES: ContextVar[tuple[list[str], ...]] = ContextVar("notes", default=())  # one per thread, so runs side by side stay apart
@@ -99,6 +100,20 @@ def with_found(rows: DataFrame, found: DataFrame, key: str, share: int = 1000) -
     return at_once.unionByName(rest.join(cold, F.col(key).eqNullSafe(F.col("_cold")), "left").drop("_cold"))
 
 
+def sifted(docs: DataFrame, found: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` whose doc_id is surely not in found's ``key``, and all others, some of them by chance.
+
+    So a join with few found documents moves their texts, not all.  Hashed keys are bits of a broadcast sieve of bounded
+    size; the more keys, the more rows it lets through by chance, so the others need an exact join.
+    """
+    slot = lambda c: F.pmod(F.xxhash64(c.cast("bigint")), F.lit(SLOTS))
+    bit = lambda c: slot(c).bitwiseAND(F.lit(63)).cast("int")
+    sieve = F.broadcast(found.select(F.shiftright(slot(F.col(key)), 6).alias("_word"), F.call_function(
+        "shiftleft", F.lit(1).cast("bigint"), bit(F.col(key))).alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits")))
+    hit = (F.shiftright(slot(F.col("doc_id")), 6) == F.col("_word")) & (F.getbit("_bits", bit(F.col("doc_id"))) == 1)
+    return docs.join(sieve, hit, "left_anti"), docs.join(sieve, hit, "left_semi")
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value) with value computed once per row."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from winnowry.llm.common import let, lower_ascii, settled, stored, words
+from winnowry.llm.common import let, lower_ascii, settled, sifted, stored, words
 
 SEPARATORS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]"
 WINDOW = 10
@@ -181,4 +181,5 @@ def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     leaks = settled(lambda: find_leaks(docs, items).filter("contaminated").select(
         F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash")).distinct(), "leaks")
     same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_doc_id")) & (F.xxhash64("text") == F.col("_text_hash"))
-    return docs.join(leaks, same, "left_anti")
+    apart, met = sifted(docs, leaks, "_doc_id")
+    return apart.unionByName(met.join(leaks, same, "left_anti"))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from winnowry.llm.common import settled, stored
+from winnowry.llm.common import settled, sifted, stored
 from winnowry.llm.components import components, merged
 
 SKETCH = 48
@@ -77,9 +77,10 @@ def full_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                 pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], schema=schema)
 
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
-    made = texts.select("text").mapInArrow(run, "digest binary, hashes array<bigint>")
-    return stored(wanted.join(made, "digest").select("key", "hashes").dropDuplicates(["key"]), "near-sets")
+    ids = wanted.select("doc_id").distinct()
+    texts = sifted(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), ids, "doc_id")[1].join(ids, "doc_id", "left_semi")
+    made = texts.select("text").mapInArrow(run, "digest binary, hashes array<bigint>").dropDuplicates(["digest"])
+    return stored(wanted.join(made, "digest").select("key", "hashes"), "near-sets")
 
 
 def least_overlap(n: Column, k: int, share: float) -> Column:
@@ -275,9 +276,10 @@ def without_near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int
     """
     gone = settled(lambda: leaving(docs, n, num, den), "near-leaving")
     same = (F.col("doc_id").cast("bigint") == F.col("_doc_id")) & (F.xxhash64("text") == F.col("_text_hash"))
-    stay = docs.join(gone.filter("_every"), same, "left_anti")
+    apart, met = sifted(docs, gone, "_doc_id")
+    stay = met.join(gone.filter("_every"), same, "left_anti")
     copies = gone.filter("not _every")
     if copies.isEmpty():
-        return stay
+        return apart.unionByName(stay)
     one = stay.join(copies, same).dropDuplicates(["_doc_id", "_text_hash"]).select(*docs.columns)
-    return stay.join(copies, same, "left_anti").unionByName(one)
+    return apart.unionByName(stay.join(copies, same, "left_anti")).unionByName(one)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from winnowry.llm.common import settled, stored
+from winnowry.llm.common import settled, sifted
 
 WINDOW = 12  # units in a row of which one ends a chunk
 DIGEST_UNITS = 4  # that a digest covers at least: that of a shorter chunk reaches back
@@ -28,7 +28,7 @@ HASH_BYTES = 16  # bytes that the 16-bit rolling hash remembers; 8 of them count
 # Thai to Myanmar, Khmer, kana, Han
 UNSPACED = ((0x0E00, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3040, 0x30FF), (0x31F0, 0x31FF), (0x3400, 0x4DBF),
             (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9D), (0x20000, 0x3FFFF))
-ARRAYS = ("digests", "starts", "ends", "first_words", "next_words")
+PART_TEXTS = 500  # of which the chunks are handed over at once
 
 
 def gears() -> np.ndarray:
@@ -127,22 +127,26 @@ def chunks(text: str | None) -> list[tuple[int, int, int, int, int]]:
                     first.tolist(), (last + 1).tolist()))
 
 
-def chunk_table(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash and arrays that describe the chunks of each text; stored.  Rows without an id are left out."""
-    longs, ints = pa.list_(pa.int64()), pa.list_(pa.int32())
-    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("digests", longs), ("starts", ints), ("ends", ints),
-                        ("first_words", ints), ("next_words", ints)])
+def chunk_rows(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, at, digest, start, end, w0, w1 of each chunk of each text.  Rows without an id are left out."""
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("at", pa.int32()), ("digest", pa.int64()),
+                        *[(c, pa.int32()) for c in ("start", "end", "w0", "w1")]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cut = [[list(c) for c in zip(*chunks(t.as_py()))] or [[]] * len(ARRAYS) for t in batch["text"]]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["text_hash"]] + [
-                pa.array([c[i] for c in cut], longs if i == 0 else ints) for i in range(len(ARRAYS))], schema=schema)
+            ids, hashes = (batch[c].to_numpy() for c in ("doc_id", "text_hash"))
+            for low in range(0, len(batch), PART_TEXTS):
+                cut = [chunks(t.as_py()) for t in batch["text"].slice(low, PART_TEXTS)]
+                sizes = np.array([len(c) for c in cut])
+                if sizes.any():
+                    flat = np.array([c for found in cut for c in found], np.int64).T
+                    at = np.arange(len(flat[0])) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                    each = [np.repeat(x[low:low + PART_TEXTS], sizes) for x in (ids, hashes)]
+                    yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((*each, at.astype(np.int32), flat[0], *flat[1:].astype(np.int32)), schema)], schema=schema)
 
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    return stored(source.filter("doc_id is not null").mapInArrow(run, (
-        "doc_id bigint, text_hash bigint, digests array<bigint>, starts array<int>, ends array<int>, "
-        "first_words array<int>, next_words array<int>")), "chunks")
+    return source.filter("doc_id is not null").mapInArrow(
+        run, "doc_id bigint, text_hash bigint, at int, digest bigint, start int, end int, w0 int, w1 int")
 
 
 def repeated_passages(docs: DataFrame, passage_words: int = PASSAGE_WORDS) -> DataFrame:
@@ -152,13 +156,9 @@ def repeated_passages(docs: DataFrame, passage_words: int = PASSAGE_WORDS) -> Da
     to have its longest chunk.  What repeats inside one document only is none, nor are runs of fewer
     units, which n_words counts.  Rows that repeat a doc_id and text give their passages once; null and empty texts have none.
     """
-    table = chunk_table(docs)
-    known = table.select("doc_id", F.explode(F.array_distinct("digests")).alias("digest")).groupBy("digest").agg(
-        F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("digest", "first")
-    each = table.select("doc_id", "text_hash", F.posexplode(F.arrays_zip(*ARRAYS)).alias("at", "c")).select(
-        "doc_id", "text_hash", "at", F.col("c.digests").alias("digest"), F.col("c.starts").alias("start"), F.col("c.ends").alias("end"),
-        F.col("c.first_words").alias("w0"), F.col("c.next_words").alias("w1"))
-    copied = each.join(known, "digest").filter("doc_id > first").drop("digest")
+    # In order of doc_id the first is known as rows come by: no group is held, and chunks move once.
+    by_id = Window.partitionBy("digest").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    copied = chunk_rows(docs).withColumn("first", F.min("doc_id").over(by_id)).filter("doc_id > first").drop("digest")
     by_place = Window.partitionBy("doc_id", "text_hash").orderBy("at")
     runs = copied.withColumn("run", F.col("at") - F.dense_rank().over(by_place)).groupBy("doc_id", "text_hash", "run").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), (F.max("w1") - F.min("w0")).cast("bigint").alias("n_words"),
@@ -176,7 +176,8 @@ def without_passages(docs: DataFrame, passage_words: int = PASSAGE_WORDS) -> Dat
     spans = settled(lambda: repeated_passages(docs, passage_words).groupBy("doc_id", "text_hash").agg(
         F.array_sort(F.collect_list(F.struct("start", "length"))).alias("_cut")).toDF("_doc_id", "_text_hash", "_cut"), "cuts")
     same = (F.col("doc_id").cast("bigint") == F.col("_doc_id")) & (F.xxhash64("text") == F.col("_text_hash"))
-    joined = docs.join(spans, same, "left")
+    apart, met = sifted(docs, spans, "_doc_id")
+    joined = met.join(spans, same, "left")
     gone = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get("_cut", i - 1)["start"] + F.get("_cut", i - 1)["length"])
     kept = F.array_join(F.transform(F.sequence(F.lit(0), F.size("_cut")), lambda i: F.substring(
         F.col("text"), (gone(i) + 1).cast("int"), (F.coalesce(F.get("_cut", i)["start"], F.length("text")) - gone(i)).cast("int"))), "")
@@ -184,4 +185,4 @@ def without_passages(docs: DataFrame, passage_words: int = PASSAGE_WORDS) -> Dat
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("_cut").isNull(), F.col("n_chars")).otherwise(
             F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return out.filter(F.col("_cut").isNull() | F.col("text").rlike("[^\\x20\\x09-\\x0D]")).select(*docs.columns)
+    return apart.unionByName(out.filter(F.col("_cut").isNull() | F.col("text").rlike("[^\\x20\\x09-\\x0D]")).select(*docs.columns))
