@@ -16,6 +16,7 @@ ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 HELD_OUT_FOLDS = 5
 PART_BITS = 33  # of the numbers that monotonically_increasing_id gives within a partition
 SPACE = re.compile(rb"[ \t-\r]")
+BATCH_BYTES = 1 << 21  # of texts that Python gets at once
 SLOTS = 1 << 24  # of a broadcast sieve of keys: 262,144 rows of 64 at most, whatever the number of keys
 
 
@@ -31,6 +32,21 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: int = BATCH_BYTES) -> Iterator[None]:
+    """Jobs run meanwhile hand rows to Python in Arrow batches of about ``size`` bytes, not of 64 MB.
+
+    Executor and worker hold several of a batch, and both keep memory that large buffers once took.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 @contextmanager
 def noted() -> Iterator[list[str]]:
     """The paths of the tables that ``stored`` writes meanwhile."""

@@ -14,11 +14,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnowry.llm.common import held_out
+from winnowry.llm.common import held_out, small_batches
 
 UNKNOWN = "und"
 SIZES = (2, 3, 4)
@@ -138,14 +137,18 @@ def train(docs: DataFrame, per_language: int = TRAIN_DOCS) -> Filters:
     least = F.lit(math.inf)
     for name in languages:
         least = F.when(F.col("lang") == name, F.lit(max(1.0, MIN_SHARE * min(per_language, sizes[name])))).otherwise(least)
-    kept = learn.filter(draw < share).select("lang", "text").mapInPandas(grams, "lang string, code bigint").groupBy(
-        "lang", "code").agg(F.count("*").alias("n")).filter(F.col("n") >= least).select("lang", "code").toPandas()
+    counted = learn.filter(draw < share).select("lang", "text").mapInPandas(grams, "lang string, code bigint").groupBy(
+        "lang", "code").agg(F.count("*").alias("n")).filter(F.col("n") >= least).select("lang", "code")
+    with small_batches(docs.sparkSession):
+        kept = counted.toPandas()
     sample = learn.filter(draw < share)
     codes = {name: kept.loc[kept["lang"] == name, "code"].to_numpy(np.int64).view(np.uint64) for name in languages}
     made = Filters(languages, max(languages, key=lambda x: (sizes[x], x)), codes)
     # A language's usual share comes from its own training documents: large alphabets repeat less.
-    usual = identify(sample, made, "lang").filter("lang = lang_pred").groupBy("lang").agg(
-        F.percentile_approx("score", USUAL, 1000).alias("share")).collect()
+    shares = identify(sample, made, "lang").filter("lang = lang_pred").groupBy("lang").agg(
+        F.percentile_approx("score", USUAL, 1000).alias("share"))
+    with small_batches(docs.sparkSession):
+        usual = shares.collect()
     for r in usual:
         made.least[languages.index(r["lang"])] = CERTAIN * r["share"]
     return made
@@ -173,17 +176,15 @@ def identified(docs: DataFrame, filters: Filters, least_score: float | None = No
     """
     model = docs.sparkSession.sparkContext.broadcast(filters)
 
+    # Python gets a hundred texts at a time and gives back decisions; the rows themselves stay with Spark.
+    @F.udf("boolean", useArrow=False)
     def good(text: str | None) -> bool:
         name, share = model.value.predict(text)
         if name == UNKNOWN:
             return False
-        return share >= (model.value.least[model.value.languages.index(name)] if least_score is None else least_score)
+        return bool(share >= (model.value.least[model.value.languages.index(name)] if least_score is None else least_score))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array([good(t.as_py()) for t in batch["text"]], pa.bool_()))
-
-    return docs.mapInArrow(run, docs.schema)
+    return docs.filter(good("text"))
 
 
 def identify_documents(docs: DataFrame) -> DataFrame:

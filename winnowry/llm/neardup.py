@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from winnowry.llm.common import settled, sifted, stored
+from winnowry.llm.common import settled, sifted, small_batches, stored
 from winnowry.llm.components import components, merged
 
 SKETCH = 48
@@ -62,8 +62,10 @@ def sketches(docs: DataFrame, n: int, k: int) -> DataFrame:
                 pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                 pa.array([s[:k].view(np.int64) for s in sets], pa.list_(pa.int64()))], schema=schema)
 
-    return stored(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
-        run, "doc_id bigint, text_hash bigint, n_shingles bigint, digest binary, sketch array<bigint>"), "near-sketches")
+    made = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
+        run, "doc_id bigint, text_hash bigint, n_shingles bigint, digest binary, sketch array<bigint>")
+    with small_batches(docs.sparkSession):
+        return stored(made, "near-sketches")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -80,7 +82,8 @@ def full_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     ids = wanted.select("doc_id").distinct()
     texts = sifted(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), ids, "doc_id")[1].join(ids, "doc_id", "left_semi")
     made = texts.select("text").mapInArrow(run, "digest binary, hashes array<bigint>").dropDuplicates(["digest"])
-    return stored(wanted.join(made, "digest").select("key", "hashes"), "near-sets")
+    with small_batches(docs.sparkSession):
+        return stored(wanted.join(made, "digest").select("key", "hashes"), "near-sets")
 
 
 def least_overlap(n: Column, k: int, share: float) -> Column:

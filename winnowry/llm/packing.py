@@ -10,6 +10,7 @@ gathering them.
 from __future__ import annotations
 
 import array
+import functools
 import math
 import re
 import sys
@@ -22,14 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnowry.llm.common import stored
+from winnowry.llm.common import small_batches, stored
 
 CAPACITY = 4096
 END_ID = 1
 GROUP_ITEMS = 16384
 NEARLY_FULL = 0.995
 MAX_ROUNDS = 12
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1 << 18  # of a worker, which keeps them between tasks
 
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                     ("ids_crc32", pa.int64())])
@@ -67,8 +68,9 @@ class WordIds(dict):
         return out
 
 
+@functools.lru_cache(maxsize=1)
 def encoder(path: str):
-    """text -> ids as bytes, equal to the tokenizer's own encoding without special tokens added."""
+    """text -> ids as bytes, equal to the tokenizer's own encoding without special tokens added; one for all tasks of a worker."""
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
@@ -152,7 +154,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_items: int = GROUP_I
     Full pieces are sequences of their own and take no part in packing.  Ties in length go by item id.
     An empty table stays empty.
     """
-    named = stored(pieces.withColumn("item_id", F.monotonically_increasing_id()), "pack-items")
+    with small_batches(pieces.sparkSession):
+        named = stored(pieces.withColumn("item_id", F.monotonically_increasing_id()), "pack-items")
     items = named.select("item_id", "length")
     rest = items.filter(F.col("length") < capacity)
     placed = None  # item_id, bin_id, offset over all rounds so far, for items of unfinished and finished bins

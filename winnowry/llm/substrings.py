@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from winnowry.llm.common import settled, sifted
+from winnowry.llm.common import settled, sifted, small_batches
 
 WINDOW = 12  # units in a row of which one ends a chunk
 DIGEST_UNITS = 4  # that a digest covers at least: that of a shorter chunk reaches back
@@ -28,7 +28,7 @@ HASH_BYTES = 16  # bytes that the 16-bit rolling hash remembers; 8 of them count
 # Thai to Myanmar, Khmer, kana, Han
 UNSPACED = ((0x0E00, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3040, 0x30FF), (0x31F0, 0x31FF), (0x3400, 0x4DBF),
             (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9D), (0x20000, 0x3FFFF))
-PART_TEXTS = 500  # of which the chunks are handed over at once
+PART_TEXTS = 100  # of which the chunks are handed over at once
 
 
 def gears() -> np.ndarray:
@@ -173,8 +173,9 @@ def without_passages(docs: DataFrame, passage_words: int = PASSAGE_WORDS) -> Dat
 
     A document of which no word is left goes; all others stay, also those without id or text.
     """
-    spans = settled(lambda: repeated_passages(docs, passage_words).groupBy("doc_id", "text_hash").agg(
-        F.array_sort(F.collect_list(F.struct("start", "length"))).alias("_cut")).toDF("_doc_id", "_text_hash", "_cut"), "cuts")
+    with small_batches(docs.sparkSession):
+        spans = settled(lambda: repeated_passages(docs, passage_words).groupBy("doc_id", "text_hash").agg(
+            F.array_sort(F.collect_list(F.struct("start", "length"))).alias("_cut")).toDF("_doc_id", "_text_hash", "_cut"), "cuts")
     same = (F.col("doc_id").cast("bigint") == F.col("_doc_id")) & (F.xxhash64("text") == F.col("_text_hash"))
     apart, met = sifted(docs, spans, "_doc_id")
     joined = met.join(spans, same, "left")
